@@ -192,13 +192,13 @@ def lookback(end: Column, days: int = 30) -> tuple[Column, Column]:
 
 
 def bronze_envelope(
-    payload: DataFrame, run_at: Column, execution_date: Column, **extra: Column
+    rows: DataFrame, run_at: Column, execution_date: Column, payload: Sequence[str], **extra: Column
 ) -> DataFrame:
-    """``payload`` rows as JSON documents with their run metadata."""
+    """The ``payload`` columns of each row as a JSON document with run metadata."""
     meta = F.struct(
         run_stamp(run_at).alias("extraction_timestamp"),
         execution_date.alias("execution_date"),
         *[value.alias(name) for name, value in extra.items()],
     )
-    body = F.struct(*[F.col(f"`{name}`") for name in payload.columns], meta.alias("_metadata"))
-    return payload.select(F.to_json(body).alias("text"))
+    body = F.struct(*[F.col(f"`{name}`") for name in payload], meta.alias("_metadata"))
+    return rows.select(F.to_json(body).alias("text"))
