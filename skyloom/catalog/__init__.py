@@ -2,6 +2,6 @@
 states the expected result."""
 
 from skyloom.catalog import (  # noqa: F401
-    aggregates, dimensions, facts, filters, joins, scalars, scans, shaping, writes,
+    aggregates, dimensions, facts, filters, joins, lineage, profiles, quality, scalars, scans, shaping, writes,
 )
 from skyloom.catalog.registry import ORACLES, QUERIES  # noqa: F401

@@ -54,7 +54,7 @@ def _register_week(rule):
     iso = rule == "iso"
     year = "cast(floor(id_calendar_week / 100) as int)" if iso else "id_year"
     label = "'W' || lpad(cast(id_week as varchar), 2, '0') || '{0}' || y".format(" " if iso else "-")
-    monday, sunday = ("date_trunc('week', first)", "date_trunc('week', first) + 6") if iso else ("first", "last")
+    monday, sunday = ("date_trunc('week', first)", "cast(date_trunc('week', first) as date) + 6") if iso else ("first", "last")
     span = (
         "strftime(cast(mo as date), '%d/%m') || ' - ' || strftime(cast(su as date), '%d/%m')" if iso
         else "cast(mo as varchar) || ' / ' || cast(su as varchar)"

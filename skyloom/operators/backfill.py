@@ -76,9 +76,8 @@ def stage_of(task: Column, stage: str) -> Column:
     return step
 
 
-def backfill_plan(log: DataFrame, bounds: DataFrame, source: str = "all", force: bool = False) -> DataFrame:
-    """What to run per gap: extraction task, then transform and load steps."""
-    found = with_action(gaps(log, bounds, source), log, force)
+def with_steps(found: DataFrame) -> DataFrame:
+    """Gaps with the transform and load steps that follow each extraction."""
     return found.select(
         "execution_date", "task_id", "status", "action",
         stage_of(F.col("task_id"), "transform").alias("transform_step"),
@@ -86,6 +85,11 @@ def backfill_plan(log: DataFrame, bounds: DataFrame, source: str = "all", force:
     )
 
 
+def backfill_plan(log: DataFrame, bounds: DataFrame, source: str = "all", force: bool = False) -> DataFrame:
+    """What to run per gap: extraction task, then transform and load steps."""
+    return with_steps(with_action(gaps(log, bounds, source), log, force))
+
+
 def backfill_summary(results: DataFrame) -> DataFrame:
     """``success, failed, skipped`` of finished steps (column ``outcome``)."""
     return results.agg(
