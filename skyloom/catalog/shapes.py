@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skyloom import fixed_values as fixed
 from skyloom.catalog.registry import table
-from skyloom.operators.flatten import FEEDS, DocSpec
+from skyloom.operators.flatten import FEEDS, DocSpec, evaluated_once
 from skyloom.plans.facts import FACTS
 
 RUN_STAMP = "20240131_060000"
@@ -206,7 +206,12 @@ def feed_documents(
             F.col("extraction_date").alias("execution_date"),
         ).alias("_metadata"),
     )
-    return rows.select(document_path(feed).alias("path"), F.to_json(body).alias("text"))
+    return documents(rows, document_path(feed), F.to_json(body))
+
+
+def documents(rows: DataFrame, path: Column, text: Column) -> DataFrame:
+    """``path, text`` as a scan of document files would give them."""
+    return evaluated_once(rows.select(path.alias("path"), text.alias("_text")), "text", F.col("_text")).drop("_text")
 
 
 def document_path(feed: str) -> Column:
@@ -253,7 +258,7 @@ def observation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("snow_1h").alias("1h"), F.col("snow_3h").alias("3h")).alias("snow"),
     )
     path = F.concat(F.lit("current/"), F.col("date"), F.lit("/weather_"), F.col("event_id"), F.lit(".json"))
-    return rows.select(path.alias("path"), F.to_json(body).alias("text"))
+    return documents(rows, path, F.to_json(body))
 
 
 def station_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +274,7 @@ def station_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.size("items").alias("station_count")).alias("_metadata"),
     )
     path = F.concat(F.lit("stations/"), F.lpad(F.col("chunk").cast("string"), 12, "0"), F.lit(".json"))
-    return packed_rows.select(path.alias("path"), F.to_json(body).alias("text"))
+    return documents(packed_rows, path, F.to_json(body))
 
 
 def climatology_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,4 +294,4 @@ def climatology_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = F.concat_ws("/", F.lit("historical"), F.col("year").cast("string"), "station_id",
                        F.lpad(F.col("chunk").cast("string"), 12, "0"))
-    return packed_rows.select(path.alias("path"), F.to_json(body).alias("text"))
+    return documents(packed_rows, path, F.to_json(body))

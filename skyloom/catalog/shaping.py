@@ -157,7 +157,7 @@ def reject_split(spark, sf_dir):
         .when(kind == 4, null_meta)
         .otherwise(body)
     )
-    docs = rows.select(shapes.document_path("pollen").alias("path"), text.alias("text"))
+    docs = shapes.documents(rows, shapes.document_path("pollen"), text)
     return flatten.rejects(flatten.parse_columnar(docs, FEEDS["pollen"]))
 
 

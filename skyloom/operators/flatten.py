@@ -22,9 +22,19 @@ def field_names(text: str) -> list[str]:
     return [line.split()[0] for line in text.strip().splitlines()]
 
 
+def evaluated_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with ``value`` as a column that is computed once per row.
+
+    A plain projection would be copied into every later filter and projection
+    that uses it, and a parsed document is used by dozens.  The output of a
+    generator is not copied.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _parse(docs: DataFrame, schema: str) -> DataFrame:
     parsed = F.from_json("text", f"{schema}, _corrupt_record string", _READ)
-    return docs.withColumn("doc", parsed)
+    return evaluated_once(docs, "doc", parsed)
 
 
 def _null_member(path: str) -> Column:

@@ -195,23 +195,27 @@ def load_accounting(
         reasons.unionByName(first.agg(F.lit("distinct").alias("outcome"), F.count(F.lit(1)).alias("n")))
         .unionByName(outcomes)
     )
+    named = F.col("outcome")
+
+    def rows_of(which: Column) -> Column:
+        return F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0))
+
     total = stages.agg(
-        F.coalesce(F.sum(F.when(F.col("outcome") == "keyed", F.col("n"))), F.lit(0)).alias("keyed"),
-        F.coalesce(F.sum(F.when(F.col("outcome") == "distinct", F.col("n"))), F.lit(0)).alias("first"),
-        F.coalesce(
-            F.sum(F.when((F.col("outcome") == "loaded") | F.col("outcome").startswith("overflow"),
-                         F.col("n"))), F.lit(0)
-        ).alias("fresh"),
+        rows_of(named == "keyed").alias("keyed"),
+        rows_of(named == "distinct").alias("first"),
+        rows_of(named == "loaded").alias("loaded"),
+        rows_of((named == "loaded") | named.startswith("overflow")).alias("fresh"),
     )
     derived = total.select(
         F.inline(
             F.array(
+                F.struct(F.lit("loaded").alias("outcome"), F.col("loaded").alias("n")),
                 F.struct(F.lit("duplicate").alias("outcome"), (F.col("keyed") - F.col("first")).alias("n")),
                 F.struct(F.lit("conflict").alias("outcome"), (F.col("first") - F.col("fresh")).alias("n")),
             )
         )
     )
-    listed = stages.filter(~F.col("outcome").isin("keyed", "distinct")).unionByName(derived)
+    listed = stages.filter(~named.isin("keyed", "distinct", "loaded")).unionByName(derived)
     return listed.select("outcome", F.col("n").alias("n_rows"))
 
 
