@@ -108,8 +108,8 @@ def historical_scan(spark, sf_dir):
     root = scratch_path(spark, "historical")
     rows = view(spark, sf_dir, "v_clim").select("station_id", "date", "temp_avg", "year")
     rows.hint("rebalance", "year").write.partitionBy("year").parquet(root)
-    years = [f"{root}/{name}" for name in ("year=*",)]
-    read = lake.read_table(spark, years, skip_bad_files=True)
+    columns = "station_id string, date string, temp_avg double"
+    read = lake.read_table(spark, f"{root}/year=*", columns, skip_bad_files=True)
     return read.groupBy("station_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("temp_avg").alias("n_temperatures"),

@@ -198,7 +198,7 @@ def parse_columnar(docs: DataFrame, spec: DocSpec) -> DataFrame:
         members = F.json_object_keys(F.get_json_object("text", "$.hourly"))
         is_empty = known.isNull() & (F.coalesce(F.size(members), F.lit(0)) == 0)
         part = F.when(is_empty, F.col("doc.daily")).otherwise(part)
-    chosen = parsed.withColumn("part", part)
+    chosen = evaluated_once(parsed, "part", part)
     length = F.size("part.time")
     ragged = F.lit(False)
     for name in spec.fields[1:]:

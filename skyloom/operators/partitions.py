@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.fixed_values import FIRST_PARTITION_DAY, LAST_PARTITION_DAY
@@ -40,30 +40,38 @@ def date_range(df: DataFrame, date_id: str, low: int, high: int) -> DataFrame:
 
 
 def write_months(df: DataFrame, path: str, date_id: str, mode: str = "append",
-                 added: Sequence[int] = ()) -> None:
-    """Append fact rows below their month folder.
+                 added: Sequence[int] = ()) -> int:
+    """Append fact rows below their month folder; returns their number.
 
     The rebalance hint groups rows by month without forcing a month that holds
     most of the rows into one task: adaptive execution splits it.
     """
+    written = Observation()
     (
         df.withColumn(PARTITION, month_partition(F.col(date_id), added))
         .hint("rebalance", PARTITION)
+        .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.mode(mode)
         .partitionBy(PARTITION)
         .parquet(path)
     )
+    return written.get["rows"]
 
 
-def read_months(spark: SparkSession, path: str) -> DataFrame | None:
-    """A fact table, with the partition column as text; None before the first load."""
+def read_months(spark: SparkSession, path: str, columns: str | None = None) -> DataFrame | None:
+    """A fact table with its month as text; None before the first load.
+
+    With ``columns`` (its definition) nothing is inferred from files, and a
+    table that was created but not loaded yet is an empty frame.
+    """
+    reader = spark.read.schema(f"{columns}, {PARTITION} string") if columns else spark.read
     try:
-        df = spark.read.option("basePath", path).parquet(path)
+        df = reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-    return df.withColumn(PARTITION, F.col(PARTITION).cast("string"))
+    return df if columns else df.withColumn(PARTITION, F.col(PARTITION).cast("string"))
 
 
 def add_month(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from skyloom import fixed_values as fixed
 from skyloom.operators import flatten, lineage
 from skyloom.plans import dims
-from skyloom.plans.facts import FACTS, FactSpec, load_fact
+from skyloom.plans.facts import FACTS, create_table, load_fact
 from skyloom.quality.checks import gate, suite_for
 from skyloom.sources import lake, sinks
 
@@ -52,18 +52,6 @@ class Layout:
         return f"{self.warehouse}/{name}"
 
 
-def fact_schema(spec: FactSpec) -> str:
-    """Column definitions of a fact table."""
-    moment = "int" if spec.moment_rule == "date" else "timestamp_ntz"
-    kinds = {spec.entity_id: "int", spec.run_date_id: "int", spec.moment: moment}
-    columns = [f"{name} {kinds[name]}" for name in spec.key]
-    types = {"truncated int": "int", "time": "string"}
-    columns += [f"{target} {types.get(rule, rule)}" for _, target, rule in spec.columns]
-    if spec.feed in fixed.DATA_SOURCE:
-        columns.append("data_source string")
-    return ", ".join([*columns, "created_at timestamp_ntz"])
-
-
 def reset_warehouse(
     spark: SparkSession, layout: Layout, cities: DataFrame, run_at: datetime, week_rule: str = "iso"
 ) -> None:
@@ -72,8 +60,7 @@ def reset_warehouse(
     for name, df in dims.dims_all(spark, cities, week_rule, moment).items():
         sinks.publish(df, layout.table(name), version)
     for feed, spec in FACTS.items():
-        empty = spark.createDataFrame([], fact_schema(spec))
-        empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(layout.fact(feed))
+        create_table(spark, spec, layout.fact(feed))
     logs = {"etl_run_log": lineage.RUN_LOG_COLUMNS, "etl_metrics": lineage.METRIC_COLUMNS,
             "lake_metadata": lineage.LAKE_COLUMNS}
     for name, columns in logs.items():
@@ -115,8 +102,10 @@ def transform(
 
 def latest_silver(spark: SparkSession, layout: Layout, feed: str, date: str) -> DataFrame | None:
     """The last finished snapshot of a feed and date."""
-    marker = lake.latest_file(spark, layout.silver(feed), layout.silver_prefix(feed, date), "_SUCCESS")
-    return lake.read_table(spark, marker.rsplit("/", 1)[0]) if marker else None
+    snapshots = lake.finished_folders(
+        spark, f"{layout.silver(feed)}/{layout.silver_prefix(feed, date)}*"
+    )
+    return lake.read_table(spark, snapshots[-1]) if snapshots else None
 
 
 def load(

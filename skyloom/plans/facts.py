@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom import fixed_values as fixed
 from skyloom.functions.clean import date_id, epoch_to_ts, iso_to_ts, normalise_nan, typed
 from skyloom.operators.lookup import city_lookup, station_lookup
 from skyloom.operators.merge import insert_if_absent
-from skyloom.operators.partitions import date_range, read_months, write_months
+from skyloom.operators.partitions import PARTITION, date_range, read_months, write_months
 
 
 @dataclass(frozen=True)
@@ -93,6 +93,29 @@ FACTS = {
 }
 
 
+def fact_schema(spec: FactSpec) -> str:
+    """Column definitions of a fact table."""
+    moment = "int" if spec.moment_rule == "date" else "timestamp_ntz"
+    kinds = {spec.entity_id: "int", spec.run_date_id: "int", spec.moment: moment}
+    columns = [f"{name} {kinds[name]}" for name in spec.key]
+    types = {"truncated int": "int", "time": "string"}
+    columns += [f"{target} {types.get(rule, rule)}" for _, target, rule in spec.columns]
+    if spec.feed in fixed.DATA_SOURCE:
+        columns.append("data_source string")
+    return ", ".join([*columns, "created_at timestamp_ntz"])
+
+
+def create_table(spark: SparkSession, spec: FactSpec, path: str) -> None:
+    """An empty fact table; whatever the path held is gone."""
+    (
+        spark.createDataFrame([], f"{fact_schema(spec)}, {PARTITION} string")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(PARTITION)
+        .parquet(path)
+    )
+
+
 def _moment(spec: FactSpec) -> Column:
     source = F.col(spec.moment_from)
     if spec.moment_rule == "epoch":
@@ -230,19 +253,15 @@ def load_fact(
 ) -> dict[str, int]:
     """Append the new rows of a feed to its table; returns the row accounting.
 
-    The counts are observed while the rows are written, so the load is one job.
-    The existing table is read only for the months the feed can touch.
+    One pass over the run date gives the input count and the span of dates, so
+    that the existing table is read only for the months the feed can touch; the
+    loaded rows are counted while they are written.
     """
     day = date_id(F.col(spec.run_date) if run_date is None else run_date)
-    span = silver.agg(F.min(day), F.max(day)).first()
-    spark = silver.sparkSession
-    existing = read_months(spark, path)
-    if existing is not None and span[0] is not None:
-        existing = date_range(existing, spec.run_date_id, span[0], span[1])
-    seen, made = Observation(), Observation()
-    counted = silver.observe(seen, F.count(F.lit(1)).alias("rows_input"))
-    rows = build_fact(counted, spec, dim, as_of, order, existing, run_date)
-    rows = rows.observe(made, F.count(F.lit(1)).alias("rows_loaded"))
-    write_months(rows, path, spec.run_date_id)
-    rows_in, loaded = seen.get["rows_input"], made.get["rows_loaded"]
-    return {"rows_input": rows_in, "rows_loaded": loaded, "rows_rejected": rows_in - loaded}
+    span = silver.agg(F.min(day).alias("low"), F.max(day).alias("high"), F.count(F.lit(1)).alias("n")).first()
+    existing = read_months(silver.sparkSession, path, fact_schema(spec))
+    if existing is not None and span["low"] is not None:
+        existing = date_range(existing, spec.run_date_id, span["low"], span["high"])
+    rows = build_fact(silver, spec, dim, as_of, order, existing, run_date)
+    loaded = write_months(rows, path, spec.run_date_id)
+    return {"rows_input": span["n"], "rows_loaded": loaded, "rows_rejected": span["n"] - loaded}

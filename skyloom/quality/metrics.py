@@ -108,7 +108,7 @@ def quality_report(
     row = profile(clean, wanted)
 
     scores = F.array(
-        *[F.struct(F.lit(c).alias("column"), (F.col(f"`n:{c}`") / F.col("row_count")).alias("score"))
+        *[F.struct(F.lit(c).alias("column"), F.try_divide(F.col(f"`n:{c}`"), F.col("row_count")).alias("score"))
           for c in df.columns]
     )
     scores = F.when(F.col("row_count") > 0, scores).otherwise(F.slice(scores, 1, 0))

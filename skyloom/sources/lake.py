@@ -37,12 +37,11 @@ def read_documents(
     The text stays unparsed, so a broken document costs its own row only.
     """
     reader = (
-        spark.read.option("wholetext", str(not per_line).lower())
-        .option("recursiveFileLookup", "true")
+        spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .option("ignoreCorruptFiles", "true")
     )
-    rows = reader.text(paths if isinstance(paths, str) else list(paths))
+    rows = reader.text(paths if isinstance(paths, str) else list(paths), wholetext=not per_line)
     return rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
@@ -60,19 +59,20 @@ def read_json(
 
 
 def read_table(
-    spark: SparkSession, paths: str | Sequence[str], skip_bad_files: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: str | None = None,
+    skip_bad_files: bool = False,
 ) -> DataFrame:
     """Parquet file, folder or list of either, as one frame.
 
     ``skip_bad_files`` is the historical load: an unreadable file is left out
-    and the others are read.
+    and the others are read.  It wants ``columns``, because the file that would
+    be sampled for a schema may be the unreadable one.
     """
     many = [paths] if isinstance(paths, str) else list(paths)
-    return (
-        spark.read.option("ignoreCorruptFiles", str(skip_bad_files).lower())
-        .option("mergeSchema", "false")
-        .parquet(*many)
-    )
+    reader = spark.read.option("ignoreCorruptFiles", str(skip_bad_files).lower())
+    return (reader.schema(columns) if columns else reader).parquet(*many)
 
 
 def read_city_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -118,6 +118,18 @@ def latest_file(spark: SparkSession, root: str, prefix: str, suffix: str = ".par
     return list_objects(spark, root, prefix, suffix).agg(F.max("path")).first()[0]
 
 
+def finished_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders matching a glob whose write finished, in name order.
+
+    Spark marks a finished folder with an empty ``_SUCCESS`` file, which its
+    own readers hide, so the file system is asked directly.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    marker = hadoop.Path(f"{pattern.rstrip('/')}/_SUCCESS")
+    found = marker.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marker)
+    return sorted(status.getPath().getParent().toString() for status in found or [])
+
+
 def latest_snapshot(rows: DataFrame, prefix: str = "prefix", path: str = "path") -> DataFrame:
     """Rows of the last snapshot path of each prefix."""
     newest = rows.groupBy(prefix).agg(F.max(path).alias("newest"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.sources.lake import latest_file, list_objects
+from skyloom.sources.lake import finished_folders, list_objects
 
 
 def _bytes_below(spark: SparkSession, path: str) -> int:
@@ -55,5 +55,5 @@ def publish(df: DataFrame, root: str, version: str) -> str:
 
 def read_published(spark: SparkSession, root: str) -> DataFrame | None:
     """The last finished version of a published table, or None."""
-    marker = latest_file(spark, root, "", "_SUCCESS")
-    return spark.read.parquet(marker.rsplit("/", 1)[0]) if marker else None
+    versions = finished_folders(spark, f"{root.rstrip('/')}/v=*")
+    return spark.read.parquet(versions[-1]) if versions else None
