@@ -194,14 +194,14 @@ UNION ALL SELECT 'error', 0.0e0""",
 )
 def freshness_score(spark, sf_dir):
     """Of two kinds of events, and of a column that holds no moments."""
-    rows = view(spark, sf_dir, "v_hourly").select("event_id", "time", "city_name")
-    kinds = table(spark, sf_dir, "events").select("event_id", "event_type")
-    marked = rows.join(kinds, "event_id")
+    events = table(spark, sf_dir, "events")
+    hour = F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm")
+    marked = events.select("event_type", hour.alias("time"), F.col("props").alias("words"))
     parts = [
         metrics.freshness_score(marked.filter(F.col("event_type") == kind), column, as_of()).select(
             F.lit(kind).alias("event_type"), F.round("freshness", 6).alias("freshness")
         )
-        for kind, column in (("click", "time"), ("view", "time"), ("error", "city_name"))
+        for kind, column in (("click", "time"), ("view", "time"), ("error", "words"))
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

@@ -278,11 +278,11 @@ def station_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def climatology_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Station-day records as documents per station, year and 64 consecutive orders."""
+    """Station-day records as documents per station, year and 4,096 consecutive orders."""
     rows = view(spark, sf_dir, "v_clim_raw")
     names = [c for c in rows.columns if c not in ("o_orderkey", "station_id")]
     keys = ["station_id", F.left("fecha", F.lit(4)).cast("int").alias("year"),
-            F.floor(F.col("o_orderkey") / CHUNK).alias("chunk")]
+            F.floor(F.col("o_orderkey") / 4096).alias("chunk")]
     packed_rows = rows.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("o_orderkey", *names))).alias("items")
     )

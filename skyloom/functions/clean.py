@@ -6,21 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Text accepted as a number: sign, digits with optional grouping underscores,
-# fraction, exponent, or a spelled infinity.  Spark's own cast also takes a
-# trailing "d" or "f", which this pattern refuses.
+# Letters that only odd numbers hold: grouping underscores, hexadecimal marks and
+# the "d" and "f" that Spark's cast accepts at the end of a number.
+_ODD = "[_xXdDfF]"
+
+# What may be a number among the odd ones: digits grouped by underscores with an
+# optional fraction and exponent, or a spelled infinity.
 _NUMBER = (
-    r"^\s*[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)"
-    r"([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
+    r"^[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)"
+    r"([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
 )
 
 
 def locale_number(text: Column) -> Column:
     """Decimal-comma text to double; trace and accumulation marks, blanks and
     anything unreadable become null."""
-    plain = F.replace(text.cast("string"), F.lit(","), F.lit("."))
-    digits = F.replace(F.trim(plain), F.lit("_"), F.lit(""))
-    return F.when(plain.rlike(_NUMBER), digits.try_cast("double"))
+    plain = F.trim(F.replace(text.cast("string"), F.lit(","), F.lit(".")))
+    grouped = F.when(plain.rlike(_NUMBER), F.replace(plain, F.lit("_"), F.lit("")))
+    usual = F.when(plain.rlike(_ODD), grouped).otherwise(plain)
+    return clean_nan(usual.try_cast("double"))
 
 
 def dms_to_decimal(text: Column) -> Column:
@@ -117,3 +121,23 @@ def typed(value: Column, rule: str) -> Column:
     if rule == "string":
         return value.cast("string")
     return value.try_cast(rule)
+
+
+def fits(value: Column, rule: str) -> Column:
+    """Whether a present ``value`` survives ``typed`` under the same rule.
+
+    A bound on the magnitude is enough: rounding to the scale cannot cross it
+    from below.  This spares a second conversion of every value.
+    """
+    if rule == "string":
+        return F.lit(True)
+    if rule == "time":
+        return value.isNull() | iso_to_ts(value).isNotNull()
+    number = value.cast("double")
+    if rule == "int":
+        return (number < 2147483647.5) & (number > -2147483648.5)
+    if rule == "truncated int":
+        return (number < 2147483648.0) & (number > -2147483649.0)
+    precision, scale = (int(n) for n in rule.removeprefix("decimal(").rstrip(")").split(","))
+    bound = float(f"{'9' * (precision - scale)}.{'9' * scale}5")
+    return F.abs(number) < bound

@@ -69,39 +69,57 @@ def _kind(value: Column) -> Column:
     )
 
 
+def _members(value: Column) -> Column:
+    """Number of members of an object or elements of a list."""
+    return F.coalesce(
+        F.size(F.try_variant_get(value, "$", "map<string, variant>")),
+        F.size(F.try_variant_get(value, "$", "array<variant>")),
+    )
+
+
 def json_structure(docs: DataFrame, text: str = "text", max_depth: int = 3) -> DataFrame:
     """Structure of a corpus of JSON documents: per path and kind, how often it
     occurs and how many members it has.
 
     Objects are followed into every member and lists into their first element,
-    down to ``max_depth`` levels.  Each level is reduced to counts on its own.
+    down to ``max_depth`` levels.  The corpus is read and parsed once: each row
+    of the deepest level also stands for its parents where it is their first
+    member.
     """
     spark = docs.sparkSession
-    level = docs.select(F.lit("$").alias("path"), F.try_parse_json(F.col(text)).alias("v"))
-    level = level.filter(F.col("v").isNotNull())
-    found = None
+    rows = docs.select(F.try_parse_json(F.col(text)).alias("v0")).filter("v0 is not null")
+    rows = rows.select("v0", F.lit("$").alias("path0"), _kind(F.col("v0")).alias("kind0"))
+    for depth in range(1, max_depth):
+        value, path, kind = (F.col(f"{name}{depth - 1}") for name in ("v", "path", "kind"))
+        listed = kind == "list"
+        inside = F.when(kind.isin("dict", "list"), value)
+        member = spark.tvf.variant_explode_outer(inside.outer()).alias("m")
+        rows = rows.lateralJoin(member).filter(F.col("m.pos").isNull() | ~listed | (F.col("m.pos") == 0))
+        name = F.when(listed, F.concat(path, F.lit("[0]"))).otherwise(F.concat(path, F.lit("."), F.col("m.key")))
+        there = F.col("m.pos").isNotNull()
+        rows = rows.select(
+            *[c for c in rows.columns if c not in ("pos", "key", "value")],
+            F.col("m.value").alias(f"v{depth}"),
+            F.when(there, name).alias(f"path{depth}"),
+            F.when(there, _kind(F.col("m.value"))).alias(f"kind{depth}"),
+            F.coalesce(F.col("m.pos"), F.lit(0)).alias(f"pos{depth}"),
+        )
+    entries = []
     for depth in range(max_depth):
-        level = level.withColumn("kind", _kind(F.col("v")))
-        members = F.when(
-            F.col("kind") == "dict", F.size(F.json_object_keys(F.to_json("v")))
-        ).when(F.col("kind") == "list", F.json_array_length(F.to_json("v")))
-        counts = level.select("path", "kind", members.alias("members")).groupBy("path", "kind").agg(
-            F.count(F.lit(1)).alias("n_values"),
-            F.min("members").cast("long").alias("min_members"),
-            F.max("members").cast("long").alias("max_members"),
+        counted = F.col(f"path{depth}").isNotNull()
+        for below in range(depth + 1, max_depth):
+            counted = counted & (F.col(f"pos{below}") == 0)
+        entry = F.struct(
+            F.col(f"path{depth}").alias("path"), F.col(f"kind{depth}").alias("kind"),
+            _members(F.col(f"v{depth}")).alias("members"),
         )
-        found = counts if found is None else found.unionByName(counts)
-        if depth + 1 < max_depth:
-            inside = level.filter(F.col("kind").isin("dict", "list")).select(
-                F.col("path").alias("up"), "kind", "v"
-            )
-            items = inside.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).alias("m"))
-            level = items.filter((F.col("kind") == "dict") | (F.col("m.pos") == 0)).select(
-                F.when(F.col("kind") == "dict", F.concat("up", F.lit("."), F.col("m.key")))
-                .otherwise(F.concat("up", F.lit("[0]"))).alias("path"),
-                F.col("m.value").alias("v"),
-            )
-    return found
+        entries.append(F.when(counted, entry))
+    found = rows.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+    return found.groupBy("e.path", "e.kind").agg(
+        F.count(F.lit(1)).alias("n_values"),
+        F.min("e.members").cast("long").alias("min_members"),
+        F.max("e.members").cast("long").alias("max_members"),
+    )
 
 
 def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:

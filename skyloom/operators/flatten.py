@@ -45,7 +45,7 @@ def _null_member(path: str) -> Column:
     documents whose text has a null member at all.
     """
     member = F.try_variant_get(F.try_parse_json("text"), path, "variant")
-    has_null = F.col("text").rlike(r":\s*null")
+    has_null = F.col("text").contains("null") & F.col("text").rlike(r":\s*null")
     return F.when(has_null, F.coalesce(F.is_variant_null(member), F.lit(False))).otherwise(False)
 
 

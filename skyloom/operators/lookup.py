@@ -28,7 +28,9 @@ def dim_join(
 ) -> DataFrame:
     """``fact`` with ``columns`` (dimension column -> output name) of its match.
 
-    ``dim`` must hold one row per key.  Up to ``max_rows`` dimension rows are
+    ``dim`` must hold one row per key, and should be stored: a side that is
+    itself the result of a big aggregation is better checkpointed first, as the
+    size check runs it.  Up to ``max_rows`` dimension rows are
     broadcast.  A larger dimension is joined by shuffle, except for the rows of
     hot keys: frequent items at support s can number at most 1/s, so the
     dimension rows of the hot keys are always few enough to broadcast and no

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom import fixed_values as fixed
-from skyloom.functions.clean import date_id, epoch_to_ts, iso_to_ts, normalise_nan, typed
+from skyloom.functions.clean import date_id, epoch_to_ts, fits, iso_to_ts, normalise_nan, typed
 from skyloom.operators.lookup import city_lookup, station_lookup
 from skyloom.operators.merge import insert_if_absent
 from skyloom.operators.partitions import PARTITION, date_range, read_months, write_months
@@ -154,7 +154,7 @@ def typed_rows(rows: DataFrame, spec: FactSpec, as_of: Column) -> DataFrame:
     values = {target: typed(F.col(source), rule) for source, target, rule in spec.columns}
     overflow = F.coalesce(
         *[
-            F.when(F.col(source).isNotNull() & values[target].isNull(), F.lit(f"overflow:{target}"))
+            F.when(~fits(F.col(source), rule), F.lit(f"overflow:{target}"))
             for source, target, rule in spec.columns
             if rule != "string"
         ]

@@ -11,6 +11,7 @@ from skyloom.functions.clean import iso_to_ts, normalise_nan
 from skyloom.operators.dedupe import distinct_keys
 from skyloom.operators.lookup import dim_join
 from skyloom.quality.checks import Suite, counters, expectations, present, profile, summary
+from skyloom.session import checkpointed
 
 
 def completeness_scores(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -224,7 +225,7 @@ def metric_anomalies(history: DataFrame, threshold: float = 2.0, min_points: int
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
         F.count(F.lit(1)).alias("points"),
     ).filter((F.col("points") >= min_points) & (F.col("std") > 0))
-    joined = dim_join(marked, stats, "_series", "_series", {"mean": "mean", "std": "std"}, how="inner")
+    joined = dim_join(marked, checkpointed(stats), "_series", "_series", {"mean": "mean", "std": "std"}, how="inner")
     z = F.abs(F.col("value") - F.col("mean")) / F.col("std")
     return joined.withColumn("z_score", z).filter(F.col("z_score") > threshold).drop(
         "_series", "mean", "std"

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from skyloom.fixed_values import CITY_CSV_COLUMNS
 from skyloom.functions.clean import run_stamp
 from skyloom.operators.lookup import dim_join
+from skyloom.session import checkpointed
 
 # One pattern per placeholder, so that underscores inside a city name or a run
 # stamp do not shift the other parts.
@@ -132,7 +133,7 @@ def finished_folders(spark: SparkSession, pattern: str) -> list[str]:
 
 def latest_snapshot(rows: DataFrame, prefix: str = "prefix", path: str = "path") -> DataFrame:
     """Rows of the last snapshot path of each prefix."""
-    newest = rows.groupBy(prefix).agg(F.max(path).alias("newest"))
+    newest = checkpointed(rows.groupBy(prefix).agg(F.max(path).alias("newest")))
     joined = dim_join(rows, newest, prefix, prefix, {"newest": "_newest"}, how="inner")
     return joined.filter(F.col(path) == F.col("_newest")).drop("_newest")
 

@@ -85,3 +85,14 @@ def test_comma_text_reads_back(spark, numbers):
     texts = [(str(n).replace(".", ","),) for n in numbers]
     out = [r[0] for r in spark.createDataFrame(texts, "x string").select(clean.locale_number(F.col("x"))).collect()]
     assert all(math.isclose(a, b) for a, b in zip(out, numbers))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.floats(allow_nan=False), st.sampled_from(
+    [999.994, 999.995, 999.9949999, -999.995, 99.99, 99.995, 2147483647.4, 2147483647.5, -2147483648.5, 2147483647.9, 2147483648.0,
+     99999.995, 99999.9949])), min_size=1, max_size=30))
+def test_fits_agrees_with_the_conversion(spark, numbers):
+    df = spark.createDataFrame([(n,) for n in numbers], "x double")
+    for rule in ("decimal(5,2)", "decimal(4,2)", "decimal(7,2)", "decimal(6,4)", "int", "truncated int"):
+        out = df.select("x", clean.typed(F.col("x"), rule).isNotNull().alias("typed"), clean.fits(F.col("x"), rule).alias("fits"))
+        assert [r for r in out.collect() if r.typed != r.fits] == [], rule
