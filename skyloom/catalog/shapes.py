@@ -211,7 +211,7 @@ def feed_documents(
 
 def documents(rows: DataFrame, path: Column, text: Column) -> DataFrame:
     """``path, text`` as a scan of document files would give them."""
-    return evaluated_once(rows.select(path.alias("path"), text.alias("_text")), "text", F.col("_text")).drop("_text")
+    return evaluated_once(rows.select(path.alias("path"), text.alias("_text")), text=F.col("_text")).drop("_text")
 
 
 def document_path(feed: str) -> Column:

@@ -6,25 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Letters that only odd numbers hold: grouping underscores, hexadecimal marks and
-# the "d" and "f" that Spark's cast accepts at the end of a number.
-_ODD = "[_xXdDfF]"
-
-# What may be a number among the odd ones: digits grouped by underscores with an
-# optional fraction and exponent, or a spelled infinity.
-_NUMBER = (
-    r"^[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)"
-    r"([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
-)
+# Text that is no number although Spark's cast would read it (hexadecimal, a
+# trailing "d" or "f" other than that of "inf"), underscores that do not stand
+# between digits, and the usual marks, which would each cost a caught exception.
+_NO_NUMBER = r"^(Ip|Acum)?$|[xX]|[dD]\s*$|(?<![nN])[fF]\s*$|(^|\D)_|_(\D|$)"
 
 
 def locale_number(text: Column) -> Column:
     """Decimal-comma text to double; trace and accumulation marks, blanks and
     anything unreadable become null."""
-    plain = F.trim(F.replace(text.cast("string"), F.lit(","), F.lit(".")))
-    grouped = F.when(plain.rlike(_NUMBER), F.replace(plain, F.lit("_"), F.lit("")))
-    usual = F.when(plain.rlike(_ODD), grouped).otherwise(plain)
-    return clean_nan(usual.try_cast("double"))
+    text = text.cast("string")
+    digits = F.replace(F.replace(text, F.lit(","), F.lit(".")), F.lit("_"), F.lit(""))
+    return clean_nan(F.when(~text.rlike(_NO_NUMBER), digits.try_cast("double")))
 
 
 def dms_to_decimal(text: Column) -> Column:

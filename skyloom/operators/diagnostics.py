@@ -87,21 +87,25 @@ def json_structure(docs: DataFrame, text: str = "text", max_depth: int = 3) -> D
     member.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.try_parse_json(F.col(text)).alias("v0")).filter("v0 is not null")
-    rows = rows.select("v0", F.lit("$").alias("path0"), _kind(F.col("v0")).alias("kind0"))
+    rows = docs.select(F.try_parse_json(F.col(text)).alias("v")).filter("v is not null")
+    rows = rows.select(
+        "v", F.lit("$").alias("path0"), _kind(F.col("v")).alias("kind0"), _members(F.col("v")).alias("members0")
+    )
     for depth in range(1, max_depth):
-        value, path, kind = (F.col(f"{name}{depth - 1}") for name in ("v", "path", "kind"))
+        path, kind = F.col(f"path{depth - 1}"), F.col(f"kind{depth - 1}")
         listed = kind == "list"
-        inside = F.when(kind.isin("dict", "list"), value)
+        inside = F.when(kind.isin("dict", "list"), F.col("v"))
+        kept = [c for c in rows.columns if c != "v"]
         member = spark.tvf.variant_explode_outer(inside.outer()).alias("m")
         rows = rows.lateralJoin(member).filter(F.col("m.pos").isNull() | ~listed | (F.col("m.pos") == 0))
         name = F.when(listed, F.concat(path, F.lit("[0]"))).otherwise(F.concat(path, F.lit("."), F.col("m.key")))
-        there = F.col("m.pos").isNotNull()
+        there, value = F.col("m.pos").isNotNull(), F.col("m.value")
         rows = rows.select(
-            *[c for c in rows.columns if c not in ("pos", "key", "value")],
-            F.col("m.value").alias(f"v{depth}"),
+            *kept,
+            value.alias("v"),
             F.when(there, name).alias(f"path{depth}"),
-            F.when(there, _kind(F.col("m.value"))).alias(f"kind{depth}"),
+            F.when(there, _kind(value)).alias(f"kind{depth}"),
+            _members(value).alias(f"members{depth}"),
             F.coalesce(F.col("m.pos"), F.lit(0)).alias(f"pos{depth}"),
         )
     entries = []
@@ -109,10 +113,7 @@ def json_structure(docs: DataFrame, text: str = "text", max_depth: int = 3) -> D
         counted = F.col(f"path{depth}").isNotNull()
         for below in range(depth + 1, max_depth):
             counted = counted & (F.col(f"pos{below}") == 0)
-        entry = F.struct(
-            F.col(f"path{depth}").alias("path"), F.col(f"kind{depth}").alias("kind"),
-            _members(F.col(f"v{depth}")).alias("members"),
-        )
+        entry = F.struct(*[F.col(f"{part}{depth}").alias(part) for part in ("path", "kind", "members")])
         entries.append(F.when(counted, entry))
     found = rows.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
     return found.groupBy("e.path", "e.kind").agg(

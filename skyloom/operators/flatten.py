@@ -22,31 +22,35 @@ def field_names(text: str) -> list[str]:
     return [line.split()[0] for line in text.strip().splitlines()]
 
 
-def evaluated_once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """``df`` with ``value`` as a column that is computed once per row.
+def evaluated_once(df: DataFrame, **values: Column) -> DataFrame:
+    """``df`` with ``values`` as columns that are computed once per row.
 
     A plain projection would be copied into every later filter and projection
     that uses it, and a parsed document is used by dozens.  The output of a
     generator is not copied.
     """
-    return df.select("*", F.explode(F.array(value)).alias(name))
+    return df.select("*", F.inline(F.array(F.struct(*[v.alias(n) for n, v in values.items()]))))
 
 
 def _parse(docs: DataFrame, schema: str) -> DataFrame:
-    parsed = F.from_json("text", f"{schema}, _corrupt_record string", _READ)
-    return evaluated_once(docs, "doc", parsed)
+    """Documents with their parsed body as ``doc``.
 
-
-def _null_member(path: str) -> Column:
-    """Whether the document holds an explicit JSON null at ``path``.
-
-    A missing member and a null one look the same after parsing into a schema,
-    but only the missing one takes a default.  The variant is built for the few
-    documents whose text has a null member at all.
+    A missing member and a null one look the same in ``doc``, but only the
+    missing one takes a default.  So the few documents whose text has a null
+    member at all are kept as a variant too, in ``nulls``.
     """
-    member = F.try_variant_get(F.try_parse_json("text"), path, "variant")
     has_null = F.col("text").contains("null") & F.col("text").rlike(r":\s*null")
-    return F.when(has_null, F.coalesce(F.is_variant_null(member), F.lit(False))).otherwise(False)
+    return evaluated_once(
+        docs,
+        doc=F.from_json("text", f"{schema}, _corrupt_record string", _READ),
+        nulls=F.when(has_null, F.try_parse_json("text")),
+    )
+
+
+def _null_member(path: str) -> Column:
+    """Whether the document holds an explicit JSON null at ``path``."""
+    member = F.try_variant_get("nulls", path, "variant")
+    return F.coalesce(F.is_variant_null(member), F.lit(False))
 
 
 def _default(value: Column, path: str, default: Column) -> Column:
@@ -198,7 +202,7 @@ def parse_columnar(docs: DataFrame, spec: DocSpec) -> DataFrame:
         members = F.json_object_keys(F.get_json_object("text", "$.hourly"))
         is_empty = known.isNull() & (F.coalesce(F.size(members), F.lit(0)) == 0)
         part = F.when(is_empty, F.col("doc.daily")).otherwise(part)
-    chosen = evaluated_once(parsed, "part", part)
+    chosen = evaluated_once(parsed, part=part)
     length = F.size("part.time")
     ragged = F.lit(False)
     for name in spec.fields[1:]:

@@ -111,6 +111,11 @@ def unknown_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -
     return keys.join(dim.select(F.col(dim_key).alias("key")), "key", "left_anti")
 
 
+def first_keys(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    """The first ``n`` distinct keys in order, for a log line."""
+    return df.select(F.col(key).alias("key")).distinct().orderBy("key").limit(n)
+
+
 def fk_orphans(
     fact: DataFrame, checks: dict[str, tuple[DataFrame, str]]
 ) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -12,7 +13,8 @@ from skyloom import fixed_values as fixed
 from skyloom.operators import flatten, lineage
 from skyloom.plans import dims
 from skyloom.plans.facts import FACTS, create_table, load_fact
-from skyloom.quality.checks import gate, suite_for
+from skyloom.quality.checks import suite_for
+from skyloom.quality.metrics import gate_report
 from skyloom.sources import lake, sinks
 
 _ORDER = ["_src", "_pos"]
@@ -110,36 +112,107 @@ def latest_silver(spark: SparkSession, layout: Layout, feed: str, date: str) ->
 
 def load(
     spark: SparkSession, layout: Layout, feed: str, date: str, run_at: datetime, strict: bool = False
-) -> dict[str, int]:
-    """The latest silver snapshot into its table, behind the quality gate."""
+) -> dict:
+    """The latest silver snapshot into its table, behind the quality gate.
+
+    Returns the row accounting and, for feeds with a suite, the quality scores.
+    """
     moment = F.lit(run_at).cast("timestamp_ntz")
     silver = latest_silver(spark, layout, feed, date)
     stations = sinks.read_published(spark, layout.table("dim_aemet_stations"))
     if feed == "stations":
         merged = dims.load_stations(stations, silver, moment)
-        sinks.publish(merged, layout.table("dim_aemet_stations"), f"{run_at:%Y%m%d_%H%M%S}_{date}")
-        count = merged.count()
+        path = layout.table("dim_aemet_stations")
+        sinks.publish(merged, path, f"{run_at:%Y%m%d_%H%M%S}_{date}")
+        count = sinks.read_published(spark, path).count()
         return {"rows_input": count, "rows_loaded": count, "rows_rejected": 0}
     if silver is None:
         return {"rows_input": 0, "rows_loaded": 0, "rows_rejected": 0}
     spec = FACTS["station_day" if feed == "historical" else feed]
+    scores = {}
     if spec.suite:
-        gate(silver.drop("_src", "_pos"), suite_for(spec.suite), strict)
+        scores = gate_report(silver.drop(*_ORDER), suite_for(spec.suite), spec.table, moment, strict)
     if spec.entity == "station":
         dim = dims.ensure_stations(stations, moment)
     else:
         dim = sinks.read_published(spark, layout.table("dim_city"))
     order = ["bronze_source"] if feed == "observation" else _ORDER
-    return load_fact(silver, spec, dim, layout.fact(feed), moment, order, F.lit(date))
+    counts = load_fact(silver, spec, dim, layout.fact(feed), moment, order, F.lit(date))
+    return {**counts, "table": spec.table, "scores": scores}
 
 
 def run_task(
     spark: SparkSession, layout: Layout, task: str, date: str, run_at: datetime, strict: bool = False
-) -> dict[str, int]:
+) -> dict:
     """Transform and load what one extraction task delivered."""
     feed = TASK_FEED[task]
-    transform(spark, layout, feed, date, run_at)
-    return load(spark, layout, feed, date, run_at, strict)
+    written = transform(spark, layout, feed, date, run_at)
+    return {"written": written, **load(spark, layout, feed, date, run_at, strict)}
+
+
+# -- a day ------------------------------------------------------------------
+
+
+def _source(task: str) -> str:
+    return task.split("_")[1]
+
+
+def _start_log(spark, layout, tasks, date, moment, version) -> None:
+    path = layout.table("etl_run_log")
+    names = spark.createDataFrame(
+        [(fixed.EXTRACTION_DAG, task, date) for task in tasks], "dag_id string, task_id string, day string"
+    ).select("dag_id", "task_id", F.col("day").cast("date").alias("execution_date"), moment.alias("start_time"))
+    log = sinks.read_published(spark, path)
+    sinks.publish(lineage.start_runs(log, names, moment), path, f"{version}.1")
+
+
+def _end_log(spark, layout, results, date, moment, version) -> DataFrame:
+    """The run log with all outcomes; returns the ids of the day's runs."""
+    path = layout.table("etl_run_log")
+    started = sinks.read_published(spark, path)
+    ids = started.filter(
+        (F.col("dag_id") == fixed.EXTRACTION_DAG) & (F.col("execution_date") == F.lit(date).cast("date"))
+    ).select("id", "task_id")
+    ends = spark.createDataFrame(
+        [(t, r["status"], r["rows_loaded"], r.get("error"), datetime.now()) for t, r in results.items()],
+        "task_id string, status string, records_processed long, error_message string, end_time timestamp_ntz",
+    )
+    sinks.publish(lineage.end_runs(started, ids.join(ends, "task_id"), moment), path, f"{version}.2")
+    return ids
+
+
+def _log_files(spark, layout, results, moment, version) -> None:
+    files = [
+        ("silver", r["written"]["path"], "silver", _source(t), r["written"]["rows"], r["written"]["bytes"], "success")
+        for t, r in results.items() if "written" in r
+    ]
+    if files:
+        path = layout.table("lake_metadata")
+        new = spark.createDataFrame(
+            files, "bucket_name string, object_path string, layer string, data_source string, "
+            "record_count long, file_size_bytes long, status string")
+        sinks.publish(lineage.log_files(sinks.read_published(spark, path), new, moment), path, version)
+
+
+def _log_metrics(spark, layout, results, ids, date, moment, version) -> None:
+    dimensions = ["completeness", "validity", "uniqueness", "freshness"]
+    measured = []
+    for task, r in results.items():
+        if "table" in r:
+            scores = r["scores"]
+            summary = json.dumps(scores["summary"], default=str) if scores else None
+            measured.append(
+                (task, r["table"], _source(task), r["rows_input"], r["rows_loaded"], r["rows_rejected"],
+                 *[scores.get(d) for d in dimensions], scores.get("overall_score"), summary))
+    if measured:
+        path = layout.table("etl_metrics")
+        columns = ", ".join(f"{d}_score double" for d in [*dimensions, "overall_quality"])
+        new = spark.createDataFrame(
+            measured, "task_id string, target_table string, data_source string, rows_input long, "
+            f"rows_loaded long, rows_rejected long, {columns}, quality_details string")
+        new = new.join(ids.withColumnRenamed("id", "etl_run_id"), "task_id")
+        new = new.withColumn("execution_date", F.lit(date).cast("date"))
+        sinks.publish(lineage.log_metrics(sinks.read_published(spark, path), new, moment), path, version)
 
 
 def run_day(
@@ -149,32 +222,19 @@ def run_day(
     """All tasks of a day, stations first; a failing feed does not stop the others.
 
     The run log is published before the first and after the last task, on its
-    own, so that it outlives a load that failed.
+    own, so that it outlives a load that failed.  The frames the logs are built
+    from hold one row per task, eight at most.
     """
     todo = sorted(tasks or TASK_FEED, key=lambda task: TASK_FEED[task] != "stations")
-    moment = F.lit(run_at).cast("timestamp_ntz")
-    path, version = layout.table("etl_run_log"), f"{run_at:%Y%m%d_%H%M%S}_{date}"
-    log = sinks.read_published(spark, path)
-    names = spark.createDataFrame([(fixed.EXTRACTION_DAG, t, date) for t in todo],
-                                  "dag_id string, task_id string, execution_date string")
-    names = names.withColumns({"execution_date": F.col("execution_date").cast("date"), "start_time": moment})
-    sinks.publish(lineage.start_runs(log, names, moment), path, f"{version}.1")
-
+    moment, version = F.lit(run_at).cast("timestamp_ntz"), f"{run_at:%Y%m%d_%H%M%S}_{date}"
+    _start_log(spark, layout, todo, date, moment, version)
     results = {}
     for task in todo:
         try:
             results[task] = {"status": "success", **run_task(spark, layout, task, date, run_at, strict)}
         except Exception as error:  # recorded in the log, the other feeds go on
             results[task] = {"status": "failed", "rows_loaded": 0, "error": str(error)[:1000]}
-
-    started = sinks.read_published(spark, path)
-    ends = spark.createDataFrame(
-        [(t, date, r["status"], r["rows_loaded"], r.get("error")) for t, r in results.items()],
-        "task_id string, execution_date string, status string, records_processed long, error_message string",
-    ).withColumns({"execution_date": F.col("execution_date").cast("date"),
-                   "end_time": F.lit(datetime.now()).cast("timestamp_ntz")})
-    ids = started.filter(F.col("dag_id") == fixed.EXTRACTION_DAG).select("id", "task_id", "execution_date")
-    ends = ids.join(ends, ["task_id", "execution_date"])
-    sinks.publish(lineage.end_runs(started, ends, moment), path, f"{version}.2")
+    ids = _end_log(spark, layout, results, date, moment, version)
+    _log_files(spark, layout, results, moment, version)
+    _log_metrics(spark, layout, results, ids, date, moment, version)
     return results
-

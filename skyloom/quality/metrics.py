@@ -11,6 +11,7 @@ from skyloom.functions.clean import iso_to_ts, normalise_nan
 from skyloom.operators.dedupe import distinct_keys
 from skyloom.operators.lookup import dim_join
 from skyloom.quality.checks import Suite, counters, expectations, present, profile, summary
+from skyloom.quality.errors import QualityError
 from skyloom.session import checkpointed
 
 
@@ -165,6 +166,22 @@ def quality_report(
     )
 
 
+def gate_report(
+    df: DataFrame, suite: Suite, table: str, as_of: Column, strict: bool = False
+) -> dict:
+    """Report a feed before its load; under ``strict`` a failed check raises.
+
+    The key is city and time where the feed has them, else city and date.
+    """
+    key = ["city_name", "time"] if "city_name" in df.columns else ["city", "date"]
+    moment = "time" if "time" in df.columns else None
+    report = quality_report(df, suite, table, as_of, key, moment)
+    result = report.drop("metrics").first().asDict(recursive=True)
+    if strict and not result["summary"]["success"]:
+        raise QualityError(f"validation failed for {table}", result["summary"])
+    return result
+
+
 def _advice(dimensions: list[str]) -> Column:
     low = F.transform(F.filter("scores", lambda s: s["score"] < 0.9), lambda s: s["column"])
     failed = F.filter("checks", lambda e: ~e["success"])

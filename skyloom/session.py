@@ -23,6 +23,8 @@ def build_session(master: str | None = None, app: str = "skyloom", **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # the JVM compiles no method over 8000 bytes; a wider stage is better split
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.ui.enabled": "false",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})

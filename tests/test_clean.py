@@ -16,7 +16,8 @@ def one(spark, value, kind, function):
 @pytest.mark.parametrize(
     "text, number",
     [("10,5", 10.5), ("8", 8.0), ("-0,3", -0.3), ("Ip", None), ("Acum", None), ("", None), ("invalid", None),
-     (None, None), ("1.5d", None), ("1_0", 10.0), (" 7,25 ", 7.25), ("1e3", 1000.0), (",5", 0.5), ("nan", None)],
+     (None, None), ("1.5d", None), ("1_0", 10.0), (" 7,25 ", 7.25), ("1e3", 1000.0), (",5", 0.5), ("nan", None), ("_1", None), ("1__0", None), ("1_", None), ("1,_5", None), ("0x1p3", None),
+     ("2F", None), ("inf", float("inf")), ("-Infinity", float("-inf")), ("1_000,5", 1000.5)],
 )
 def test_locale_number(spark, text, number):
     assert one(spark, text, "string", clean.locale_number) == number

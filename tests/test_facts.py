@@ -127,7 +127,9 @@ def test_run_day_twice(spark, tmp_path):
     fill(tmp_path)
     tasks = [*TASKS, "extract_openmeteo_pollen"]
     first = daily.run_day(spark, layout, "2026-01-29", datetime(2026, 1, 29, 6), tasks=tasks)
-    assert first["extract_openmeteo_air_quality"] == {"status": "success", "rows_input": 9, "rows_loaded": 6, "rows_rejected": 3}
+    air = first["extract_openmeteo_air_quality"]
+    assert (air["status"], air["rows_input"], air["rows_loaded"], air["rows_rejected"]) == ("success", 9, 6, 3)
+    assert air["scores"]["uniqueness"] == 1.0 and air["scores"]["summary"]["success"]
     assert first["extract_aemet_daily_climatology"]["rows_loaded"] == 2
     assert first["extract_openweather"]["rows_loaded"] == 1
     assert first["extract_aemet_stations"]["rows_loaded"] == 16
@@ -142,6 +144,13 @@ def test_run_day_twice(spark, tmp_path):
     assert found["extract_openmeteo_pollen"][0] == "failed" and found["extract_openweather"] == ("success", 0)
     assert len(found) == 5 and log.filter("duration_seconds is null").count() == 0
 
+    metrics = sinks.read_published(spark, layout.table("etl_metrics"))
+    loaded = {r.target_table: (r.rows_input, r.rows_loaded, r.rows_rejected) for r in metrics.collect()}
+    assert loaded["fct_air_quality"] == (9, 0, 9) and len(loaded) == 3  # the second run replaced the first
+    assert metrics.join(log.withColumnRenamed("id", "etl_run_id"), "etl_run_id").count() == 3
+    files = sinks.read_published(spark, layout.table("lake_metadata"))
+    assert files.count() == 7 and files.filter("file_size_bytes > 0").count() == 7
+
     bounds = spark.sql("select date'2026-01-29' first_day, date'2026-01-30' last_day")
     gaps = backfill.gaps(log, bounds)
     assert gaps.count() == 16 - 4
