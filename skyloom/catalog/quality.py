@@ -221,7 +221,7 @@ def range_conformity(spark, sf_dir):
 
 _POLLEN = [
     "event_id", "time", "alder_pollen", "birch_pollen", "grass_pollen", "mugwort_pollen", "olive_pollen",
-    "ragweed_pollen", "city_code", "city_name", "extraction_date", "extraction_timestamp",
+    "ragweed_pollen", "city_code", "city_name", "extraction_date", "extraction_timestamp", "event_type",
 ]
 _SCORES_SQL = f"""{checks_sql('pollen')},
 comp AS ({" UNION ALL ".join(f"SELECT {i} AS i, '{c}' AS col, count({c}) / count(*) AS score FROM v_pollen" for i, c in enumerate(_POLLEN))}),

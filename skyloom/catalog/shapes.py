@@ -48,7 +48,7 @@ def _feed_view(feed: str) -> str:
     return f"""SELECT event_id, {time} AS time,
   {columns},
   lpad(cast(user_id % 27 as string), 5, '0') AS city_code, {_CITY} AS city_name,
-  {_DAY} AS extraction_date, '{RUN_STAMP}' AS extraction_timestamp
+  {_DAY} AS extraction_date, '{RUN_STAMP}' AS extraction_timestamp, event_type
 FROM events"""
 
 

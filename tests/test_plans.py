@@ -16,10 +16,16 @@ def test_plan(spark, name):
     text = df._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert bad not in text, bad
-    lines = text.splitlines()
-    for above, line in zip(lines, lines[1:]):
-        # one task only ever merges counters that were combined before
-        assert "Exchange SinglePartition" not in line or "Aggregate(" in above, above
+    # one task only ever merges counters that were combined before
+    assert all("Aggregate(" in parent for parent in parents(text, "Exchange SinglePartition"))
+
+
+def parents(text, name):
+    """The lines right above each occurrence of an operator in a plan tree."""
+    lines = [(len(line) - len(line.lstrip(" :+-*()0123456789")), line) for line in text.splitlines()]
+    for i, (depth, line) in enumerate(lines):
+        if name in line:
+            yield next(other for d, other in reversed(lines[:i]) if d < depth)
 
 
 def test_every_query_has_its_sql():
