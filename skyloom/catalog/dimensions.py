@@ -212,7 +212,7 @@ SELECT s.id, s.station_id, coalesce(f.station_name, 'old') AS station_name, f.pr
   '{_OLD}' AS created_at, CASE WHEN f.station_id IS NULL THEN '{_OLD}' ELSE '2024-01-31 06:00:00' END AS updated_at
 FROM v_station s LEFT JOIN f USING (station_id)
 UNION ALL
-SELECT cast((SELECT max(id) FROM v_station) + row_number() OVER (ORDER BY station_id) as int), station_id, station_name,
+SELECT (SELECT max(id) FROM v_station) + row_number() OVER (ORDER BY station_id), station_id, station_name,
   province, altitude, latitude, longitude, synop_code, '2024-01-31 06:00:00', '2024-01-31 06:00:00'
 FROM f WHERE station_id LIKE 'X%'""",
     ),
@@ -257,11 +257,11 @@ def stations_bootstrap(spark, sf_dir):
     "surrogate_keys",
     """WITH k AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS code FROM lineitem),
 n AS (SELECT code FROM k WHERE code NOT IN (SELECT o_orderkey FROM orders))
-SELECT code, cast((SELECT max(o_orderkey) + 1 FROM orders) + row_number() OVER (ORDER BY code) as int) AS id FROM n""",
+SELECT code, (SELECT max(o_orderkey) + 1 FROM orders) + row_number() OVER (ORDER BY code) AS id FROM n""",
 )
 def surrogate_keys(spark, sf_dir):
     dim = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("code"), (F.col("o_orderkey") + 1).cast("int").alias("id")
+        F.col("o_orderkey").alias("code"), (F.col("o_orderkey") + 1).alias("id")
     )
     names = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("code"))
     return dims.surrogate_keys(dim, names, "code", "id")

@@ -49,7 +49,7 @@ SELECT log.id, log.task_id, cast(log.execution_date as varchar) AS execution_dat
   CASE WHEN s.task_id IS NULL THEN log.status ELSE 'running' END AS status, log.records_processed
 FROM log LEFT JOIN s ON s.task_id = log.task_id AND s.execution_date = log.execution_date
 UNION ALL
-SELECT cast((SELECT max(id) FROM log) + row_number() OVER (ORDER BY task_id, execution_date) as int), task_id,
+SELECT (SELECT max(id) FROM log) + row_number() OVER (ORDER BY task_id, execution_date), task_id,
   cast(execution_date as varchar), strftime(start_time, {_FMT}), NULL, 'running', NULL
 FROM s ANTI JOIN log USING (task_id, execution_date)""",
     ),

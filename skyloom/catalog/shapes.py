@@ -120,7 +120,7 @@ FROM events""",
     || CASE WHEN s_suppkey % 3 = 0 THEN 'W' ELSE 'E' END AS longitud,
   CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE lpad(cast(s_suppkey as string), 6, '0') END AS indsinop
 FROM supplier""",
-    "v_station": """SELECT s_suppkey, cast(s_suppkey + 1 as int) AS id,
+    "v_station": """SELECT s_suppkey, s_suppkey + 1 AS id,
   'S' || lpad(cast(s_suppkey as string), 5, '0') AS station_id
 FROM supplier""",
     "v_clim_raw": f"""SELECT o_orderkey, {_STATION_OF_ORDER} AS station_id, {_ORDER_DAY} AS fecha,
@@ -135,7 +135,7 @@ FROM orders""",
   cast(year(o_orderdate) as string) || '-12-31' AS extraction_date
 FROM orders""",
     # every order as one logged attempt of a task on its day
-    "v_attempt": f"""SELECT o_orderkey, cast(o_orderkey + 1 as int) AS id, '{fixed.EXTRACTION_DAG}' AS dag_id,
+    "v_attempt": f"""SELECT o_orderkey, o_orderkey + 1 AS id, '{fixed.EXTRACTION_DAG}' AS dag_id,
   {_TASK} AS task_id, cast(o_orderdate as date) AS execution_date,
   CASE o_orderstatus WHEN 'O' THEN 'success' WHEN 'F' THEN 'failed' ELSE 'running' END AS status,
   cast(floor(o_totalprice) as bigint) AS records_processed

@@ -36,19 +36,19 @@ def insert_if_absent(spark, sf_dir):
     """WITH s AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + 10000000 ELSE o_custkey END AS code,
     o_orderpriority AS name FROM orders
   QUALIFY row_number() OVER (PARTITION BY code ORDER BY o_orderkey DESC) = 1),
-m AS (SELECT cast(max(c_custkey) + 1 as int) AS top FROM customer)
-SELECT cast(c_custkey + 1 as int) AS id, c_custkey AS code, coalesce(s.name, c_mktsegment) AS name,
+m AS (SELECT max(c_custkey) + 1 AS top FROM customer)
+SELECT c_custkey + 1 AS id, c_custkey AS code, coalesce(s.name, c_mktsegment) AS name,
   CASE WHEN s.code IS NULL THEN '2024-01-01 00:00:00' ELSE '2024-01-31 06:00:00' END AS updated_at,
   '2024-01-01 00:00:00' AS created_at
 FROM customer LEFT JOIN s ON s.code = c_custkey
 UNION ALL
-SELECT cast(top + row_number() OVER (ORDER BY code) as int), code, name, '2024-01-31 06:00:00', '2024-01-31 06:00:00'
+SELECT top + row_number() OVER (ORDER BY code), code, name, '2024-01-31 06:00:00', '2024-01-31 06:00:00'
 FROM s, m WHERE code NOT IN (SELECT c_custkey FROM customer)""",
 )
 def upsert_dim(spark, sf_dir):
     old = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     target = table(spark, sf_dir, "customer").select(
-        (F.col("c_custkey") + 1).cast("int").alias("id"), F.col("c_custkey").alias("code"),
+        (F.col("c_custkey") + 1).alias("id"), F.col("c_custkey").alias("code"),
         F.col("c_mktsegment").alias("name"), old.alias("updated_at"), old.alias("created_at"),
     )
     moved = F.when(F.col("o_orderkey") % 5 == 0, F.col("o_custkey") + 10000000)

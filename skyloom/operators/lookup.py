@@ -6,15 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.001
 
 
-def fits_broadcast(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``side`` has at most ``max_rows`` rows.
+def fits_broadcast(
+    side: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether ``side`` is small enough to send to every executor.
 
-    The count stops at the bound, so the check is cheap on a table of any size.
+    Rows and the bytes of their texts are measured, not estimated.  The
+    measurement stops one row past the bound, so it is cheap on a table of any
+    size.
     """
-    return side.select(F.lit(1).alias("one")).limit(max_rows + 1).count() <= max_rows
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in side.dtypes if kind == "string"]
+    width = sum(texts, F.lit(8 * len(side.columns)))
+    sample = side.select(width.alias("width")).limit(max_rows + 1)
+    found = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("width").alias("bytes")).first()
+    return found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes
 
 
 def dim_join(

@@ -48,7 +48,7 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int = 0)
     spark = df.sparkSession
     shifts = spark.createDataFrame(rows, "_part long, _before long")
     numbered = placed.join(F.broadcast(shifts), part == F.col("_part"))
-    return numbered.withColumn(name, (F.col("_before") + offset + 1).cast("int")).drop(
+    return numbered.withColumn(name, F.col("_before") + offset + 1).drop(
         "_place", "_part", "_before"
     )
 

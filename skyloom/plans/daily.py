@@ -18,6 +18,11 @@ from skyloom.quality.metrics import gate_report
 from skyloom.sources import lake, sinks
 
 _ORDER = ["_src", "_pos"]
+_HISTORICAL_COLUMNS = ", ".join(
+    ["station_id string", "station_name string", "province string", "date string", "year int"]
+    + [f"{name} double" for _, name in flatten.CLIMATOLOGY]
+    + ["extraction_date string", "_src string", "_pos int"]
+)
 TASK_FEED = {
     "extract_openweather": "observation",
     "extract_openmeteo_daily": "daily",
@@ -110,15 +115,27 @@ def latest_silver(spark: SparkSession, layout: Layout, feed: str, date: str) ->
     return lake.read_table(spark, snapshots[-1]) if snapshots else None
 
 
+def all_historical(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    """Every finished historical snapshot in one read; unreadable files are left
+    out.  ``_folder`` keeps the order of the snapshots."""
+    folders = lake.finished_folders(spark, f"{layout.silver('historical')}/historical/*/*")
+    if not folders:
+        return None
+    rows = lake.read_table(spark, folders, _HISTORICAL_COLUMNS, skip_bad_files=True)
+    return rows.withColumn("_folder", F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/", 1))
+
+
 def load(
     spark: SparkSession, layout: Layout, feed: str, date: str, run_at: datetime, strict: bool = False
 ) -> dict:
-    """The latest silver snapshot into its table, behind the quality gate.
+    """The latest silver snapshot into its table, behind the quality gate; of the
+    historical feed all snapshots.
 
     Returns the row accounting and, for feeds with a suite, the quality scores.
     """
     moment = F.lit(run_at).cast("timestamp_ntz")
-    silver = latest_silver(spark, layout, feed, date)
+    historical = feed == "historical"
+    silver = all_historical(spark, layout) if historical else latest_silver(spark, layout, feed, date)
     stations = sinks.read_published(spark, layout.table("dim_aemet_stations"))
     if feed == "stations":
         merged = dims.load_stations(stations, silver, moment)
@@ -128,7 +145,7 @@ def load(
         return {"rows_input": count, "rows_loaded": count, "rows_rejected": 0}
     if silver is None:
         return {"rows_input": 0, "rows_loaded": 0, "rows_rejected": 0}
-    spec = FACTS["station_day" if feed == "historical" else feed]
+    spec = FACTS["station_day" if historical else feed]
     scores = {}
     if spec.suite:
         scores = gate_report(silver.drop(*_ORDER), suite_for(spec.suite), spec.table, moment, strict)
@@ -136,7 +153,7 @@ def load(
         dim = dims.ensure_stations(stations, moment)
     else:
         dim = sinks.read_published(spark, layout.table("dim_city"))
-    order = ["bronze_source"] if feed == "observation" else _ORDER
+    order = ["bronze_source"] if feed == "observation" else ["_folder", *_ORDER] if historical else _ORDER
     counts = load_fact(silver, spec, dim, layout.fact(feed), moment, order, F.lit(date))
     return {**counts, "table": spec.table, "scores": scores}
 

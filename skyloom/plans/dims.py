@@ -183,7 +183,8 @@ def surrogate_keys(dim: DataFrame, names: DataFrame, key: str, ident: str) -> Da
     """Ids for the keys of ``names`` that ``dim`` lacks, continuing its last id."""
     new = names.select(key).distinct().join(dim.select(key), key, "left_anti")
     start = dim.agg(F.max(ident)).first()[0] or 0
-    return number_rows(new, [key], ident, start)
+    numbered = number_rows(new, [key], ident, start)
+    return numbered.withColumn(ident, F.col(ident).cast(dict(dim.dtypes)[ident]))
 
 
 def dims_all(

@@ -196,7 +196,13 @@ def test_latest_snapshot_wins_and_historical_reads_all(spark, tmp_path):
         put(tmp_path, f"historical/{year}/3129/h.json", {"station_id": "3129", "year": year, "_metadata": META,
             "records": [{"fecha": f"{year}-05-01", "tmed": "1,0"}]})
     daily.transform(spark, layout, "historical", "2026-01-29", datetime(2026, 1, 29, 6))
-    assert daily.load(spark, layout, "historical", "2026-01-29", datetime(2026, 1, 29, 6))["rows_loaded"] == 2
+    put(tmp_path, "historical/2025/3129/h.json", {"station_id": "3129", "year": 2025, "_metadata": META,
+        "records": [{"fecha": "2025-05-01", "tmed": "9,0"}, {"fecha": "2025-05-02", "tmed": "2,0"}]})
+    daily.transform(spark, layout, "historical", "2026-01-29", datetime(2026, 1, 29, 7))
+    assert daily.load(spark, layout, "historical", "2026-01-29", datetime(2026, 1, 29, 7))["rows_loaded"] == 3
+    loaded = {r.date_id: float(r.temp_avg) for r in spark.read.parquet(layout.fact("historical")).collect()}
+    assert loaded == {20240501: 1.0, 20250501: 1.0, 20250502: 2.0}  # the first snapshot wins
+    assert daily.load(spark, layout, "historical", "2026-01-29", datetime(2026, 1, 29, 8))["rows_loaded"] == 0
 
 
 def test_incremental_load_replays_nothing(spark, tmp_path):
