@@ -127,7 +127,8 @@ def star_rollup(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("id_calendar_month")
     )
-    joined = located.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    month = {"id_calendar_month": "id_calendar_month"}
+    joined = lookup.dim_join(located, orders, "l_orderkey", "o_orderkey", month, how="inner")
     return rounded(
         joined.groupBy("city_name", "id_calendar_month").agg(
             F.count(F.lit(1)).alias("n_rows"), F.avg("l_quantity").alias("avg_quantity"),

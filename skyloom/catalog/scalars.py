@@ -85,8 +85,7 @@ def clean_nan(spark, sf_dir):
 )
 def epoch_to_ts(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
-    moment = clean.epoch_to_ts(seconds)
+    moment = clean.epoch_to_ts(clean.ts_to_epoch(F.col("ts")))
     return events.select("event_id", F.date_format(moment, "yyyy-MM-dd HH:mm:ss").alias("observed_at"))
 
 

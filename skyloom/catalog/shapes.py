@@ -146,7 +146,7 @@ FROM orders""",
 FROM events GROUP BY event_type, cast(cast(ts as date) as string)""",
 }
 
-_SPARK = {"epoch": "unix_seconds(cast(ts as timestamp))"}
+_SPARK = {"epoch": "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"}
 _DUCK = {"epoch": "floor(epoch(ts))"}
 _SOURCE = {"nation", "customer", "events", "supplier", "orders"}
 

@@ -67,6 +67,11 @@ def epoch_to_ts(seconds: Column) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + span
 
 
+def ts_to_epoch(moment: Column) -> Column:
+    """A naive UTC timestamp to Unix seconds, whatever the session zone is."""
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), moment)
+
+
 def iso_to_ts(text: Column) -> Column:
     """ISO date or date-time text to a naive timestamp, null when unreadable."""
     return text.cast("string").try_cast("timestamp_ntz")
@@ -95,8 +100,7 @@ def run_stamp(moment: Column) -> Column:
 
 def duration_seconds(start: Column, end: Column) -> Column:
     """Whole seconds between two timestamps, half to even."""
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return F.rint(micros / F.lit(1e6)).cast("int")
+    return F.rint(F.timestamp_diff("MICROSECOND", start, end) / F.lit(1e6)).cast("int")
 
 
 def typed(value: Column, rule: str) -> Column:

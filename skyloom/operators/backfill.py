@@ -53,9 +53,14 @@ def with_action(found: DataFrame, log: DataFrame, force: bool = False) -> DataFr
 
 
 def to_do(found: DataFrame, log: DataFrame) -> DataFrame:
-    """Gaps without a successful run of the same task and day."""
-    done = log.filter(F.col("status") == "success").select(
-        F.col("execution_date").cast("string").alias("execution_date"), "task_id"
+    """Gaps without a successful run of the same task and day.
+
+    Many successful runs of one task and day become one row before the join.
+    """
+    done = (
+        log.filter(F.col("status") == "success")
+        .select(F.col("execution_date").cast("string").alias("execution_date"), "task_id")
+        .distinct()
     )
     return found.join(done, ["execution_date", "task_id"], "left_anti")
 

@@ -52,8 +52,7 @@ def _latest(df: DataFrame, column: str) -> dict[str, Column]:
 
 
 def _freshness(as_of: Column, max_age_hours: float) -> Column:
-    micros = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("latest").cast("timestamp"))
-    age = micros / F.lit(3.6e9)
+    age = F.timestamp_diff("MICROSECOND", F.col("latest"), as_of) / F.lit(3.6e9)
     score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - age / max_age_hours))
     return F.when(F.col("latest").isNull() | (F.col("unreadable") > 0), 0.0).otherwise(score)
 

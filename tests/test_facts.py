@@ -272,6 +272,18 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
     assert sinks.read_published(spark, str(root)).count() == 1
 
 
+def test_named_documents_come_before_the_prefix(spark, tmp_path):
+    fill(tmp_path)
+    root = str(tmp_path / "lake" / "bronze")
+    prefix = "air_quality/2026-01-29/"
+    assert lake.documents_or_prefix(spark, None, root, prefix).count() == 4
+    one = lake.documents_or_prefix(spark, [f"{prefix}air_Madrid.json"], root, prefix)
+    assert one.count() == 1 and one.first().path.endswith("air_Madrid.json")
+    layout = daily.Layout(str(tmp_path / "lake"), str(tmp_path / "w"))
+    done = daily.transform(spark, layout, "air_quality", "2026-01-29", datetime(2026, 1, 29, 6), [f"bronze/{prefix}air_Madrid.json"])
+    assert done["rows"] == 3 and done["bytes"] > 0
+
+
 def test_paths(spark):
     df = spark.createDataFrame([("s3://b/current/2026-01-29/weather_las palmas_20260129_060000.json",), ("else.json",)], "p string")
     parts = lake.parse_path(F.col("p"), "current/{date}/weather_{city}_{timestamp}.json")

@@ -76,6 +76,17 @@ def test_orphans_and_unknown_keys(spark):
     assert sorted(rows(found)) == [("c", "5", 1), ("d", "z", 1)]
 
 
+def test_first_keys(spark):
+    df = spark.createDataFrame([(k,) for k in "dbacfe" * 2], "k string")
+    assert [r.key for r in lookup.first_keys(df, "k", 3).collect()] == ["a", "b", "c"]
+
+
+def test_wide_side_does_not_fit(spark):
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 100).alias("t"))
+    assert lookup.fits_broadcast(wide, 10, max_bytes=2000)
+    assert not lookup.fits_broadcast(wide, 10, max_bytes=900)
+
+
 def test_insert_twice(spark):
     batch = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 3)], "k int, v string, o int")
     first = merge.insert_if_absent(batch, None, ["k"], ["o"])
