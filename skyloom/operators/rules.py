@@ -16,12 +16,6 @@ def drop_all_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return normalise_nan(df).dropna(how="all", subset=list(columns))
 
 
-def with_null_key_reason(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows with the first missing key column as ``reject_reason``."""
-    missing = F.coalesce(*[F.when(F.col(k).isNull(), F.lit(f"null_key:{k}")) for k in key])
-    return df.withColumn("reject_reason", missing)
-
-
 def season_rules() -> dict[str, Column]:
     return {
         "hemisphere_known": F.col("hemisphere").isin(*fixed.HEMISPHERES),
