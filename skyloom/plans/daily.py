@@ -46,7 +46,8 @@ class Layout:
         head = fixed.BRONZE_PATHS[feed].split("{", 1)[0]
         return f"{self.lake}/bronze/{head}" if feed == "historical" else f"{self.lake}/bronze/{head}{date}/"
 
-    def silver(self, feed: str) -> str:
+    @property
+    def silver(self) -> str:
         return f"{self.lake}/silver"
 
     def silver_prefix(self, feed: str, date: str) -> str:
@@ -101,16 +102,16 @@ def transform(
     docs = lake.documents_or_prefix(spark, handed_over, layout.lake, prefix)
     rows = _flat(docs, feed, date, stamp)
     path = fixed.SILVER_PATHS[feed].format(date=date, timestamp=stamp)
-    target = f"{layout.silver(feed)}/{path}"
+    target = f"{layout.silver}/{path}"
     if feed == "observation":
         return {"path": path, **sinks.write_table(rows, target)}
-    return {"path": path, **sinks.append_snapshot(rows, layout.silver(feed), path)}
+    return {"path": path, **sinks.append_snapshot(rows, layout.silver, path)}
 
 
 def latest_silver(spark: SparkSession, layout: Layout, feed: str, date: str) -> DataFrame | None:
     """The last finished snapshot of a feed and date."""
     snapshots = lake.finished_folders(
-        spark, f"{layout.silver(feed)}/{layout.silver_prefix(feed, date)}*"
+        spark, f"{layout.silver}/{layout.silver_prefix(feed, date)}*"
     )
     return lake.read_table(spark, snapshots[-1]) if snapshots else None
 
@@ -118,7 +119,7 @@ def latest_silver(spark: SparkSession, layout: Layout, feed: str, date: str) ->
 def all_historical(spark: SparkSession, layout: Layout) -> DataFrame | None:
     """Every finished historical snapshot in one read; unreadable files are left
     out.  ``_folder`` keeps the order of the snapshots."""
-    folders = lake.finished_folders(spark, f"{layout.silver('historical')}/historical/*/*")
+    folders = lake.finished_folders(spark, f"{layout.silver}/historical/*/*")
     if not folders:
         return None
     rows = lake.read_table(spark, folders, _HISTORICAL_COLUMNS, skip_bad_files=True)

@@ -1,5 +1,6 @@
 import json
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from conftest import rows
@@ -58,7 +59,7 @@ def test_sunrise_and_overflow(spark):
     df = silver(spark, "daily", {"city_name": "Madrid", "time": "2026-01-29", "temperature_2m_max": 12.345, "sunrise": "2026-01-29T08:30"},
                 {"city_name": "Barcelona", "time": "2026-01-29", "temperature_2m_max": 1000.0})
     out = build(df, "daily", spark)
-    assert rows(out.select("temp_max", "sunrise")) == [(__import__("decimal").Decimal("12.35"), "08:30:00")]
+    assert rows(out.select("temp_max", "sunrise")) == [(Decimal("12.35"), "08:30:00")]
     counts = facts.load_accounting(df, FACTS["daily"], cities(spark), as_of(), ["o"])
     assert dict(rows(counts)) == {"loaded": 1, "duplicate": 0, "conflict": 0, "overflow:temp_max": 1}
 
