@@ -192,7 +192,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     their names, are not read.
     """
     rows = _light(docs, id_col, text_col)
-    return rows.join(keepers(rows), "digest").select(
+    # stored, so that both sides of the join are plain shuffles and a hot group can be split
+    return rows.join(written(keepers(rows), "keepers"), "digest").select(
         F.col("id").alias("doc_id"), "keep_id", "group_size",
         (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
@@ -201,7 +202,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_dedup`` drops, all columns kept."""
-    keep = keepers(_light(docs, id_col, text_col)).select(F.col("digest").alias("kd"), "keep_id")
+    keep = written(keepers(_light(docs, id_col, text_col)), "keepers").select(F.col("digest").alias("kd"), "keep_id")
     digest, chars = with_digest(text_col)
     packed = docs.select(
         F.struct("*").alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"),
