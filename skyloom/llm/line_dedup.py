@@ -65,14 +65,16 @@ def repeated_runs(
         F.transform(split, lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"),
     )
     each = windows(rows, lines, long_words)
-    first = (
+    # stored, so that both sides of the join are plain shuffles and a hot window can be split
+    first = written(
         each.groupBy("fingerprint", "content", "length")
         .agg(F.min(F.struct("order", "start")).alias("least"), F.count("*").alias("places"))
         .where("places > 1")
         .select(
             "fingerprint", "content", "length",
             F.col("least.order.c").alias("first_row"), F.col("least.start").alias("first_start"),
-        )
+        ),
+        "first",
     )
     elsewhere = (F.col("row") != F.col("first_row")) | (F.col("start") >= F.col("first_start") + F.col("length"))
     later = each.join(first, ["fingerprint", "content", "length"]).where(elsewhere)

@@ -126,7 +126,9 @@ def secret_spans(
     rows, each = candidates(docs, kinds, id_col, text_col, owner_col, repo_col)
     each = written(each, "candidates")
     live = F.col("owners") <= max_owners
-    known = each.join(ownership(each), "hash").withColumn("live", live).where(F.col("base") | F.col("live"))
+    # stored, so that both sides of the join are plain shuffles and a hot value can be split
+    owned = written(ownership(each), "owners")
+    known = each.join(owned, "hash").withColumn("live", live).where(F.col("base") | F.col("live"))
     spans = known.groupBy("row").agg(
         F.sort_array(
             F.collect_list(F.struct("start", "number", "kind", "end", "base", "owners", "repos", "live"))
