@@ -63,26 +63,48 @@ def read_model(path: str) -> Vocabulary:
 class PieceCoder:
     """Encodes runs of text; runs end where no piece can cross."""
 
-    def __init__(self, vocabulary: Vocabulary, remembered: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, remembered: int = 400_000):
         import ahocorasick
 
         self.ids, self.ranks, self.byte_ids = vocabulary.ids, vocabulary.ranks, vocabulary.bytes_
         self.pieces = {i: piece for piece, i in self.ids.items()}
+        self.plain = {i: piece.replace(SPACE, " ").encode() for piece, i in self.ids.items()}
+        self.plain |= {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
         self.characters = {piece for piece in self.ids if len(piece) == 1}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.remembered = remembered
         self.known: dict[str, tuple[str, str]] = {}
-        inner = any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.ids)
-        lines = any("\n" in piece for piece in self.ids)
-        letters = "" if lines else r"\n"
-        self.runs = (
-            re.compile(rf"\n|{SPACE}*[^{SPACE}{letters}]+|{SPACE}+") if not inner and not lines
-            else re.compile(r"\n|[^\n]+") if not lines else re.compile(r"(?s).+")
-        )
+        self.older: dict[str, tuple[str, str]] = {}
+        self.runs = re.compile(self._runs())
+
+    def _runs(self) -> str:
+        """A pattern that cuts text only where no piece can cross: before a space
+        after other characters, at line feeds, and between two sets of characters
+        that never stand side by side in a piece."""
+        if any("\n" in piece for piece in self.ids):
+            return r"(?s).+"
+        if any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.ids):
+            return r"\n|[^\n]+"
+        beside: dict[str, set[str]] = {}
+        for piece in self.ids:
+            for a, b in zip(piece, piece[1:]):
+                if a != SPACE:
+                    beside.setdefault(a, set()).add(b)
+                    beside.setdefault(b, set()).add(a)
+        marks, open_ = set(), ["."]  # the characters that the full stop hangs together with
+        while open_:
+            c = open_.pop()
+            if c not in marks:
+                marks.add(c)
+                open_.extend(beside.get(c, ()))
+        if any(c.isalpha() for c in marks):
+            return rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+"
+        group = "".join(re.escape(c) for c in sorted(marks))
+        return rf"\n|{SPACE}*[^{SPACE}\n{group}]+|{SPACE}*[{group}]+|{SPACE}+"
 
     def merge(self, text: str) -> list[str]:
         """Merge characters pair by pair: the best rank first, then the leftmost."""
@@ -100,7 +122,7 @@ class PieceCoder:
 
     def compatible(self, before: int, token: int) -> bool:
         """Whether ``token`` may follow ``before`` (UNKNOWN: nothing that could merge with it)."""
-        key = (before, token)
+        key = before * 1_000_000 + token
         found = self.fits.get(key)
         if found is None:
             right = self.pieces[token]
@@ -114,20 +136,25 @@ class PieceCoder:
     def last_tokens(self, run: str) -> list[int | None]:
         """The last token of every prefix; UNKNOWN for a character outside the vocabulary."""
         last: list[int | None] = [None] * (len(run) + 1)
-        for i, c in enumerate(run):
-            if c not in self.characters:
-                last[i + 1] = UNKNOWN
+        if not self.characters.issuperset(run):
+            for i, c in enumerate(run):
+                if c not in self.characters:
+                    last[i + 1] = UNKNOWN
         last[0] = UNKNOWN
-        compatible = self.compatible
+        fits, compatible = self.fits, self.compatible
         for end, (token, length) in self.automaton.iter(run):
-            if last[end + 1] is None:
-                before = last[end + 1 - length]
-                if before is not None and compatible(before, token):
-                    last[end + 1] = token
+            end += 1
+            if last[end] is None:
+                before = last[end - length]
+                if before is not None:
+                    good = fits.get(before * 1_000_000 + token)
+                    if compatible(before, token) if good is None else good:
+                        last[end] = token
         return last
 
     def encode_run(self, run: str) -> list[int]:
         last, at, out = self.last_tokens(run), len(run), []
+        pieces = self.pieces
         while at:
             token = last[at]
             if token == UNKNOWN:
@@ -135,37 +162,31 @@ class PieceCoder:
                 at -= 1
             else:
                 out.append(token)
-                at -= len(self.pieces[token])
+                at -= len(pieces[token])
         return out[::-1]
 
     def decode_ids(self, ids: Iterable[int]) -> str:
         """Text of ids; the space that stands before every text is not cut here."""
-        values = {i: b for b, i in enumerate(self.byte_ids)}
-        out = bytearray()
-        for i in ids:
-            if i in values:
-                out.append(values[i])
-            else:
-                out += self.pieces[i].replace(SPACE, " ").encode()
-        return out.decode("utf-8", "replace")
+        return b"".join(map(self.plain.__getitem__, ids)).decode("utf-8", "replace")
 
     def _run(self, run: str) -> tuple[str, str]:
-        found = self.known.get(run)
+        """Runs met lately are kept in two generations of bounded size."""
+        found = self.older.get(run)
         if found is None:
             ids = self.encode_run(run)
             found = ",".join(map(str, ids)), self.decode_ids(ids)
-            if len(run) <= 64:
-                if len(self.known) >= self.remembered:
-                    self.known.clear()
-                self.known[run] = found
+        if len(run) <= 64:
+            if len(self.known) >= self.remembered:
+                self.older, self.known = self.known, {}
+            self.known[run] = found
         return found
 
     def encode(self, text: str) -> tuple[str, str]:
         """Decimal ids joined by commas, and the decoded text."""
         if not text:
             return "", ""
-        known, one = self.known, self._run
-        parts = [known.get(run) or one(run) for run in self.runs.findall(SPACE + text.replace(" ", SPACE))]
+        one = self._run
+        parts = [self.known.get(run) or one(run) for run in self.runs.findall(SPACE + text.replace(" ", SPACE))]
         return ",".join([ids for ids, _ in parts]), "".join([plain for _, plain in parts])[1:]
 
 
