@@ -35,46 +35,43 @@ def words_buffer(text: str) -> bytes:
     return b" " + b" ".join(words) + b" " if words else b""
 
 
-def features(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Table places of all features, ordered by word, and the first place of each word.
+def grams(buffer: bytes) -> tuple[int, list[tuple[np.ndarray, np.ndarray]]]:
+    """Number of words, and per kind of feature its table places and their words, in order of words.
 
     ``buffer`` holds words between single spaces, from the first byte to the last.
     """
     data = np.frombuffer(buffer, dtype=np.uint8)
     space = data == 32
-    word = np.cumsum(space) - 1  # of a gram that starts here
+    word = np.cumsum(space, dtype=np.int32) - 1  # of a gram that starts here
     n_words = int(word[-1])
     mask = np.uint64((1 << TABLE_BITS) - 1)
     wide = data.astype(np.uint64)
-    places, owners = [], []
-    lexicon = np.zeros(n_words, dtype=np.uint64)
+    parts = []
     for n in GRAMS:
-        count = len(data) - n + 1
-        if count <= 0:
-            continue
+        count = max(0, len(data) - n + 1)
         key = np.full(count, np.uint64(n))
-        inner = np.zeros(count, dtype=bool)
+        good = np.ones(count, dtype=bool)
         for k in range(n):
             key = (key << np.uint64(8)) | wide[k : k + count]
             if 0 < k < n - 1:
-                inner |= space[k : k + count]
-        good = ~inner
-        if n == 2:
-            good &= ~(space[:count] & space[1 : 1 + count])
+                good &= ~space[k : k + count]
         key = mixed(key[good])
         owner = word[:count][good]
-        places.append((key & mask).astype(np.int32))
-        owners.append(owner)
-        if n == 2:  # the sum over a word's pairs of places tells the word
+        parts.append(((key & mask).astype(np.int32), owner))
+        if n == GRAMS[0]:  # the pairs of a word and their places tell the word
             starts = np.flatnonzero(np.diff(owner, prepend=-1))
-            order = np.arange(len(owner)) - starts[owner]
-            lexicon = np.add.reduceat(mixed(key ^ (order.astype(np.uint64) << np.uint64(40))), starts)
-    places.append((mixed(lexicon ^ np.uint64(0xA5A5)) & mask).astype(np.int32))
-    owners.append(np.arange(n_words))
-    owner = np.concatenate(owners)
+            place = (np.arange(len(owner)) - starts[owner]).astype(np.uint64)
+            lexicon = np.add.reduceat(mixed(key ^ (place << np.uint64(40))), starts)
+            whole = (mixed(lexicon ^ np.uint64(0xA5A5)) & mask).astype(np.int32)
+    return n_words, [*parts, (whole, np.arange(n_words, dtype=np.int32))]
+
+
+def features(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Table places of all features, ordered by word, and the first place of each word."""
+    _, parts = grams(buffer)
+    owner = np.concatenate([o for _, o in parts])
     order = np.argsort(owner, kind="stable")
-    owner = owner[order]
-    return np.concatenate(places)[order], np.flatnonzero(np.diff(owner, prepend=-1))
+    return np.concatenate([p for p, _ in parts])[order], np.flatnonzero(np.diff(owner[order], prepend=-1))
 
 
 class Chain:
@@ -82,10 +79,22 @@ class Chain:
 
     def __init__(self, weights: np.ndarray, transitions: np.ndarray):
         self.weights, self.transitions = weights, transitions
+        self.columns = [np.ascontiguousarray(column) for column in weights.T]
 
     def emissions(self, places: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return np.add.reduceat(self.weights[places], starts, axis=0)
 
+    def scores(self, buffer: bytes) -> np.ndarray:
+        """Sums of the weights of all features, per word and language."""
+        n_words, parts = grams(buffer)
+        total = np.zeros((n_words, self.weights.shape[1]), dtype=np.float32)
+        for places, owner in parts:
+            if len(places):
+                starts = np.flatnonzero(np.diff(owner, prepend=-1))
+                for label in range(total.shape[1]):
+                    total[owner[starts], label] += np.add.reduceat(self.columns[label][places], starts)
+        return total
+
     def marginals(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Forward-backward over sequences that lie one after the other in ``scores``.
 
@@ -198,17 +207,18 @@ def remainder(id_col: Column) -> Column:
 
 def sample(docs: DataFrame, per_language: int, id_col: str, text_col: str, lang_col: str) -> list:
     """At most ``per_language`` labelled documents of each language, those with
-    the smallest hash of their id; ids and labels are read first, then these texts."""
+    the smallest hash of their id; languages are counted first, so that few texts are sorted."""
     key, lang = F.col(f"`{id_col}`"), F.col(f"`{lang_col}`")
     usable = lang.isNotNull() & ~F.coalesce(remainder(key) == 1, F.lit(False))
+    counts = docs.where(usable).groupBy(lang.alias("lang")).agg(F.count("*").alias("n")).collect()
     order = F.xxhash64(key)
+    share = F.lit(0.0)
+    for c in counts:  # somewhat more than wanted, the same for every size of the table
+        share = F.when(lang == c.lang, F.lit(min(1.0, 1.5 * per_language / c.n))).otherwise(share)
+    drawn = docs.where(usable & (order.cast("double") / 2.0**64 + 0.5 <= share))
+    drawn = drawn.select(lang.alias("lang"), order.alias("order"), text_of(f"`{text_col}`").alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    picked = docs.where(usable).select(lang.alias("lang"), order.alias("order")).withColumn("rank", rank)
-    bounds = picked.where(F.col("rank") <= per_language).groupBy("lang").agg(F.max("order").alias("most")).collect()
-    wanted = F.lit(False)
-    for b in bounds:
-        wanted = wanted | ((lang == b.lang) & (order <= b.most))
-    texts = docs.where(usable & wanted).select(lang.alias("lang"), order.alias("order"), text_of(f"`{text_col}`").alias("text"))
+    texts = drawn.withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank")
     return sorted(texts.collect(), key=lambda r: (r.lang, r.order, r.text))
 
 
@@ -239,7 +249,7 @@ def predictor(
         if use:
             lengths = np.array([buffers[i].count(b" ") - 1 for i in use])
             joined = b"".join(buffers[i][:-1] for i in use) + b" "
-            probability = field.marginals(field.emissions(*features(joined)), lengths)
+            probability = field.marginals(field.scores(joined), lengths)
             first = np.cumsum(lengths) - lengths
             mass = np.add.reduceat(probability, first, axis=0) / lengths[:, None]
             best = mass.argmax(axis=1)
