@@ -293,7 +293,8 @@ def _verified(docs, table, clustered, words: int, threshold: float, id_col: str,
     """(rep, links, root): exact links within clusters, stored."""
     wanted = clustered.select("rep_id", F.col("set").alias("wanted"), "rep", "cluster", "copies")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(f"`{text_col}`").alias("text"))
-    texts = texts.join(wanted, F.col("id").eqNullSafe(F.col("rep_id"))).select("text", "wanted", "rep", "cluster", "copies")
+    # one plan at every size: the clustered side grows with the corpus, so it is never broadcast
+    texts = texts.join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("rep_id"))).select("text", "wanted", "rep", "cluster", "copies")
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in slices(frames, "text", 2_000_000):
