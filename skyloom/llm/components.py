@@ -17,6 +17,8 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
         near = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = near.groupBy("u").agg(F.min("v").alias("w"))
     least = least.select("u", F.least("u", "w").alias("m"))
+    if larger:  # stored, so that the join has two plain shuffles and a hub can be split
+        least = checkpointed(least)
     hung = near.join(least, "u")
     if larger:
         out = hung.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
