@@ -265,7 +265,7 @@ def predictor(
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         field = Chain(*sent.value)
         for texts in batches:
-            parts = [label(field, rows["text"]) for rows in slices([pd.DataFrame({"text": texts})], "text", 1_500_000)]
+            parts = [label(field, rows["text"]) for rows in slices([pd.DataFrame({"text": texts})], "text", 1_000_000)]
             yield pd.concat(parts, ignore_index=True) if parts else label(field, texts)
 
     return predict

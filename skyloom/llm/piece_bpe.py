@@ -63,7 +63,7 @@ def read_model(path: str) -> Vocabulary:
 class PieceCoder:
     """Encodes runs of text; runs end where no piece can cross."""
 
-    def __init__(self, vocabulary: Vocabulary, remembered: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, remembered: int = 200_000):
         import ahocorasick
 
         self.ids, self.ranks, self.byte_ids = vocabulary.ids, vocabulary.ranks, vocabulary.bytes_
