@@ -171,7 +171,7 @@ def _ranges(array: np.ndarray, strings: np.ndarray, depth: np.ndarray) -> tuple[
 def _count_cell(floor: int):
     def step(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(p) or not len(q):
-            return pd.DataFrame({"key": [], "counts": []})
+            return pd.DataFrame({"key": pd.Series(dtype="int64"), "counts": pd.Series(dtype=object)})
         array, strings = np.sort(p["string"].to_numpy()), q["string"].to_numpy()
         counts = np.zeros((len(q), BITS + 1 - floor), np.int64)
         for depth in range(floor, BITS + 1):
@@ -184,7 +184,8 @@ def _count_cell(floor: int):
 
 def _score_cell(k: int):
     def step(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"query": [], "key": [], "ids": [], "score": []})
+        kinds = {"query": "int64", "key": "int64", "ids": object, "score": "float64"}
+        none = pd.DataFrame({name: pd.Series(dtype=kind) for name, kind in kinds.items()})
         if not len(p) or not len(q):
             return none
         order = np.argsort(p["string"].to_numpy(), kind="stable")
@@ -246,15 +247,18 @@ def nearest(
     least = min(enough, TREES * top.rows) if top.rows else 0
     found, open_ = None, queries
     while True:
-        light_p, light_q = _meet(points.select("key", "point"), open_.select("key", "query"), depth)
         cell = ["tree", "cell", "pi", "qi"]
-        counts = light_p.groupBy(cell).cogroup(light_q.groupBy(cell)).applyInPandas(_count_cell(depth), "key long, counts array<long>")
-        sums = counts.select("key", F.posexplode("counts").alias("up", "n")).groupBy("key", "up").agg(F.sum("n").alias("n"))
-        # the deepest level, the same in all trees, at which enough candidates are met
-        reached = written(
-            sums.where(F.col("n") >= (least if depth else 0)).groupBy("key").agg((F.max("up") + depth).cast("long").alias("depth")), "depths"
-        )
-        ready = open_.join(reached, "key")
+        if depth:
+            light_p, light_q = _meet(points.select("key", "point"), open_.select("key", "query"), depth)
+            counts = light_p.groupBy(cell).cogroup(light_q.groupBy(cell)).applyInPandas(
+                _count_cell(depth), "key long, counts array<long>"
+            )
+            sums = counts.select("key", F.posexplode("counts").alias("up", "n")).groupBy("key", "up").agg(F.sum("n").alias("n"))
+            # the deepest level, the same in all trees, at which enough candidates are met
+            deepest = sums.where(F.col("n") >= least).groupBy("key").agg((F.max("up") + depth).cast("long").alias("depth"))
+            ready = open_.join(written(deepest, "depths"), "key")
+        else:  # at the root everything is met
+            ready = open_.withColumn("depth", F.lit(0).cast("long"))
         p, q = _meet(points.select("key", "ids", "v", "point"), ready, depth)
         hits = p.groupBy(cell).cogroup(q.groupBy(cell)).applyInPandas(
             _score_cell(k), "query long, key long, ids array<long>, score double"

@@ -121,6 +121,10 @@ def _copies_of_cells(cap: int):
                     add = min(most * (1 if most == 1 else n[i]), cap * n[i] - copies[i], int(left // size[i]))
                     copies[i] += add
                     left -= add * size[i]
+        room = np.flatnonzero((size > 0) & (copies < cap * n))
+        if len(room):  # one more copy, if it ends nearer to the target
+            i = room[np.argmin(np.abs(left - size[room]))]
+            copies[i] += abs(left - size[i]) < abs(left)
         rows["copies"] = copies
         return rows[["key", "size", "n", "copies"]]
 
