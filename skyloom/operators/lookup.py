@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
-HOT_SHARE = 0.001
 
 
 def fits_broadcast(
@@ -39,12 +38,10 @@ def dim_join(
 
     ``dim`` must hold one row per key, and should be stored: a side that is
     itself the result of a big aggregation is better checkpointed first, as the
-    size check runs it.  Up to ``max_rows`` dimension rows are
-    broadcast.  A larger dimension is joined by shuffle, except for the rows of
-    hot keys: frequent items at support s can number at most 1/s, so the
-    dimension rows of the hot keys are always few enough to broadcast and no
-    shuffle partition receives a key that holds a large share of the table.
-    Null keys match nothing and stay on the broadcast side too.
+    size check runs it.  Up to ``max_rows`` dimension rows are broadcast.  Beyond
+    that it is one sort-merge join, with one read and one shuffle of the fact;
+    ``spark.sql.adaptive.skewJoin`` splits the partition of a key that holds a
+    large share of the table.
     """
     small = dim.select(
         F.col(dim_key).alias("_dim_key"),
@@ -54,22 +51,8 @@ def dim_join(
     if fits_broadcast(small, max_rows):
         return fact.join(F.broadcast(small), on, how).drop("_dim_key")
 
-    hot = (
-        fact.select(F.col(fact_key).alias("key"))
-        .filter("key is not null")
-        .stat.freqItems(["key"], HOT_SHARE)
-        .select(F.explode("key_freqItems").alias("_hot_key"))
-    )
-    marked = fact.join(F.broadcast(hot), F.col(fact_key) == F.col("_hot_key"), "left")
-    hot_dim = small.join(F.broadcast(hot), F.col("_dim_key") == F.col("_hot_key"), "left_semi")
-    is_hot = F.col("_hot_key").isNotNull() | F.col(fact_key).isNull()
-    frequent = marked.filter(is_hot).drop("_hot_key")
-    rare = marked.filter(~is_hot).drop("_hot_key")
-    return (
-        frequent.join(F.broadcast(hot_dim), on, how)
-        .unionByName(rare.join(small, on, how))
-        .drop("_dim_key")
-    )
+    # both sides are shuffled once; adaptive execution splits the partitions of hot keys
+    return fact.join(small.hint("merge"), on, how).drop("_dim_key")
 
 
 def one_row_per_name(dim: DataFrame, name: str, ident: str) -> DataFrame:

@@ -68,40 +68,38 @@ def upsert(
     Where a source row exists its ``updates`` columns win and ``on_update``
     columns take the given expression; every other column, the surrogate
     ``ident`` included, stays.  New keys get ``on_insert`` values and the next
-    ids in key order.  ``order`` decides which of several source rows for one
-    key is the last.
+    ids in key order.  Of several source rows for one key the last in ``order``
+    counts; without an order the greatest by all its other columns does, so a
+    key never becomes two rows.
+
+    Source and target meet in one full outer join; with an ``ident`` its result
+    is kept in reliable storage, and only the unmatched rows are numbered.
     """
     on_update, on_insert = on_update or {}, on_insert or {}
     key = list(key)
-    if order:
-        source = keep_last(source, key, order)
-    columns = target.columns
-    incoming = source.select(
-        *key, *[F.col(c).alias(f"_new_{c}") for c in updates], F.lit(True).alias("_hit")
-    )
-    hit = F.col("_hit").isNotNull()
+    source = keep_last(source, key, order or [c for c in source.columns if c not in key])
+    columns, types = target.columns, dict(target.dtypes)
+    fresh = {c: F.col(c) if c in updates else on_insert.get(c, F.lit(None)) for c in columns if c not in key}
+    incoming = source.select(*key, *[value.alias(f"_new_{c}") for c, value in fresh.items()], F.lit(True).alias("_hit"))
+    hit, old = F.col("_hit").isNotNull(), F.col("_old").isNotNull()
 
-    def changed(column: str) -> Column:
+    def merged(column: str) -> Column:
+        if column in key:
+            return F.col(column)
         if column in updates:
-            return F.when(hit, F.col(f"_new_{column}")).otherwise(F.col(column))
-        if column in on_update:
-            return F.when(hit, on_update[column]).otherwise(F.col(column))
-        return F.col(column)
-
-    types = dict(target.dtypes)
-    kept = target.join(incoming, key, "left").select(
-        *[changed(c).cast(types[c]).alias(c) for c in columns]
-    )
-    new = source.join(target.select(*key), key, "left_anti")
-    if ident:
-        start = target.agg(F.max(ident)).first()[0] or 0
-        new = number_rows(new, key, ident, start)
-    given = set(key) | set(updates) | ({ident} if ident else set())
-    blank = F.lit(None)
-    added = new.select(
-        *[
-            (F.col(c) if c in given else on_insert.get(c, blank)).cast(types[c]).alias(c)
-            for c in columns
-        ]
-    )
-    return kept.unionByName(added)
+            changed = F.when(hit, F.col(f"_new_{column}")).otherwise(F.col(column))
+        elif column in on_update:
+            changed = F.when(hit, on_update[column]).otherwise(F.col(column))
+        else:
+            changed = F.col(column)
+        return F.when(old, changed).otherwise(F.col(f"_new_{column}"))
+
+    joined = target.withColumn("_old", F.lit(True)).join(incoming, key, "full_outer")
+    out = joined.select("_old", *[merged(c).cast(types[c]).alias(c) for c in columns])
+    if not ident:
+        return out.drop("_old")
+    out = checkpointed(out)
+    kept = out.filter(F.col("_old").isNotNull()).drop("_old")
+    start = kept.agg(F.max(ident)).first()[0] or 0
+    new = number_rows(out.filter(F.col("_old").isNull()).drop("_old", ident), key, ident, start)
+    return kept.unionByName(new.withColumn(ident, F.col(ident).cast(types[ident])).select(*columns))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skyloom.fixed_values import FIRST_PARTITION_DAY, LAST_PARTITION_DAY
 from skyloom.operators.merge import insert_if_absent
 from skyloom.session import checkpointed
+from skyloom.sources.lake import folders_matching
 
 PARTITION = "p_month"
 
@@ -39,6 +40,12 @@ def date_range(df: DataFrame, date_id: str, low: int, high: int) -> DataFrame:
     return df.filter((months | (F.col(PARTITION) == "default")) & F.col(date_id).between(low, high))
 
 
+def added_months(spark: SparkSession, path: str) -> list[int]:
+    """Months that have a folder of their own: those first declared and those added later."""
+    names = [folder.rsplit("=", 1)[1] for folder in folders_matching(spark, f"{path.rstrip('/')}/{PARTITION}=*")]
+    return [int(name) for name in names if name.isdigit()]
+
+
 def write_months(df: DataFrame, path: str, date_id: str, mode: str = "append",
                  added: Sequence[int] = ()) -> int:
     """Append fact rows below their month folder; returns their number.

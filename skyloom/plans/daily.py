@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom import fixed_values as fixed
-from skyloom.operators import flatten, lineage
+from skyloom.operators import backfill, flatten, lineage
 from skyloom.plans import dims
 from skyloom.plans.facts import FACTS, create_table, load_fact
 from skyloom.quality.checks import suite_for
 from skyloom.quality.metrics import gate_report
+from skyloom.session import checkpointed
 from skyloom.sources import lake, sinks
 
 _ORDER = ["_src", "_pos"]
@@ -23,6 +24,7 @@ _HISTORICAL_COLUMNS = ", ".join(
     + [f"{name} double" for _, name in flatten.CLIMATOLOGY]
     + ["extraction_date string", "_src string", "_pos int"]
 )
+HISTORICAL_TASK = "load_aemet_historical"
 TASK_FEED = {
     "extract_openweather": "observation",
     "extract_openmeteo_daily": "daily",
@@ -32,6 +34,7 @@ TASK_FEED = {
     "extract_openmeteo_marine": "marine",
     "extract_aemet_stations": "stations",
     "extract_aemet_daily_climatology": "station_day",
+    HISTORICAL_TASK: "historical",
 }
 
 
@@ -64,15 +67,15 @@ def reset_warehouse(
     spark: SparkSession, layout: Layout, cities: DataFrame, run_at: datetime, week_rule: str = "iso"
 ) -> None:
     """Dimensions from their seeds, empty facts, empty logs."""
-    moment, version = F.lit(run_at).cast("timestamp_ntz"), f"{run_at:%Y%m%d_%H%M%S}"
+    moment = F.lit(run_at).cast("timestamp_ntz")
     for name, df in dims.dims_all(spark, cities, week_rule, moment).items():
-        sinks.publish(df, layout.table(name), version)
+        sinks.publish(df, layout.table(name))
     for feed, spec in FACTS.items():
         create_table(spark, spec, layout.fact(feed))
     logs = {"etl_run_log": lineage.RUN_LOG_COLUMNS, "etl_metrics": lineage.METRIC_COLUMNS,
             "lake_metadata": lineage.LAKE_COLUMNS}
     for name, columns in logs.items():
-        sinks.publish(spark.createDataFrame([], columns), layout.table(name), version)
+        sinks.publish(spark.createDataFrame([], columns), layout.table(name))
 
 
 # -- stages -----------------------------------------------------------------
@@ -96,9 +99,12 @@ def transform(
     """Bronze documents of a day to one silver snapshot; returns rows and bytes.
 
     Observations replace the snapshot of their date, all other feeds add one.
+    A day without documents writes nothing; its path is None.
     """
     stamp = f"{run_at:%Y%m%d_%H%M%S}"
     prefix = layout.bronze(feed, date).removeprefix(f"{layout.lake}/")
+    if not handed_over and not lake.folders_matching(spark, layout.bronze(feed, date)):
+        return {"path": None, "rows": 0, "bytes": 0}
     docs = lake.documents_or_prefix(spark, handed_over, layout.lake, prefix)
     rows = _flat(docs, feed, date, stamp)
     path = fixed.SILVER_PATHS[feed].format(date=date, timestamp=stamp)
@@ -139,9 +145,8 @@ def load(
     silver = all_historical(spark, layout) if historical else latest_silver(spark, layout, feed, date)
     stations = sinks.read_published(spark, layout.table("dim_aemet_stations"))
     if feed == "stations":
-        merged = dims.load_stations(stations, silver, moment)
         path = layout.table("dim_aemet_stations")
-        sinks.publish(merged, path, f"{run_at:%Y%m%d_%H%M%S}_{date}")
+        sinks.republish(spark, path, lambda last: dims.load_stations(last, silver, moment))
         count = sinks.read_published(spark, path).count()
         return {"rows_input": count, "rows_loaded": count, "rows_rejected": 0}
     if silver is None:
@@ -162,9 +167,17 @@ def load(
 def run_task(
     spark: SparkSession, layout: Layout, task: str, date: str, run_at: datetime, strict: bool = False
 ) -> dict:
-    """Transform and load what one extraction task delivered."""
+    """Transform and load what one extraction task delivered.
+
+    The historical task loads what lies in silver.  A day without documents is
+    a success with no rows; without an inventory the default stations are used.
+    """
     feed = TASK_FEED[task]
+    if feed == "historical":
+        return load(spark, layout, feed, date, run_at, strict)
     written = transform(spark, layout, feed, date, run_at)
+    if written["path"] is None and feed != "stations":
+        return {"rows_input": 0, "rows_loaded": 0, "rows_rejected": 0}
     return {"written": written, **load(spark, layout, feed, date, run_at, strict)}
 
 
@@ -175,16 +188,15 @@ def _source(task: str) -> str:
     return task.split("_")[1]
 
 
-def _start_log(spark, layout, tasks, date, moment, version) -> None:
+def _start_log(spark, layout, tasks, date, moment) -> None:
     path = layout.table("etl_run_log")
     names = spark.createDataFrame(
         [(fixed.EXTRACTION_DAG, task, date) for task in tasks], "dag_id string, task_id string, day string"
     ).select("dag_id", "task_id", F.col("day").cast("date").alias("execution_date"), moment.alias("start_time"))
-    log = sinks.read_published(spark, path)
-    sinks.publish(lineage.start_runs(log, names, moment), path, f"{version}.1")
+    sinks.republish(spark, path, lambda log: lineage.start_runs(log, names, moment))
 
 
-def _end_log(spark, layout, results, date, moment, version) -> DataFrame:
+def _end_log(spark, layout, results, date, moment) -> DataFrame:
     """The run log with all outcomes; returns the ids of the day's runs."""
     path = layout.table("etl_run_log")
     started = sinks.read_published(spark, path)
@@ -195,24 +207,24 @@ def _end_log(spark, layout, results, date, moment, version) -> DataFrame:
         [(t, r["status"], r["rows_loaded"], r.get("error"), datetime.now()) for t, r in results.items()],
         "task_id string, status string, records_processed long, error_message string, end_time timestamp_ntz",
     )
-    sinks.publish(lineage.end_runs(started, ids.join(ends, "task_id"), moment), path, f"{version}.2")
+    sinks.republish(spark, path, lambda log: lineage.end_runs(log, ids.join(ends, "task_id"), moment))
     return ids
 
 
-def _log_files(spark, layout, results, moment, version) -> None:
+def _log_files(spark, layout, results, moment) -> None:
     files = [
         ("silver", r["written"]["path"], "silver", _source(t), r["written"]["rows"], r["written"]["bytes"], "success")
-        for t, r in results.items() if "written" in r
+        for t, r in results.items() if r.get("written", {}).get("path")
     ]
     if files:
         path = layout.table("lake_metadata")
         new = spark.createDataFrame(
             files, "bucket_name string, object_path string, layer string, data_source string, "
             "record_count long, file_size_bytes long, status string")
-        sinks.publish(lineage.log_files(sinks.read_published(spark, path), new, moment), path, version)
+        sinks.republish(spark, path, lambda files: lineage.log_files(files, new, moment))
 
 
-def _log_metrics(spark, layout, results, ids, date, moment, version) -> None:
+def _log_metrics(spark, layout, results, ids, date, moment) -> None:
     dimensions = ["completeness", "validity", "uniqueness", "freshness"]
     measured = []
     for task, r in results.items():
@@ -230,7 +242,7 @@ def _log_metrics(spark, layout, results, ids, date, moment, version) -> None:
             f"rows_loaded long, rows_rejected long, {columns}, quality_details string")
         new = new.join(ids.withColumnRenamed("id", "etl_run_id"), "task_id")
         new = new.withColumn("execution_date", F.lit(date).cast("date"))
-        sinks.publish(lineage.log_metrics(sinks.read_published(spark, path), new, moment), path, version)
+        sinks.republish(spark, path, lambda metrics: lineage.log_metrics(metrics, new, moment))
 
 
 def run_day(
@@ -241,18 +253,37 @@ def run_day(
 
     The run log is published before the first and after the last task, on its
     own, so that it outlives a load that failed.  The frames the logs are built
-    from hold one row per task, eight at most.
+    from hold one row per task, nine at most.
     """
     todo = sorted(tasks or TASK_FEED, key=lambda task: TASK_FEED[task] != "stations")
-    moment, version = F.lit(run_at).cast("timestamp_ntz"), f"{run_at:%Y%m%d_%H%M%S}_{date}"
-    _start_log(spark, layout, todo, date, moment, version)
+    moment = F.lit(run_at).cast("timestamp_ntz")
+    _start_log(spark, layout, todo, date, moment)
     results = {}
     for task in todo:
         try:
             results[task] = {"status": "success", **run_task(spark, layout, task, date, run_at, strict)}
         except Exception as error:  # recorded in the log, the other feeds go on
-            results[task] = {"status": "failed", "rows_loaded": 0, "error": str(error)[:1000]}
-    ids = _end_log(spark, layout, results, date, moment, version)
-    _log_files(spark, layout, results, moment, version)
-    _log_metrics(spark, layout, results, ids, date, moment, version)
+            results[task] = {"status": "failed", "rows_loaded": 0, "error": str(error)}
+    ids = _end_log(spark, layout, results, date, moment)
+    _log_files(spark, layout, results, moment)
+    _log_metrics(spark, layout, results, ids, date, moment)
     return results
+
+
+def run_gaps(
+    spark: SparkSession, layout: Layout, bounds: DataFrame, run_at: datetime, source: str = "all",
+    force: bool = False, strict: bool = False,
+) -> dict[str, int]:
+    """Run every task of the days in ``bounds`` that the run log lacks or holds as failed.
+
+    The plan is stored first: each run publishes a new run log.
+    """
+    log = sinks.read_published(spark, layout.table("etl_run_log"))
+    plan = checkpointed(backfill.backfill_plan(log, bounds, source, force))
+
+    def one(date, task: str) -> None:
+        result = run_day(spark, layout, str(date), run_at, strict, [task])[task]
+        if result["status"] == "failed":
+            raise RuntimeError(result["error"])
+
+    return backfill.run_backfill(plan, one)

@@ -170,8 +170,9 @@ def default_stations(spark: SparkSession) -> DataFrame:
 def load_stations(dim: DataFrame, feed: DataFrame | None, as_of: Column) -> DataFrame:
     """Merge the inventory, or the default stations when there is none."""
     if feed is None or feed.isEmpty():
-        feed = default_stations(dim.sparkSession)
-    return upsert_stations(dim, feed, as_of)
+        return upsert_stations(dim, default_stations(dim.sparkSession), as_of)
+    placed = [c for c in ("_src", "_pos") if c in feed.columns]
+    return upsert_stations(dim, feed, as_of, placed or None)
 
 
 def ensure_stations(dim: DataFrame, as_of: Column) -> DataFrame:

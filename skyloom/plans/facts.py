@@ -11,7 +11,7 @@ from skyloom import fixed_values as fixed
 from skyloom.functions.clean import date_id, epoch_to_ts, fits, iso_to_ts, normalise_nan, typed
 from skyloom.operators.lookup import city_lookup, station_lookup
 from skyloom.operators.merge import insert_if_absent
-from skyloom.operators.partitions import PARTITION, date_range, read_months, write_months
+from skyloom.operators.partitions import added_months, PARTITION, date_range, read_months, write_months
 
 
 @dataclass(frozen=True)
@@ -263,5 +263,5 @@ def load_fact(
     if existing is not None and span["low"] is not None:
         existing = date_range(existing, spec.run_date_id, span["low"], span["high"])
     rows = build_fact(silver, spec, dim, as_of, order, existing, run_date)
-    loaded = write_months(rows, path, spec.run_date_id)
+    loaded = write_months(rows, path, spec.run_date_id, added=added_months(silver.sparkSession, path))
     return {"rows_input": span["n"], "rows_loaded": loaded, "rows_rejected": span["n"] - loaded}

@@ -14,38 +14,3 @@ class QualityError(Exception):
         failed = self.results.get("failed_expectations")
         text = super().__str__()
         return text if failed is None else f"{text} ({failed} failed)"
-
-
-class SchemaError(QualityError):
-    """Columns are missing or have another type."""
-
-    def __init__(self, message: str, missing: list[str] | None = None,
-                 wrong_types: list[str] | None = None) -> None:
-        super().__init__(message)
-        self.missing, self.wrong_types = missing or [], wrong_types or []
-
-    def __str__(self) -> str:
-        parts = [f"{label}: {values}" for label, values in
-                 (("missing", self.missing), ("wrong types", self.wrong_types)) if values]
-        return "; ".join([super().__str__(), *parts])
-
-
-class AnomalyError(QualityError):
-    """A metric left its usual range; ``anomalies`` lists the rows."""
-
-    def __init__(self, message: str, anomalies: list[dict]) -> None:
-        super().__init__(message)
-        self.anomalies = anomalies
-
-
-class CompletenessError(QualityError):
-    """Too many values are missing."""
-
-    def __init__(self, message: str, score: float | None = None, threshold: float | None = None) -> None:
-        super().__init__(message)
-        self.score, self.threshold = score, threshold
-
-    def __str__(self) -> str:
-        if self.score is None or self.threshold is None:
-            return super().__str__()
-        return f"{super().__str__()}: score {self.score:.2%}, threshold {self.threshold:.2%}"

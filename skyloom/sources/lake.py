@@ -131,6 +131,18 @@ def finished_folders(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().getParent().toString() for status in found or [])
 
 
+def folders_matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders matching a glob, whether their write finished or not, in name order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern.rstrip("/"))
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(status.getPath().toString() for status in found or [])
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def latest_snapshot(rows: DataFrame, prefix: str = "prefix", path: str = "path") -> DataFrame:
     """Rows of the last snapshot path of each prefix."""
     newest = checkpointed(rows.groupBy(prefix).agg(F.max(path).alias("newest")))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.sources.lake import finished_folders, list_objects
+from skyloom.sources.lake import finished_folders, folders_matching, list_objects, remove_folder
 
 
 def _bytes_below(spark: SparkSession, path: str) -> int:
@@ -42,18 +44,48 @@ def append_snapshot(df: DataFrame, root: str, path: str) -> dict:
     return write_table(df, f"{root.rstrip('/')}/{path}", mode="errorifexists")
 
 
-def publish(df: DataFrame, root: str, version: str) -> str:
-    """A small table as a new version folder.
+class StaleBase(RuntimeError):
+    """A table was published by someone else since its base was read."""
+
+
+def _versions(spark: SparkSession, root: str, finished: bool = True) -> list[int]:
+    """Numbers of the versions of a published table, in rising order."""
+    pattern = f"{root.rstrip('/')}/v=*"
+    folders = finished_folders(spark, pattern) if finished else folders_matching(spark, pattern)
+    return sorted(int(folder.rsplit("v=", 1)[1]) for folder in folders)
+
+
+def published_version(spark: SparkSession, root: str) -> int:
+    """Number of the last finished version, 0 if there is none."""
+    return next(reversed(_versions(spark, root)), 0)
+
+
+def publish(df: DataFrame, root: str, base: int | None = None, keep: int = 20) -> int:
+    """A small table as a new version, one above all that were ever begun; returns its number.
 
     Readers take the last version that finished, so a failed write is never
-    seen and the version being read is never overwritten.
+    seen and the version being read is never overwritten.  ``base`` is the
+    version ``df`` was made from: if another has been published since,
+    ``StaleBase`` is raised and nothing is written.  Of older finished versions
+    the last ``keep`` stay.
     """
-    target = f"{root.rstrip('/')}/v={version}"
-    df.write.mode("errorifexists").parquet(target)
-    return target
+    spark, root = df.sparkSession, root.rstrip("/")
+    if base is not None and (last := published_version(spark, root)) != base:
+        raise StaleBase(f"{root}: version {last} was published after {base}")
+    number = max(_versions(spark, root, finished=False), default=0) + 1
+    df.write.mode("errorifexists").parquet(f"{root}/v={number:010d}")
+    for old in _versions(spark, root)[: -keep - 1]:
+        remove_folder(spark, f"{root}/v={old:010d}")
+    return number
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame | None:
     """The last finished version of a published table, or None."""
-    versions = finished_folders(spark, f"{root.rstrip('/')}/v=*")
-    return spark.read.parquet(versions[-1]) if versions else None
+    last = published_version(spark, root)
+    return spark.read.parquet(f"{root.rstrip('/')}/v={last:010d}") if last else None
+
+
+def republish(spark: SparkSession, root: str, change: Callable[[DataFrame], DataFrame]) -> int:
+    """Publish ``change`` of the last version, refusing if that is no longer the last."""
+    base = published_version(spark, root)
+    return publish(change(read_published(spark, root)), root, base)

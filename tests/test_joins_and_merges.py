@@ -151,3 +151,21 @@ def test_constraints(spark):
     assert rows(rules.check_constraints(df, rules.run_log_rules())) == [("status_known", 1)]
     assert all(r.violations == 0 for r in rules.check_constraints(dims.dim_seasons(spark), rules.season_rules()).collect())
     assert all(r.violations == 0 for r in rules.check_constraints(dims.dim_layers(spark), rules.layer_rules()).collect())
+
+
+def test_upsert_of_a_repeated_key_without_an_order(spark):
+    target = spark.createDataFrame([(1, "a", 10)], "id int, k string, v int")
+    source = spark.createDataFrame([("b", 1), ("b", 2), ("a", 5), ("a", 4)], "k string, v int")
+    out = merge.upsert(target, source, ["k"], ["v"], ident="id")
+    assert sorted(rows(out)) == [(1, "a", 5), (2, "b", 2)]
+    assert sorted(rows(merge.upsert(out, source, ["k"], ["v"], ident="id"))) == [(1, "a", 5), (2, "b", 2)]
+
+
+def test_added_months_are_used_by_later_writes(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    partitions.write_months(spark.createDataFrame([(1, 20280105)], "k int, d int"), path, "d")
+    partitions.add_month(spark, path, "facts", "d", ["k"], 2028, 1)
+    later = spark.createDataFrame([(2, 20280106), (3, 20290101)], "k int, d int")
+    partitions.write_months(later, path, "d", added=partitions.added_months(spark, path))
+    found = {r.k: str(r.p_month) for r in partitions.read_months(spark, path).collect()}
+    assert found == {1: "202801", 2: "202801", 3: "default"}
