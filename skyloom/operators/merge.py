@@ -95,11 +95,13 @@ def upsert(
         return F.when(old, changed).otherwise(F.col(f"_new_{column}"))
 
     joined = target.withColumn("_old", F.lit(True)).join(incoming, key, "full_outer")
-    out = joined.select("_old", *[merged(c).cast(types[c]).alias(c) for c in columns])
+    out = joined.select("_old", *[merged(c).alias(c) for c in columns])
+    # typed last: only what a reader asks for is cast
+    typed = [F.col(c).cast(types[c]).alias(c) for c in columns]
     if not ident:
-        return out.drop("_old")
+        return out.select(*typed)
     out = checkpointed(out)
-    kept = out.filter(F.col("_old").isNotNull()).drop("_old")
+    kept = out.filter(F.col("_old").isNotNull()).select(*typed)
     start = kept.agg(F.max(ident)).first()[0] or 0
     new = number_rows(out.filter(F.col("_old").isNull()).drop("_old", ident), key, ident, start)
-    return kept.unionByName(new.withColumn(ident, F.col(ident).cast(types[ident])).select(*columns))
+    return kept.unionByName(new.select(*typed))
