@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skyloom import fixed_values as fixed
@@ -61,8 +61,14 @@ def _first_reason(*rules: tuple[Column, str]) -> Column:
     return F.coalesce(*[F.when(bad, F.lit(reason)) for bad, reason in rules])
 
 
-def split_rejects(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Usable rows without the reason column, and the rest with it."""
+def split_rejects(tagged: DataFrame, watch: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """Usable rows without the reason column, and the rest with it.
+
+    ``watch`` counts ``documents`` and ``rejected`` while the usable rows are computed.
+    """
+    if watch is not None:
+        bad = F.count_if(F.col("reject_reason").isNotNull())
+        tagged = tagged.observe(watch, F.count(F.lit(1)).alias("documents"), bad.alias("rejected"))
     good = tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     return good, tagged.filter(F.col("reject_reason").isNotNull())
 
@@ -109,9 +115,11 @@ def parse_observations(docs: DataFrame) -> DataFrame:
     )
 
 
-def flatten_observations(docs: DataFrame, execution_date: Column | None = None) -> DataFrame:
+def flatten_observations(
+    docs: DataFrame, execution_date: Column | None = None, watch: Observation | None = None
+) -> DataFrame:
     """One row of 25 fields per usable document."""
-    good, _ = split_rejects(parse_observations(docs))
+    good, _ = split_rejects(parse_observations(docs), watch)
     date = F.col("doc._metadata.execution_date") if execution_date is None else execution_date
     weather = F.get("doc.weather", F.lit(0))
     return good.select(
@@ -223,12 +231,13 @@ def explode_columnar(
     spec: DocSpec,
     execution_date: Column | None = None,
     run_stamp: Column | None = None,
+    watch: Observation | None = None,
 ) -> DataFrame:
     """One row per array position, with city and extraction columns.
 
     ``_src`` and ``_pos`` keep the original order for a later keep-first.
     """
-    good, _ = split_rejects(parse_columnar(docs, spec))
+    good, _ = split_rejects(parse_columnar(docs, spec), watch)
     meta = F.col("doc._metadata")
     date = meta["execution_date"] if execution_date is None else execution_date
     stamp = F.lit(None).cast("string") if run_stamp is None else run_stamp
@@ -279,9 +288,11 @@ def parse_stations(docs: DataFrame) -> DataFrame:
     return _parse_records(docs, _STATION_SCHEMA, "stations")
 
 
-def flatten_stations(docs: DataFrame, execution_date: Column | None = None) -> DataFrame:
+def flatten_stations(
+    docs: DataFrame, execution_date: Column | None = None, watch: Observation | None = None
+) -> DataFrame:
     """Station inventory: 8 fields, coordinates in decimal degrees."""
-    good, _ = split_rejects(parse_stations(docs))
+    good, _ = split_rejects(parse_stations(docs), watch)
     date = F.col("doc._metadata.execution_date") if execution_date is None else execution_date
     rows = good.select(
         F.col("path").alias("_src"),
@@ -320,13 +331,14 @@ def parse_climatology(docs: DataFrame) -> DataFrame:
 
 
 def flatten_climatology(
-    docs: DataFrame, execution_date: Column | None = None, with_year: bool = False
+    docs: DataFrame, execution_date: Column | None = None, with_year: bool = False,
+    watch: Observation | None = None,
 ) -> DataFrame:
     """Station days: 18 fields, or 19 with the year of a historical document.
 
     The station is named by the document, not by its records.
     """
-    good, _ = split_rejects(parse_climatology(docs))
+    good, _ = split_rejects(parse_climatology(docs), watch)
     date = F.col("doc._metadata.execution_date") if execution_date is None else execution_date
     rows = good.select(
         F.col("path").alias("_src"),

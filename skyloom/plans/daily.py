@@ -6,7 +6,7 @@ import json
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom import fixed_values as fixed
@@ -14,7 +14,7 @@ from skyloom.operators import backfill, flatten, lineage
 from skyloom.plans import dims
 from skyloom.plans.facts import FACTS, create_table, load_fact
 from skyloom.quality.checks import suite_for
-from skyloom.quality.metrics import gate_report
+from skyloom.quality.metrics import append_history, gate_report
 from skyloom.session import checkpointed
 from skyloom.sources import lake, sinks
 
@@ -56,6 +56,9 @@ class Layout:
     def silver_prefix(self, feed: str, date: str) -> str:
         return fixed.SILVER_PATHS[feed].split("{", 1)[0] + f"{date}/"
 
+    def rejects(self, feed: str, date: str) -> str:
+        return f"{self.warehouse}/document_rejects/feed={feed}/date={date}"
+
     def fact(self, feed: str) -> str:
         return f"{self.warehouse}/{FACTS['station_day' if feed == 'historical' else feed].table}"
 
@@ -81,37 +84,70 @@ def reset_warehouse(
 # -- stages -----------------------------------------------------------------
 
 
-def _flat(docs: DataFrame, feed: str, date: str, stamp: str) -> DataFrame:
+def _flat(docs: DataFrame, feed: str, date: str, stamp: str, watch: Observation | None = None) -> DataFrame:
     day = F.lit(date)
     if feed == "observation":
-        return flatten.flatten_observations(docs, day)
+        return flatten.flatten_observations(docs, day, watch)
+    if feed == "stations":
+        return flatten.flatten_stations(docs, day, watch)
+    if feed in ("station_day", "historical"):
+        return flatten.flatten_climatology(docs, day, feed == "historical", watch)
+    return flatten.explode_columnar(docs, flatten.FEEDS[feed], day, F.lit(stamp), watch)
+
+
+def _parsed(docs: DataFrame, feed: str) -> DataFrame:
+    if feed == "observation":
+        return flatten.parse_observations(docs)
     if feed == "stations":
-        return flatten.flatten_stations(docs, day)
+        return flatten.parse_stations(docs)
     if feed in ("station_day", "historical"):
-        return flatten.flatten_climatology(docs, day, with_year=feed == "historical")
-    return flatten.explode_columnar(docs, flatten.FEEDS[feed], day, F.lit(stamp))
+        return flatten.parse_climatology(docs)
+    return flatten.parse_columnar(docs, flatten.FEEDS[feed])
+
+
+def rejected_documents(docs: DataFrame, files: DataFrame, feed: str) -> DataFrame:
+    """``path, reject_reason`` of the documents that gave no rows; a file of
+    ``files`` that could not be read at all is an ``unreadable_file``."""
+    unread = files.join(docs.select("path").distinct(), "path", "left_anti")
+    return flatten.rejects(_parsed(docs, feed)).unionByName(
+        unread.select("path", F.lit("unreadable_file").alias("reject_reason"))
+    )
 
 
 def transform(
     spark: SparkSession, layout: Layout, feed: str, date: str, run_at: datetime,
     handed_over: list[str] | None = None,
 ) -> dict:
-    """Bronze documents of a day to one silver snapshot; returns rows and bytes.
+    """Bronze documents of a day to one silver snapshot; returns rows, bytes, documents and rejected.
 
     Observations replace the snapshot of their date, all other feeds add one.
-    A day without documents writes nothing; its path is None.
+    Documents are counted while the snapshot is written.  Only if some were
+    refused or not readable are they looked at again, and stored with their
+    path and reason in place of those of an earlier run.  A day without
+    documents writes nothing; its path is None.
     """
     stamp = f"{run_at:%Y%m%d_%H%M%S}"
     prefix = layout.bronze(feed, date).removeprefix(f"{layout.lake}/")
     if not handed_over and not lake.folders_matching(spark, layout.bronze(feed, date)):
-        return {"path": None, "rows": 0, "bytes": 0}
+        return {"path": None, "rows": 0, "bytes": 0, "documents": 0, "rejected": 0}
     docs = lake.documents_or_prefix(spark, handed_over, layout.lake, prefix)
-    rows = _flat(docs, feed, date, stamp)
+    files = lake.document_files(spark, handed_over, layout.lake, prefix)
+    watch = Observation()
+    rows = _flat(docs, feed, date, stamp, watch)
     path = fixed.SILVER_PATHS[feed].format(date=date, timestamp=stamp)
     target = f"{layout.silver}/{path}"
     if feed == "observation":
-        return {"path": path, **sinks.write_table(rows, target)}
-    return {"path": path, **sinks.append_snapshot(rows, layout.silver, path)}
+        done = sinks.write_table(rows, target)
+    else:
+        done = sinks.append_snapshot(rows, layout.silver, path)
+    seen, found = watch.get, files.count()
+    refused = seen.get("rejected", 0) + found - seen.get("documents", 0)
+    folder = layout.rejects(feed, date)
+    if refused:
+        rejected_documents(docs, files, feed).write.mode("overwrite").parquet(folder)
+    elif lake.folders_matching(spark, folder):
+        lake.remove_folder(spark, folder)
+    return {"path": path, **done, "documents": found, "rejected": refused}
 
 
 def latest_silver(spark: SparkSession, layout: Layout, feed: str, date: str) -> DataFrame | None:
@@ -243,6 +279,14 @@ def _log_metrics(spark, layout, results, ids, date, moment) -> None:
         new = new.join(ids.withColumnRenamed("id", "etl_run_id"), "task_id")
         new = new.withColumn("execution_date", F.lit(date).cast("date"))
         sinks.republish(spark, path, lambda metrics: lineage.log_metrics(metrics, new, moment))
+    rows = [
+        (r["table"], m["metric_name"], m["value"], m["dimension"])
+        for r in results.values() if r.get("scores") for m in r["scores"]["metrics"]
+    ]
+    if rows:  # one per column and score of a feed
+        history = spark.createDataFrame(rows, "target_table string, metric_name string, value double, dimension string")
+        history = history.select("target_table", moment.alias("measured_at"), "metric_name", "value", "dimension")
+        append_history(history, layout.table("metric_history"))
 
 
 def run_day(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,15 @@ from skyloom import fixed_values as fixed
 from skyloom.functions.clean import date_id, epoch_to_ts, fits, iso_to_ts, normalise_nan, typed
 from skyloom.operators.lookup import city_lookup, station_lookup
 from skyloom.operators.merge import insert_if_absent
-from skyloom.operators.partitions import added_months, PARTITION, date_range, read_months, write_months
+from skyloom.operators.partitions import PARTITION, added_months, date_range, read_months, write_months
+
+
+@dataclass(frozen=True)
+class Mapped:
+    """A value computed from several source columns: ``value`` gets them as columns, in order."""
+
+    sources: tuple[str, ...]
+    value: Callable[..., Column]
 
 
 @dataclass(frozen=True)
@@ -19,14 +28,15 @@ class FactSpec:
     """How a cleaned feed becomes a fact table.
 
     ``columns`` lists (source column, warehouse column, type rule); it is the
-    extension point: a new feed is a new list.  ``moment`` is the second key
+    extension point: a new feed is a new list, and a source may be a ``Mapped``
+    expression, whose result goes through the type rule like any other value.  ``moment`` is the second key
     column, ``moment_from`` its source column and ``moment_rule`` one of
     ``date`` (date id), ``iso`` (timestamp) or ``epoch``.
     """
 
     table: str
     feed: str
-    columns: tuple[tuple[str, str, str], ...]
+    columns: tuple[tuple[str | Mapped, str, str], ...]
     moment: str
     moment_from: str
     moment_rule: str
@@ -50,7 +60,28 @@ class FactSpec:
 
     @property
     def sources(self) -> list[str]:
-        return [source for source, _, _ in self.columns]
+        names = [s.sources if isinstance(s, Mapped) else (s,) for s, _, _ in self.columns]
+        return list(dict.fromkeys(name for group in names for name in group))
+
+    @property
+    def values(self) -> list[tuple[Column, str, str]]:
+        """(value, warehouse column, type rule) of every column."""
+        return [
+            (s.value(*map(F.col, s.sources)) if isinstance(s, Mapped) else F.col(s), target, rule)
+            for s, target, rule in self.columns
+        ]
+
+    @property
+    def overflows(self) -> list[tuple[Column, str]]:
+        """(whether a value is outside its type, the reason it gives) of every typed column."""
+        return [(~fits(v, rule), f"overflow:{target}") for v, target, rule in self.values if rule != "string"]
+
+    @property
+    def refusals(self) -> list[str]:
+        """Every reason ``key_rows`` can give."""
+        first = ["all_null"] if self.drop_all_null else []
+        moment = ["missing_timestamp"] if self.moment_rule == "epoch" else []
+        return [*first, f"unknown_{self.entity}", *moment, *[f"null_key:{k}" for k in self.key]]
 
 
 def _columns(table: str) -> tuple[tuple[str, str, str], ...]:
@@ -151,24 +182,32 @@ def key_rows(
 
 def typed_rows(rows: DataFrame, spec: FactSpec, as_of: Column) -> DataFrame:
     """Keyed rows in warehouse types; a value outside its type is an overflow."""
-    values = {target: typed(F.col(source), rule) for source, target, rule in spec.columns}
-    overflow = F.coalesce(
-        *[
-            F.when(~fits(F.col(source), rule), F.lit(f"overflow:{target}"))
-            for source, target, rule in spec.columns
-            if rule != "string"
-        ]
-    )
     label = fixed.DATA_SOURCE.get(spec.feed)
     return rows.select(
         *spec.key,
-        *[value.alias(target) for target, value in values.items()],
+        *[typed(value, rule).alias(target) for value, target, rule in spec.values],
         *([F.lit(label).alias("data_source")] if label else []),
         as_of.alias("created_at"),
-        overflow.alias("reject_reason"),
+        _overflow(spec).alias("reject_reason"),
     )
 
 
+def _overflow(spec: FactSpec) -> Column:
+    return F.coalesce(*[F.when(bad, F.lit(reason)) for bad, reason in spec.overflows], F.lit(None).cast("string"))
+
+
+def fresh_rows(
+    keyed: DataFrame, spec: FactSpec, as_of: Column, order: list[str], target: DataFrame | None = None
+) -> DataFrame:
+    """Rows of ``key_rows`` to append to the fact table."""
+    usable = keyed.filter(F.col("reject_reason").isNull())
+    fresh = insert_if_absent(
+        usable.select(*spec.key, *spec.sources, *[c for c in order if c not in spec.sources]),
+        target, spec.key, order,
+    )
+    return typed_rows(fresh, spec, as_of).filter(F.col("reject_reason").isNull()).drop("reject_reason")
+
+
 def build_fact(
     silver: DataFrame,
     spec: FactSpec,
@@ -184,62 +223,52 @@ def build_fact(
     one key is the first.  Keep-first precedes the type check, so a bad first
     row is refused rather than replaced by a later one.
     """
-    usable = key_rows(silver, spec, dim, run_date).filter(F.col("reject_reason").isNull())
-    fresh = insert_if_absent(
-        usable.select(*spec.key, *spec.sources, *[c for c in order if c not in spec.sources]),
-        target, spec.key, order,
-    )
-    return typed_rows(fresh, spec, as_of).filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    return fresh_rows(key_rows(silver, spec, dim, run_date), spec, as_of, order, target)
 
 
-def load_accounting(
-    silver: DataFrame, spec: FactSpec, dim: DataFrame, as_of: Column, order: list[str],
-    target: DataFrame | None = None,
+def outcomes(
+    keyed: DataFrame, spec: FactSpec, order: list[str], target: DataFrame | None = None
 ) -> DataFrame:
-    """Row accounting of a load: ``outcome, n_rows`` for loaded and each reason.
+    """``outcome, n_rows`` of the rows of ``key_rows``: loaded, duplicate, conflict and each reason.
 
-    Duplicates and conflicts are the differences between the stages, so no row
-    is kept just to be counted.
+    One pass: a group per key counts its rows and keeps what is wrong with the
+    first of them; refused rows meet in the group without a key, reduced before
+    the shuffle.  The target is joined on the same key.
     """
-    keyed = key_rows(silver, spec, dim)
-    reasons = keyed.groupBy(F.coalesce("reject_reason", F.lit("keyed")).alias("outcome")).agg(
-        F.count(F.lit(1)).alias("n")
+    reason, usable = F.col("reject_reason"), F.col("reject_reason").isNull()
+    rows = keyed.select(
+        reason, *[F.when(usable, F.col(k)).alias(k) for k in spec.key],
+        F.when(usable, _overflow(spec)).alias("_wrong"), F.struct(*order).alias("_order"),
     )
-    usable = keyed.filter(F.col("reject_reason").isNull())
-    first = usable.select(*spec.key).distinct()
-    fresh = insert_if_absent(
-        usable.select(*spec.key, *spec.sources, *[c for c in order if c not in spec.sources]),
-        target, spec.key, order,
+    refused = {f"_r{i}": name for i, name in enumerate(spec.refusals)}
+    groups = rows.groupBy(*spec.key).agg(
+        F.count_if(usable).alias("_n"), F.min_by("_wrong", "_order").alias("_wrong"),
+        *[F.count_if(reason == name).alias(column) for column, name in refused.items()],
     )
-    outcomes = typed_rows(fresh, spec, as_of).groupBy(
-        F.coalesce("reject_reason", F.lit("loaded")).alias("outcome")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    stages = (
-        reasons.unionByName(first.agg(F.lit("distinct").alias("outcome"), F.count(F.lit(1)).alias("n")))
-        .unionByName(outcomes)
-    )
-    named = F.col("outcome")
+    if target is None:
+        groups = groups.withColumn("_known", F.lit(False))
+    else:
+        known = target.select(*spec.key).distinct().withColumn("_known", F.lit(True))
+        groups = groups.join(known, spec.key, "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
+    first, wrong = F.col("_n") > 0, F.col("_wrong")
+    sums = {"loaded": F.count_if(first & ~F.col("_known") & wrong.isNull()),
+            "duplicate": F.sum(F.when(first, F.col("_n") - 1)),
+            "conflict": F.count_if(first & F.col("_known")),
+            **{name: F.sum(column) for column, name in refused.items()},
+            **{name: F.count_if(first & ~F.col("_known") & (wrong == name)) for _, name in spec.overflows}}
+    total = groups.agg(*[F.coalesce(n, F.lit(0)).alias(f"_{i}") for i, n in enumerate(sums.values())])
+    listed = F.array(*[F.struct(F.lit(name).alias("outcome"), F.col(f"_{i}").alias("n_rows"))
+                       for i, name in enumerate(sums)])
+    always = F.col("outcome").isin("loaded", "duplicate", "conflict")
+    return total.select(F.inline(listed)).filter(always | (F.col("n_rows") > 0))
 
-    def rows_of(which: Column) -> Column:
-        return F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0))
 
-    total = stages.agg(
-        rows_of(named == "keyed").alias("keyed"),
-        rows_of(named == "distinct").alias("first"),
-        rows_of(named == "loaded").alias("loaded"),
-        rows_of((named == "loaded") | named.startswith("overflow")).alias("fresh"),
-    )
-    derived = total.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("loaded").alias("outcome"), F.col("loaded").alias("n")),
-                F.struct(F.lit("duplicate").alias("outcome"), (F.col("keyed") - F.col("first")).alias("n")),
-                F.struct(F.lit("conflict").alias("outcome"), (F.col("first") - F.col("fresh")).alias("n")),
-            )
-        )
-    )
-    listed = stages.filter(~named.isin("keyed", "distinct", "loaded")).unionByName(derived)
-    return listed.select("outcome", F.col("n").alias("n_rows"))
+def load_accounting(
+    silver: DataFrame, spec: FactSpec, dim: DataFrame, as_of: Column, order: list[str],
+    target: DataFrame | None = None, run_date: Column | None = None,
+) -> DataFrame:
+    """Row accounting of a load: ``outcome, n_rows`` for loaded and each reason."""
+    return outcomes(key_rows(silver, spec, dim, run_date), spec, order, target)
 
 
 def load_fact(
@@ -250,18 +279,22 @@ def load_fact(
     as_of: Column,
     order: list[str],
     run_date: Column | None = None,
-) -> dict[str, int]:
+) -> dict:
     """Append the new rows of a feed to its table; returns the row accounting.
 
     One pass over the run date gives the input count and the span of dates, so
     that the existing table is read only for the months the feed can touch; the
-    loaded rows are counted while they are written.
+    loaded rows are counted while they are written.  ``outcomes`` tells why the
+    others were not loaded; it is taken before the write and holds one number
+    per reason.
     """
     day = date_id(F.col(spec.run_date) if run_date is None else run_date)
     span = silver.agg(F.min(day).alias("low"), F.max(day).alias("high"), F.count(F.lit(1)).alias("n")).first()
     existing = read_months(silver.sparkSession, path, fact_schema(spec))
     if existing is not None and span["low"] is not None:
         existing = date_range(existing, spec.run_date_id, span["low"], span["high"])
-    rows = build_fact(silver, spec, dim, as_of, order, existing, run_date)
+    keyed = key_rows(silver, spec, dim, run_date)
+    split = {r["outcome"]: r["n_rows"] for r in outcomes(keyed, spec, order, existing).collect()}
+    rows = fresh_rows(keyed, spec, as_of, order, existing)
     loaded = write_months(rows, path, spec.run_date_id, added=added_months(silver.sparkSession, path))
-    return {"rows_input": span["n"], "rows_loaded": loaded, "rows_rejected": span["n"] - loaded}
+    return {"rows_input": span["n"], "rows_loaded": loaded, "rows_rejected": span["n"] - loaded, "outcomes": split}

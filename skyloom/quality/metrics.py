@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,7 @@ from skyloom.operators.lookup import dim_join
 from skyloom.quality.checks import Suite, counters, expectations, present, profile, summary
 from skyloom.quality.errors import QualityError
 from skyloom.session import checkpointed
+from skyloom.sources.lake import folders_matching, remove_folder
 
 
 def completeness_scores(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -66,6 +67,15 @@ def freshness_score(df: DataFrame, column: str, as_of: Column, max_age_hours: fl
     return row.select(_freshness(as_of, max_age_hours).alias("freshness"))
 
 
+def freshness_by(
+    df: DataFrame, by: list[str], column: str, as_of: Column, max_age_hours: float = 24.0
+) -> DataFrame:
+    """``freshness`` of every group, in one grouping of one scan."""
+    latest = {name: value.alias(name) for name, value in _latest(df, column).items()}
+    groups = df.groupBy(*by).agg(*latest.values())
+    return groups.select(*by, _freshness(as_of, max_age_hours).alias("freshness"))
+
+
 def range_conformity(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
     """``conformity``: share of present values inside the bounds."""
     if column not in df.columns:
@@ -175,7 +185,7 @@ def gate_report(
     key = ["city_name", "time"] if "city_name" in df.columns else ["city", "date"]
     moment = "time" if "time" in df.columns else None
     report = quality_report(df, suite, table, as_of, key, moment)
-    result = report.drop("metrics").first().asDict(recursive=True)
+    result = report.first().asDict(recursive=True)
     if strict and not result["summary"]["success"]:
         raise QualityError(f"validation failed for {table}", result["summary"])
     return result
@@ -217,6 +227,22 @@ def report_json(report: DataFrame) -> DataFrame:
 # -- history ----------------------------------------------------------------
 
 
+def append_history(rows: DataFrame, path: str) -> None:
+    """Add the metric rows of a run to the history."""
+    rows.write.mode("append").parquet(path)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """The stored history; empty before the first run."""
+    folders = folders_matching(spark, path)
+    schema = "target_table string, measured_at timestamp_ntz, metric_name string, value double, dimension string"
+    return spark.read.schema(schema).parquet(path) if folders else spark.createDataFrame([], schema)
+
+
+def clear_history(spark: SparkSession, path: str) -> None:
+    remove_folder(spark, path)
+
+
 def metrics_summary(
     history: DataFrame, table: str | None = None, dimension: str | None = None
 ) -> DataFrame:
@@ -235,7 +261,7 @@ def metric_anomalies(history: DataFrame, threshold: float = 2.0, min_points: int
     Series statistics are combined on the map side and joined back, so a long
     series is never gathered in one task.
     """
-    series = F.concat_ws("\x1f", "target_table", "metric_name")
+    series = F.struct("target_table", "metric_name")  # a null part is a value of its own
     marked = history.withColumn("_series", series)
     stats = marked.groupBy("_series").agg(
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),

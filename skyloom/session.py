@@ -54,9 +54,14 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application below the shared one."""
+    return f"{shared_dir(spark)}/skyloom-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the folder of this application."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df):

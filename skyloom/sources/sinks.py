@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from skyloom.session import scratch_root
 from skyloom.sources.lake import finished_folders, folders_matching, list_objects, remove_folder
 
 
@@ -89,3 +90,8 @@ def republish(spark: SparkSession, root: str, change: Callable[[DataFrame], Data
     """Publish ``change`` of the last version, refusing if that is no longer the last."""
     base = published_version(spark, root)
     return publish(change(read_published(spark, root)), root, base)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application; call it when no result is read any more."""
+    remove_folder(spark, scratch_root(spark))

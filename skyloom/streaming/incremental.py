@@ -8,6 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skyloom.operators.flatten import FEEDS, explode_columnar
 from skyloom.plans.facts import FACTS, load_fact
+from skyloom.session import scratch_path
+from skyloom.sources.lake import remove_folder
 
 
 def document_stream(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
@@ -34,8 +36,10 @@ def load_new_documents(
     spec = FACTS[feed]
 
     def load(batch: DataFrame, _: int) -> None:
-        rows = explode_columnar(batch, FEEDS[feed])
-        load_fact(rows, spec, dim, table_path, as_of, ["_src", "_pos"])
+        spark, path = batch.sparkSession, scratch_path(batch.sparkSession, "batch")
+        explode_columnar(batch, FEEDS[feed]).write.parquet(path)  # parsed once, read for each pass of the load
+        load_fact(spark.read.parquet(path), spec, dim, table_path, as_of, ["_src", "_pos"])
+        remove_folder(spark, path)
 
     return (
         docs.writeStream.foreachBatch(load)

@@ -11,6 +11,7 @@ from skyloom.operators.partitions import read_months
 from skyloom.plans import daily, facts
 from skyloom.plans.facts import FACTS
 from skyloom.quality.errors import QualityError
+from skyloom.quality.metrics import clear_history, metric_anomalies, read_history
 from skyloom.sources import lake, sinks
 from skyloom.streaming import incremental
 
@@ -131,12 +132,22 @@ def test_run_day_twice(spark, tmp_path):
     air = first["extract_openmeteo_air_quality"]
     assert (air["status"], air["rows_input"], air["rows_loaded"], air["rows_rejected"]) == ("success", 9, 6, 3)
     assert air["scores"]["uniqueness"] == 1.0 and air["scores"]["summary"]["success"]
+    assert air["outcomes"] == {"loaded": 6, "duplicate": 0, "conflict": 0, "unknown_city": 3}
+    assert (air["written"]["documents"], air["written"]["rejected"]) == (4, 1)
+    refused = spark.read.parquet(layout.rejects("air_quality", "2026-01-29")).collect()
+    assert [(r.path.rsplit("/", 1)[1], r.reject_reason) for r in refused] == [("broken.json", "unreadable")]
     assert first["extract_aemet_daily_climatology"]["rows_loaded"] == 2
+    assert first["extract_aemet_daily_climatology"]["outcomes"]["duplicate"] == 1
     assert first["extract_openweather"]["rows_loaded"] == 1
     assert first["extract_aemet_stations"]["rows_loaded"] == 16
     assert (first["extract_openmeteo_pollen"]["status"], first["extract_openmeteo_pollen"]["rows_loaded"]) == ("success", 0)
     again = daily.run_day(spark, layout, "2026-01-29", datetime(2026, 1, 29, 7), tasks=tasks)
     assert [again[t]["rows_loaded"] for t in TASKS] == [0, 0, 16, 0]
+    assert again["extract_openmeteo_air_quality"]["outcomes"]["conflict"] == 6
+    history = read_history(spark, layout.table("metric_history"))
+    assert history.filter("target_table = 'fct_air_quality' and metric_name = 'uniqueness_score'").count() == 2
+    clear_history(spark, layout.table("metric_history"))
+    assert read_history(spark, layout.table("metric_history")).count() == 0
 
     air = spark.read.parquet(layout.fact("air_quality"))
     assert air.count() == 6 and {str(r.p_month) for r in air.select("p_month").collect()} == {"202601"}
@@ -171,6 +182,40 @@ def test_run_day_twice(spark, tmp_path):
     assert [t for _, t in calls] == sorted(t for _, t in calls)
 
 
+def test_rejects_of_an_earlier_run_are_replaced_and_unread_files_listed(spark, tmp_path):
+    layout = layout_for(spark, tmp_path)
+    fill(tmp_path)
+    daily.transform(spark, layout, "air_quality", "2026-01-29", datetime(2026, 1, 29, 6))
+    put(tmp_path, "air_quality/2026-01-29/broken.json", {"hourly": {"time": []}, "municipio_nombre": "Madrid", "_metadata": META})
+    done = daily.transform(spark, layout, "air_quality", "2026-01-29", datetime(2026, 1, 29, 7))
+    assert (done["documents"], done["rejected"]) == (4, 0)
+    assert not lake.folders_matching(spark, layout.rejects("air_quality", "2026-01-29"))
+    docs = lake.documents_or_prefix(spark, None, layout.lake, "bronze/air_quality/2026-01-29/")
+    files = lake.document_files(spark, None, layout.lake, "bronze/air_quality/2026-01-29/")
+    some = docs.filter(~F.col("path").endswith("air_Madrid.json"))
+    lost = daily.rejected_documents(some, files, "air_quality").collect()
+    assert [(r.path.rsplit("/", 1)[1], r.reject_reason) for r in lost] == [("air_Madrid.json", "unreadable_file")]
+
+
+def test_accounting_of_an_empty_feed_and_null_orders(spark):
+    df = silver(spark, "pollen", {"city_name": "Madrid", "time": "2026-01-29T01:00"})
+    counts = facts.load_accounting(df.limit(0), FACTS["pollen"], cities(spark), as_of(), ["o"])
+    assert dict(rows(counts)) == {"loaded": 0, "duplicate": 0, "conflict": 0}
+    bad = silver(spark, "daily", {"city_name": "Madrid", "time": "x"}, {"city_name": None, "time": "2026-01-29"},
+                 *[{"city_name": "Madrid", "time": "2026-01-29", "temperature_2m_max": t} for t in (1000.0, 1.0)])
+    counts = facts.load_accounting(bad.coalesce(1).withColumn("o", F.lit(None).cast("long")), FACTS["daily"],
+                                   cities(spark), as_of(), ["o", "temperature_2m_max"])
+    assert dict(rows(counts)) == {"loaded": 1, "duplicate": 1, "conflict": 0, "unknown_city": 1,
+                                  "null_key:forecast_date_id": 1}
+
+
+def test_series_with_null_names_stay_apart(spark):
+    values = [(None, "a", 1.0)] * 6 + [(None, "a", 50.0)] + [("a", None, 50.0)] * 6 + [("a", None, 1.0)]
+    history = spark.createDataFrame(values, "target_table string, metric_name string, value double")
+    found = metric_anomalies(history).select("target_table", "metric_name", "value")
+    assert sorted(rows(found), key=repr) == [("a", None, 1.0), (None, "a", 50.0)]
+
+
 def test_strict_gate_stops_the_load(spark, tmp_path):
     layout = layout_for(spark, tmp_path)
     put(tmp_path, "air_quality/2026-01-29/a.json", {
@@ -249,6 +294,15 @@ def test_listing_and_missing_prefix(spark, tmp_path):
     assert lake.latest_file(spark, str(tmp_path), "nothing") is None
 
 
+def test_indented_documents(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"a": 1, "b": {"c": [1, 2]}}, indent=2))
+    (tmp_path / "c.json").write_text("{\n broken")
+    back = lake.read_json(spark, str(tmp_path), "a int, b struct<c: array<int>>")
+    assert sorted(rows(back.selectExpr("a", "b.c[1]", "_corrupt_record is null")), key=repr) == [
+        (1, 2, True), (1, 2, True), (None, None, False)]
+
+
 def test_json_round_trip_and_date_overwrite(spark, tmp_path):
     docs = spark.createDataFrame([('{"a": 1}',), ("{broken",)], "text string")
     assert sinks.write_json(docs, str(tmp_path / "j")) > 0
