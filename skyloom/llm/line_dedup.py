@@ -1,11 +1,13 @@
 """Runs of lines that repeat earlier runs.
 
-Winnowing over line hashes: a window is a run of ``lines`` consecutive lines, or
-one line of at least ``long_words`` words, and its fingerprint is its least line
-hash.  Every repeated run of that length holds a whole window, so it shares a
-fingerprint.  Places of one fingerprint whose windows agree are joined to the
-first such place.  Windows that touch or overlap extend a match both ways to
-its full run, and the later runs are deleted.
+Winnowing over line hashes: of every window (a run of ``lines`` consecutive
+lines, or one line of at least ``long_words`` words) the place of its least line
+hash is selected, and that hash is a fingerprint.  Equal windows select equal
+places, so a fingerprint found at one place only rules out all windows that
+selected it; most lines of a corpus end there.  The windows of the other
+fingerprints are compared whole and joined to the first of their kind.  Windows
+that touch or overlap extend a match both ways to its full run, and the later
+runs are deleted.
 
 A window is joined to one place, the first, never to all others, so a passage
 that many documents share costs one row per place.
@@ -22,30 +24,44 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def windows(rows: DataFrame, lines: int, long_words: int) -> DataFrame:
-    """(row, order, start, length, fingerprint, content): all windows with a word in them."""
+    """(row, doc_id, start, length, place, fingerprint, content): all windows with a word in them.
+
+    ``place`` is the line that the window selects, the first with its least hash.
+    """
     n = F.size("first")
 
     def run(i):
+        hashes = F.slice("first", i, lines)
+        least = F.array_min(hashes)
         return F.struct(
             i.alias("start"), F.lit(lines).alias("length"),
-            F.array_min(F.slice("first", i, lines)).alias("fingerprint"),
+            (i + F.array_position(hashes, least).cast("int") - 1).alias("place"), least.alias("fingerprint"),
             F.xxhash64(F.slice("second", i, lines)).alias("content"),
             F.aggregate(F.slice("words", i, lines), F.lit(0), lambda a, x: a + x).alias("words"),
         )
 
     def single(i):
         return F.struct(
-            i.alias("start"), F.lit(1).alias("length"), F.element_at("first", i).alias("fingerprint"),
+            i.alias("start"), F.lit(1).alias("length"), i.alias("place"), F.element_at("first", i).alias("fingerprint"),
             F.element_at("second", i).alias("content"), F.element_at("words", i).alias("words"),
         )
 
-    kind = "array<struct<start:int,length:int,fingerprint:bigint,content:bigint,words:int>>"
+    kind = "array<struct<start:int,length:int,place:int,fingerprint:bigint,content:bigint,words:int>>"
     many = F.when(n >= lines, F.transform(F.sequence(F.lit(1), n - lines + 1), run)).otherwise(F.array().cast(kind))
     long = F.filter(F.transform(F.sequence(F.lit(1), n), single), lambda x: x["words"] >= long_words)
-    each = rows.select("row", "order", F.explode(F.concat(many, long)).alias("w")).select("row", "order", "w.*")
+    each = rows.select("row", "doc_id", F.explode(F.concat(many, long)).alias("w")).select("row", "doc_id", "w.*")
     return each.where("words > 0").drop("words")
 
 
+def shared_windows(each: DataFrame) -> DataFrame:
+    """The windows whose fingerprint was selected at two places or more, stored."""
+    place = F.xxhash64("row", "place")
+    found = each.groupBy("fingerprint").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+    # stored, so that both sides of the join are plain shuffles and a hot fingerprint can be split
+    repeated = written(found.where("a != b").select("fingerprint"), "fingerprints")
+    return written(each.drop("place").join(repeated, "fingerprint", "left_semi"), "windows")
+
+
 def repeated_runs(
     docs: DataFrame, lines: int = 3, long_words: int = 50, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
@@ -59,20 +75,20 @@ def repeated_runs(
     )
     split = F.split("text", "\n", -1)
     rows = stored.select(
-        "row", F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("row").alias("c")).alias("order"),
+        "row", "doc_id",
         F.transform(split, lambda x: F.xxhash64(F.trim(x))).alias("first"),
         F.transform(split, lambda x: F.xxhash64(F.lit(1), F.trim(x))).alias("second"),
         F.transform(split, lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"),
     )
-    each = windows(rows, lines, long_words)
-    # stored, so that both sides of the join are plain shuffles and a hot window can be split
+    each = shared_windows(windows(rows, lines, long_words))
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row", "start")
     first = written(
         each.groupBy("fingerprint", "content", "length")
-        .agg(F.min(F.struct("order", "start")).alias("least"), F.count("*").alias("places"))
+        .agg(F.min(order).alias("least"), F.count("*").alias("places"))
         .where("places > 1")
         .select(
             "fingerprint", "content", "length",
-            F.col("least.order.c").alias("first_row"), F.col("least.start").alias("first_start"),
+            F.col("least.row").alias("first_row"), F.col("least.start").alias("first_start"),
         ),
         "first",
     )
