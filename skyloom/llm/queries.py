@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from skyloom.llm.line_dedup import dedup_lines
 from skyloom.llm.mixing import mix
 from skyloom.llm.ngram_join import near_duplicates
 from skyloom.llm.piece_bpe import encode_documents
-from skyloom.llm.secret_scan import secret_spans
+from skyloom.llm.secret_scan import KINDS, secret_spans
 from skyloom.llm.sharding import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,7 +114,43 @@ def _places(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-@query("op6_secret_scan")
+def _either_case(words: str) -> str:
+    return re.sub("[a-z]", lambda c: f"[{c[0].upper()}{c[0]}]", words)
+
+
+def _secret_matches(kind, number: int) -> str:
+    pattern = kind.pattern
+    if pattern.startswith("(?i)"):  # only A-Z fold there; the other engine would fold more
+        names, rest = pattern[5:].split(")", 1)
+        pattern = f"({_either_case(names)}){rest}"
+    pattern = "'" + pattern.replace("'", "''") + "'"
+    also = " AND ".join([f"length(value) >= {kind.least}", *[f"regexp_matches(value, '{p}')" for p in kind.also]])
+    return f"""SELECT row, {number} AS number, '{kind.name}' AS kind, {kind.base} AS base, i, length(found[i]) AS chars,
+    length(gaps[i]) AS gap, found_value[i] AS value, {also.replace("value", "found_value[i]")} AS good
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM (
+    SELECT row, regexp_extract_all(text, {pattern}, 0) AS found, regexp_extract_all(text, {pattern}, {kind.group}) AS found_value,
+      string_split_regex(text, {pattern}) AS gaps FROM docs WHERE regexp_matches(text, {pattern})))"""
+
+
+OP6_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text FROM documents),
+matches AS ({" UNION ALL ".join(_secret_matches(kind, i) for i, kind in enumerate(KINDS))}),
+placed AS (SELECT *, cast(sum(gap + chars) OVER (PARTITION BY row, number ORDER BY i) AS BIGINT) AS stop FROM matches),
+candidates AS (SELECT row, number, kind, base, stop - chars AS start, stop, value FROM placed WHERE good),
+owned AS (SELECT value, count(DISTINCT coalesce('=' || source, '~')) AS owners
+  FROM candidates JOIN docs USING (row) GROUP BY value),
+spans AS (SELECT candidates.*, owners, kind || ':' || start || ':' || stop AS span
+  FROM candidates JOIN owned USING (value) WHERE base OR owners <= 2)
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+  count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY start, number) FILTER (base), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY start, number), '') AS spans,
+  count(*) FILTER (owners <= 2) AS n_live, count(*) FILTER (owners > 2) AS n_example, max(owners) AS most_owners
+FROM docs d LEFT JOIN spans s ON d.row = s.row GROUP BY d.row, d.doc_id
+"""
+
+
+@query("op6_secret_scan", OP6_SQL)
 def op6(spark, sf_dir):
     found = secret_spans(documents(spark, sf_dir)).withColumn("base", F.filter("spans", lambda s: s["base"]))
 

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
     assert len(names) == 10 and "pipeline" in entry.queries()
-    assert set(queries.ORACLES) == {"op5_line_dedup", "op7_exact_dedup"}
+    assert set(queries.ORACLES) == {"op5_line_dedup", "op6_secret_scan", "op7_exact_dedup"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
