@@ -12,6 +12,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ class Scanner:
             seeds = [(at, piece.encode()) for at, piece in notice.pieces()]
             self.items.append((notice, exact, bounded, seeds))
 
-    def windows(self, text: bytes, notice: Notice, seeds) -> list[tuple[int, int]]:
+    def windows(self, text: bytes, spaces: np.ndarray, notice: Notice, seeds) -> list[tuple[int, int]]:
         """Whole-word stretches in which a match may lie, merged where they meet."""
         found = []
         n, k = len(notice.words), notice.edits
@@ -82,9 +83,10 @@ class Scanner:
                 at = text.find(piece, at + 1)
         merged: list[list[int]] = []
         for a, b in sorted(found):
-            a = text.rfind(b" ", 0, a) + 1
-            b = text.find(b" ", min(b, len(text)))
-            b = len(text) if b < 0 else b
+            # by the places of the spaces, so that hits in one very long word stay cheap
+            i, j = np.searchsorted(spaces, (a, b))
+            a = int(spaces[i - 1]) + 1 if i else 0
+            b = int(spaces[j]) if j < len(spaces) else len(text)
             if merged and a <= merged[-1][1] + 1:
                 merged[-1][1] = max(b, merged[-1][1])
             else:
@@ -95,11 +97,11 @@ class Scanner:
         """Number of words, and spans (label, first word, end word, edits, similarity, base)."""
         words = byte_words(text or "")
         joined = b" ".join(words)
+        spaces = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 32)
         spans = set()
 
         def span(notice: Notice, a: int, b: int, edits: int, base: bool) -> None:
-            start = joined.count(b" ", 0, a)
-            end = start + joined.count(b" ", a, b) + 1
+            start, end = int(np.searchsorted(spaces, a)), int(np.searchsorted(spaces, b)) + 1
             spans.add((notice.label, start, end, edits, 1 - edits / len(notice.words), base))
 
         for notice, exact, bounded, seeds in self.items:
@@ -110,12 +112,13 @@ class Scanner:
                         span(notice, at, at + len(notice.words), 0, notice.base)
                     at = joined.find(notice.words.encode(), at + 1)
             if notice.edits:
-                for a, b in self.windows(joined, notice, seeds):
+                for a, b in self.windows(joined, spaces, notice, seeds):
                     window = joined[a:b].decode("utf-8", "replace")
+                    left, at = a, 0  # the same place in bytes and in characters
                     for m in bounded.finditer(window):
+                        left, at = left + len(window[at : m.start()].encode()), m.start()
                         edits = sum(m.fuzzy_counts)
                         if not (edits == 0 and notice.base):
-                            left = a + len(window[: m.start()].encode())
                             span(notice, left, left + len(m.group().encode()), edits, False)
         return len(words), sorted(spans)
 
