@@ -1,8 +1,8 @@
 """Runs of lines that repeat earlier runs.
 
 Winnowing over line hashes: of every window (a run of ``lines`` consecutive
-lines, or one line of at least ``long_words`` words) the place of its least line
-hash is selected, and that hash is a fingerprint.  Equal windows select equal
+lines, or of fewer lines with at least ``long_words`` words) the place of its least
+line hash is selected, and that hash is a fingerprint.  Equal windows select equal
 places, so a fingerprint found at one place only rules out all windows that
 selected it; most lines of a corpus end there.  The windows of the other
 fingerprints are compared whole and joined to the first of their kind.  Windows
@@ -28,28 +28,32 @@ def windows(rows: DataFrame, lines: int, long_words: int) -> DataFrame:
 
     ``place`` is the line that the window selects, the first with its least hash.
     """
-    n = F.size("first")
-
-    def run(i):
-        hashes = F.slice("first", i, lines)
-        least = F.array_min(hashes)
-        return F.struct(
-            i.alias("start"), F.lit(lines).alias("length"),
-            (i + F.array_position(hashes, least).cast("int") - 1).alias("place"), least.alias("fingerprint"),
-            F.xxhash64(F.slice("second", i, lines)).alias("content"),
-            F.aggregate(F.slice("words", i, lines), F.lit(0), lambda a, x: a + x).alias("words"),
-        )
-
-    def single(i):
-        return F.struct(
-            i.alias("start"), F.lit(1).alias("length"), i.alias("place"), F.element_at("first", i).alias("fingerprint"),
-            F.element_at("second", i).alias("content"), F.element_at("words", i).alias("words"),
-        )
-
-    kind = "array<struct<start:int,length:int,place:int,fingerprint:bigint,content:bigint,words:int>>"
-    many = F.when(n >= lines, F.transform(F.sequence(F.lit(1), n - lines + 1), run)).otherwise(F.array().cast(kind))
-    long = F.filter(F.transform(F.sequence(F.lit(1), n), single), lambda x: x["words"] >= long_words)
-    each = rows.select("row", "doc_id", F.explode(F.concat(many, long)).alias("w")).select("row", "doc_id", "w.*")
+
+    def run(length):
+        def window(i):
+            hashes = F.slice("first", i, length)
+            least = F.array_min(hashes)
+            return F.struct(
+                i.alias("start"), F.lit(length).alias("length"),
+                (i + F.array_position(hashes, least).cast("int") - 1).alias("place"), least.alias("fingerprint"),
+                F.xxhash64(F.slice("second", i, length)).alias("content"), words(i, length).alias("words"),
+            )
+
+        return window
+
+    def words(i, length):
+        return F.aggregate(F.slice("words", i, length), F.lit(0), lambda a, x: a + x)
+
+    def enough(length):
+        return lambda i: words(i, length) >= long_words
+
+    def starts(length):
+        last = F.size("first") - length + 1
+        return F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+
+    full = F.transform(starts(lines), run(lines))
+    few = [F.transform(F.filter(starts(n), enough(n)), run(n)) for n in range(1, lines)]
+    each = rows.select("row", "doc_id", F.explode(F.concat(full, *few)).alias("w")).select("row", "doc_id", "w.*")
     return each.where("words > 0").drop("words")
 
 
@@ -112,7 +116,7 @@ def dedup_lines(
     """One row per document: doc_id, n_lines, runs (first and last line deleted, from 0), n_deleted, text.
 
     Lines end at line feeds and are equal when they are so without spaces at
-    their ends.  A run of at least ``lines`` lines, or a line of at least
+    their ends.  A run of at least ``lines`` lines, or of fewer with at least
     ``long_words`` words, is deleted where an equal one stands in an earlier
     document (by id, null last) or earlier in the same one without overlap.
     Every line keeps its first place.  Stretches without a word do not count.

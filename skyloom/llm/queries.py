@@ -83,6 +83,9 @@ WITH lines AS (
          words + lead(words, 1) OVER w + lead(words, 2) OVER w AS words
   FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)
   UNION ALL
+  SELECT * FROM (SELECT doc_id, i, 2, line || chr(10) || lead(line, 1) OVER w, words + lead(words, 1) OVER w AS words
+    FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)) WHERE words >= 50
+  UNION ALL
   SELECT doc_id, i, 1, line, words FROM lines WHERE words >= 50
 ), first AS (
   SELECT doc_id, i, n,

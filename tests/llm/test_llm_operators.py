@@ -76,6 +76,13 @@ def test_license_scan(spark, odd):
         assert got[doc_id].n_words == len(words.findall((text or "").translate({c: c + 32 for c in range(65, 91)})))
 
 
+def test_license_scan_of_long_texts_is_linear():
+    text = "general public licence é " * 20_000 + "general" * 200_000
+    n, spans = Scanner(notices()).scan(text)
+    assert n == 80_001 and len(spans) == 20_000
+    assert {s[:4] for s in spans} == {("gpl", 4 * i, 4 * i + 3, 1) for i in range(20_000)}
+
+
 def test_license_seeds_find_every_bounded_match():
     scanner = Scanner(notices())
     rng = np.random.default_rng(1)
@@ -254,6 +261,7 @@ def test_components(spark):
 
 def test_line_dedup(spark, odd, empty):
     long = " ".join(["passage"] * 50)
+    two = " ".join(["half"] * 20) + "\n" + " ".join(["other"] * 30)
     rows = [
         (1, "a\nb\nc\nd\nx", None, None),
         (2, "q\n a\nb\nc \nd\nr", None, None),
@@ -263,9 +271,14 @@ def test_line_dedup(spark, odd, empty):
         (6, "k\nk\nk\nk\nk\nk\nk", None, None),
         (7, "\n\n\n\n", None, None),
         (8, "\n\n\n\n", None, None),
+        (9, f"{two}\nn", None, None),
+        (10, f"m\n{two}", None, None),
+        (11, "e f\ng h", None, None),
+        (12, "e f\ng h", None, None),
     ]
     got = {r.doc_id: r for r in dedup_lines(table(spark, rows)).collect()}
-    assert [got[i].n_deleted for i in range(1, 9)] == [0, 4, 0, 0, 2, 4, 0, 0]
+    assert [got[i].n_deleted for i in range(1, 13)] == [0, 4, 0, 0, 2, 4, 0, 0, 0, 2, 0, 0]
+    assert got[10].text == "m"  # two lines of 50 words together
     assert got[2].text == "q\nr" and got[5].text == "w" and got[6].text == "k\nk\nk"
     assert [tuple(r) for r in got[2].runs] == [(1, 4)]
     odd_rows = dedup_lines(odd).collect()
@@ -281,15 +294,17 @@ def test_line_dedup_against_every_window(spark):
         lines = [f"line {x}" if x else "" for x in rng.integers(0, 9, rng.integers(1, 25))]
         if i % 10 == 0:
             lines.insert(len(lines) // 2, " ".join(["common passage"] * 30))
+        if i % 10 == 5:
+            lines[1:1] = [" ".join(["first half"] * 14), " ".join(["second half"] * 13)]
         rows.append((i, "\n".join(lines), None, None))
     first, want = {}, {}
     for i, text, *_ in rows:
         lines = text.split("\n")
         gone = set()
-        for n in (3, 1):
+        for n in (3, 2, 1):
             for a in range(len(lines) - n + 1):
                 part = tuple(lines[a : a + n])
-                if not "".join(part) or (n == 1 and len(part[0].split()) < 50):
+                if not "".join(part) or (n < 3 and len(" ".join(part).split()) < 50):
                     continue
                 where = first.setdefault((n, part), (i, a))
                 if where[0] != i or a >= where[1] + n:
