@@ -36,12 +36,12 @@ _B = _draw.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
 
 
 def minhash(hashes: np.ndarray) -> np.ndarray:
-    """Least values of TREES * DEPTH hash functions over a set of 64-bit shingle hashes."""
+    """Least values of TREES * DEPTH hash functions over a set of 64-bit shingle hashes, 16 bits of each."""
     least = np.full(len(_A), np.uint64(0xFFFFFFFFFFFFFFFF))
     for at in range(0, len(hashes), 256):
         part = hashes[at : at + 256, None] * _A + _B
         np.minimum(least, part.min(axis=0), out=least)
-    return (mixed(least) >> np.uint64(32)).astype(np.uint32)
+    return (mixed(least) >> np.uint64(48)).astype(np.uint16)
 
 
 def set_key(hashes: np.ndarray) -> bytes:
@@ -120,7 +120,7 @@ def _candidate_step(cut: float, threshold: float, depth: int):
 
     def step(rows: pd.DataFrame) -> pd.DataFrame | None:
         ids = rows["rep"].to_numpy()
-        sig = np.frombuffer(b"".join(rows["sig"]), dtype=np.uint32).reshape(len(rows), -1)
+        sig = np.frombuffer(b"".join(rows["sig"]), dtype=np.uint16).reshape(len(rows), -1)
         side = rows["side"].to_numpy()
         equal = np.zeros((len(rows), len(rows)), dtype=np.uint16)
         for column in sig.T:
@@ -162,12 +162,12 @@ def _candidates(reps: DataFrame, depth: int, cut: float, threshold: float) -> Da
     """Stars over representatives (rep, sig) that share ``depth`` values in a tree."""
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
-        lambda t: F.xxhash64(t, F.substring("sig", t * (4 * DEPTH) + 1, F.lit(4 * depth))),
+        lambda t: F.xxhash64(t, F.substring("sig", t * (2 * DEPTH) + 1, F.lit(2 * depth))),
     )
     places = reps.select("rep", F.explode(keys).alias("key"))
     groups = (
         places.groupBy("key").agg(
-            F.count("*").alias("m"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(5))).alias("y")
+            F.count("*").alias("m"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.min("rep").alias("y")
         )
         .where("m > 1")
         # trees often agree on a whole group: it is looked at once
