@@ -134,6 +134,23 @@ def test_mix(spark, odd, empty):
     assert taken.columns == docs.columns and taken.count() == sum(r.copies for r in got)
 
 
+@pytest.mark.parametrize("share", [0.86, 0.4, 1.3])
+def test_mix_follows_the_rates_where_every_size_is_rare(spark, share):
+    sizes = np.arange(3, 403)
+    docs = table(spark, [(int(s), "w " * int(s), "en", "one") for s in sizes])
+    got = {r.doc_id: r.copies for r in mix(docs, weights=(1,), share=share).collect()}
+    copies = np.array([got[int(s)] for s in sizes])
+    low, high = -50.0, 50.0
+    for _ in range(200):  # the tilt that meets the target, by halving
+        tilt = (low + high) / 2
+        rates = np.minimum(2, np.exp(tilt * sizes / sizes.mean()))
+        low, high = (tilt, high) if (rates * sizes).sum() < share * sizes.sum() else (low, tilt)
+    assert (copies >= np.floor(rates)).all() and (copies <= np.ceil(rates)).all()
+    # short and long documents alike get the copies of their rates
+    assert np.abs(np.cumsum(copies) - np.cumsum(rates)).max() <= 4
+    assert abs((copies * sizes).sum() - share * sizes.sum()) <= 2
+
+
 def test_shards(spark, odd, empty):
     rows = [(10_000 + i, english(i % 50 if i % 4 == 0 else i, 3 + (i * 37) % 200), "en", "s") for i in range(700)]
     rows += [(20_000 + i, "hot text " * 40, "en", "s") for i in range(300)]
