@@ -119,15 +119,16 @@ def _candidate_step(cut: float, threshold: float, depth: int):
     similar pairs are seen and expected."""
 
     def step(rows: pd.DataFrame) -> pd.DataFrame | None:
-        ids = rows["rep"].to_numpy()
+        ids, side = rows["rep"].to_numpy(), rows["side"].to_numpy()
+        if side[0] and (side == side[0]).all():  # the other part is empty
+            return None
         sig = np.frombuffer(b"".join(rows["sig"]), dtype=np.uint16).reshape(len(rows), -1)
-        side = rows["side"].to_numpy()
         equal = np.zeros((len(rows), len(rows)), dtype=np.uint16)
         for column in sig.T:
             equal += column[:, None] == column[None, :]
         near = equal >= cut * sig.shape[1]
         np.fill_diagonal(near, False)
-        if side.any() and not side.all():  # pairs within a side belong to that side's own block
+        if side[0]:  # pairs within a side belong to that side's own block
             near &= side[:, None] != side[None, :]
         if not near.any():
             return None
@@ -146,14 +147,15 @@ def _blocks(members: DataFrame, group: Column, parts: Column, key: Column) -> Da
     """Rows of a group dealt to pairs of its parts: ``block`` and ``side``; one block if it has one part.
 
     A row goes to as many blocks as its group has parts, none of which holds
-    more than two parts.
+    more than two parts.  ``side`` is 0 in the block of one part, else 1 or 2, so
+    that a block of two parts is known even where one of them is empty.
     """
     part = F.pmod(F.xxhash64(key, F.lit(3)), parts)
     dealt = members.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     return dealt.withColumns(
         {
             "block": F.xxhash64(group, F.least("part", "other"), F.greatest("part", "other")),
-            "side": (F.col("part") > F.col("other")).cast("int"),
+            "side": F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2),
         }
     )
 
@@ -207,13 +209,15 @@ def _verify_step(threshold: float):
     """Within one block of whole sets: links of each set (weighted by copies), and stars of linked parts."""
 
     def step(rows: pd.DataFrame) -> pd.DataFrame | None:
-        sets = [np.frombuffer(b, dtype=np.uint64) for b in rows["sets"]]
         ids, side, copies = rows["rep"].to_numpy(), rows["side"].to_numpy(), rows["copies"].to_numpy()
+        if side[0] and (side == side[0]).all():  # the other part is empty
+            return None
+        sets = [np.frombuffer(b, dtype=np.uint64) for b in rows["sets"]]
         both = intersections(sets)
         size = np.array([len(s) for s in sets], dtype=np.float64)
         linked = both >= threshold * (size[:, None] + size[None, :] - both) - 1e-9
         np.fill_diagonal(linked, False)
-        if side.any() and not side.all():
+        if side[0]:
             linked &= side[:, None] != side[None, :]
         if not linked.any():
             return None

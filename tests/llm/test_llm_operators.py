@@ -253,6 +253,18 @@ def test_hot_block_is_split_without_loss(spark, monkeypatch):
     assert {(r.n_links, r.class_id, r.class_size) for r in got} == {(59, 0, 60)}
 
 
+def test_links_are_counted_once_where_a_part_is_empty(spark, monkeypatch):
+    import skyloom.llm.ngram_join as join
+
+    monkeypatch.setattr(join, "SHINGLES", 100)  # 3 parts for each cluster of two members
+    rows = []
+    for pair in range(30):
+        words = [f"p{pair}w{i}" for i in range(150)]
+        rows += [(2 * pair, " ".join(words), "en", "s"), (2 * pair + 1, " ".join([*words[:-1], "edit"]), "en", "s")]
+    got = {r.doc_id: (r.n_links, r.class_id, r.class_size) for r in near_duplicates(table(spark, rows)).collect()}
+    assert got == {r[0]: (1, r[0] // 2 * 2, 2) for r in rows}
+
+
 def test_intersections_and_shingles():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 20_000, 9_000).astype(np.uint64)) for _ in range(7)]
