@@ -3,6 +3,6 @@ states the expected result."""
 
 from skyloom.catalog import (  # noqa: F401
     aggregates, dimensions, facts, filters, joins, lineage, profiles, quality, scalars, scans, shaping, stored,
-    writes,
+    streams, writes,
 )
 from skyloom.catalog.registry import ORACLES, QUERIES  # noqa: F401

@@ -1,12 +1,21 @@
-"""Run log, file lineage and load metrics."""
+"""Run log, file lineage and load metrics.
+
+The three logs are append-only: a change appends the new states of the rows it
+touches, and readers take the last state of each key.  Ids number the keys in
+the order of their first append.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions.clean import duration_seconds
-from skyloom.operators.merge import upsert
+from skyloom.operators.merge import number_rows, upsert
+from skyloom.sources.sinks import append_rows, compact, current_rows
 
 RUN_LOG_COLUMNS = (
     "id int, dag_id string, task_id string, execution_date date, start_time timestamp_ntz, "
@@ -30,6 +39,51 @@ _MEASURES = [
 ]
 
 
+@dataclass(frozen=True)
+class Log:
+    """Columns (``id`` first) and key of an append-only log."""
+
+    columns: str
+    key: tuple[str, ...]
+
+    @property
+    def stored(self) -> str:
+        return self.columns.removeprefix("id int, ")
+
+
+LOGS = {
+    "etl_run_log": Log(RUN_LOG_COLUMNS, tuple(RUN_KEY)),
+    "lake_metadata": Log(LAKE_COLUMNS, ("object_path",)),
+    "etl_metrics": Log(METRIC_COLUMNS, ("etl_run_id", "target_table")),
+}
+
+
+def read_log(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A log as a table: the last state of each key, with its id."""
+    log = LOGS[name]
+    rows = current_rows(spark, path, log.stored, log.key)
+    numbered = number_rows(rows, ["_since", *log.key], "id")
+    return numbered.select(F.col("id").cast("int").alias("id"), *[c for c in rows.columns if not c.startswith("_")])
+
+
+def append_log(
+    spark: SparkSession, path: str, name: str, keys: DataFrame, change: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Append what ``change`` makes of the log, for the keys in ``keys`` only.
+
+    Whoever else appends meanwhile keeps their rows; of two changes of one key
+    the later one counts.
+    """
+    log = LOGS[name]
+    wanted: Sequence[str] = [k for k in log.key if k in keys.columns]
+    changed = change(read_log(spark, path, name)).join(keys.select(*wanted).distinct(), wanted, "left_semi")
+    append_rows(changed.drop("id"), path)
+
+
+def compact_log(spark: SparkSession, path: str, name: str) -> int:
+    return compact(spark, path, LOGS[name].stored, LOGS[name].key)
+
+
 def start_runs(log: DataFrame, starts: DataFrame, as_of: Column) -> DataFrame:
     """The run log after ``starts`` (key and start_time) began.
 

@@ -6,7 +6,7 @@ import json
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom import fixed_values as fixed
@@ -71,14 +71,25 @@ def reset_warehouse(
 ) -> None:
     """Dimensions from their seeds, empty facts, empty logs."""
     moment = F.lit(run_at).cast("timestamp_ntz")
+    for name in ("dim_aemet_stations", "metric_history", *lineage.LOGS):
+        lake.remove_folder(spark, layout.table(name))
     for name, df in dims.dims_all(spark, cities, week_rule, moment).items():
-        sinks.publish(df, layout.table(name))
+        if name == "dim_aemet_stations":
+            sinks.append_rows(df, layout.table(name))
+        else:
+            sinks.write_table(df, layout.table(name))
     for feed, spec in FACTS.items():
         create_table(spark, spec, layout.fact(feed))
-    logs = {"etl_run_log": lineage.RUN_LOG_COLUMNS, "etl_metrics": lineage.METRIC_COLUMNS,
-            "lake_metadata": lineage.LAKE_COLUMNS}
-    for name, columns in logs.items():
-        sinks.publish(spark.createDataFrame([], columns), layout.table(name))
+
+
+def stations_of(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The station dimension; it is append-only, with one writer at a time for its ids."""
+    rows = sinks.current_rows(spark, layout.table("dim_aemet_stations"), dims.STATION_COLUMNS, ["station_id"])
+    return rows.drop("_run", "_since")
+
+
+def run_log(spark: SparkSession, layout: Layout) -> DataFrame:
+    return lineage.read_log(spark, layout.table("etl_run_log"), "etl_run_log")
 
 
 # -- stages -----------------------------------------------------------------
@@ -179,12 +190,8 @@ def load(
     moment = F.lit(run_at).cast("timestamp_ntz")
     historical = feed == "historical"
     silver = all_historical(spark, layout) if historical else latest_silver(spark, layout, feed, date)
-    stations = sinks.read_published(spark, layout.table("dim_aemet_stations"))
     if feed == "stations":
-        path = layout.table("dim_aemet_stations")
-        sinks.republish(spark, path, lambda last: dims.load_stations(last, silver, moment))
-        count = sinks.read_published(spark, path).count()
-        return {"rows_input": count, "rows_loaded": count, "rows_rejected": 0}
+        return _load_stations(spark, layout, silver, moment)
     if silver is None:
         return {"rows_input": 0, "rows_loaded": 0, "rows_rejected": 0}
     spec = FACTS["station_day" if historical else feed]
@@ -192,14 +199,25 @@ def load(
     if spec.suite:
         scores = gate_report(silver.drop(*_ORDER), suite_for(spec.suite), spec.table, moment, strict)
     if spec.entity == "station":
-        dim = dims.ensure_stations(stations, moment)
+        dim = dims.ensure_stations(stations_of(spark, layout), moment)
     else:
-        dim = sinks.read_published(spark, layout.table("dim_city"))
+        dim = spark.read.parquet(layout.table("dim_city"))
     order = ["bronze_source"] if feed == "observation" else ["_folder", *_ORDER] if historical else _ORDER
     counts = load_fact(silver, spec, dim, layout.fact(feed), moment, order, F.lit(date))
     return {**counts, "table": spec.table, "scores": scores}
 
 
+def _load_stations(spark: SparkSession, layout: Layout, silver: DataFrame | None, moment: Column) -> dict:
+    """The stations of an inventory, or the default ones; counts them, not the dimension."""
+    feed = dims.default_stations(spark) if silver is None or silver.isEmpty() else silver
+    merged = dims.load_stations(stations_of(spark, layout), feed, moment)
+    touched = Observation()
+    changed = merged.join(feed.select("station_id").distinct(), "station_id", "left_semi")
+    sinks.append_rows(changed.observe(touched, F.count(F.lit(1)).alias("n")), layout.table("dim_aemet_stations"))
+    n = touched.get["n"]
+    return {"rows_input": n, "rows_loaded": n, "rows_rejected": 0}
+
+
 def run_task(
     spark: SparkSession, layout: Layout, task: str, date: str, run_at: datetime, strict: bool = False
 ) -> dict:
@@ -225,39 +243,59 @@ def _source(task: str) -> str:
 
 
 def _start_log(spark, layout, tasks, date, moment) -> None:
-    path = layout.table("etl_run_log")
     names = spark.createDataFrame(
         [(fixed.EXTRACTION_DAG, task, date) for task in tasks], "dag_id string, task_id string, day string"
     ).select("dag_id", "task_id", F.col("day").cast("date").alias("execution_date"), moment.alias("start_time"))
-    sinks.republish(spark, path, lambda log: lineage.start_runs(log, names, moment))
+    lineage.append_log(
+        spark, layout.table("etl_run_log"), "etl_run_log", names, lambda log: lineage.start_runs(log, names, moment)
+    )
 
 
 def _end_log(spark, layout, results, date, moment) -> DataFrame:
-    """The run log with all outcomes; returns the ids of the day's runs."""
-    path = layout.table("etl_run_log")
-    started = sinks.read_published(spark, path)
-    ids = started.filter(
+    """Append all outcomes to the run log; returns the ids of the day's runs."""
+    ids = run_log(spark, layout).filter(
         (F.col("dag_id") == fixed.EXTRACTION_DAG) & (F.col("execution_date") == F.lit(date).cast("date"))
-    ).select("id", "task_id")
+    ).select("id", *lineage.RUN_KEY)
     ends = spark.createDataFrame(
         [(t, r["status"], r["rows_loaded"], r.get("error"), datetime.now()) for t, r in results.items()],
         "task_id string, status string, records_processed long, error_message string, end_time timestamp_ntz",
     )
-    sinks.republish(spark, path, lambda log: lineage.end_runs(log, ids.join(ends, "task_id"), moment))
-    return ids
+    ends = ids.join(ends, "task_id")
+    lineage.append_log(
+        spark, layout.table("etl_run_log"), "etl_run_log", ends, lambda log: lineage.end_runs(log, ends, moment)
+    )
+    return ids.select("id", "task_id")
 
 
-def _log_files(spark, layout, results, moment) -> None:
-    files = [
-        ("silver", r["written"]["path"], "silver", _source(t), r["written"]["rows"], r["written"]["bytes"], "success")
-        for t, r in results.items() if r.get("written", {}).get("path")
-    ]
-    if files:
-        path = layout.table("lake_metadata")
-        new = spark.createDataFrame(
-            files, "bucket_name string, object_path string, layer string, data_source string, "
-            "record_count long, file_size_bytes long, status string")
-        sinks.republish(spark, path, lambda files: lineage.log_files(files, new, moment))
+_FILE_COLUMNS = """bucket_name string, object_path string, layer string, data_source string,
+record_count long, file_size_bytes long, status string"""
+
+
+def _bronze_files(spark, layout, task, date) -> DataFrame:
+    """The documents a task read, one record each, from the listing alone."""
+    prefix = layout.bronze(TASK_FEED[task], date).removeprefix(f"{layout.lake}/")
+    files = lake.document_files(spark, None, layout.lake, prefix)
+    return files.select(
+        F.lit("bronze").alias("bucket_name"), F.regexp_extract("path", "/bronze/(.*)$", 1).alias("object_path"),
+        F.lit("bronze").alias("layer"), F.lit(_source(task)).alias("data_source"),
+        F.lit(1).cast("long").alias("record_count"), F.col("length").alias("file_size_bytes"),
+        F.lit("success").alias("status"),
+    )
+
+
+def _log_files(spark, layout, results, date, moment) -> None:
+    """Bronze documents that were read and silver snapshots that were written."""
+    written = {t: r["written"] for t, r in results.items() if r.get("written", {}).get("path")}
+    if written:
+        silver = [
+            ("silver", w["path"], "silver", _source(t), w["rows"], w["bytes"], "success") for t, w in written.items()
+        ]
+        new = spark.createDataFrame(silver, _FILE_COLUMNS)
+        for task in written:
+            new = new.unionByName(_bronze_files(spark, layout, task, date))
+        lineage.append_log(
+            spark, layout.table("lake_metadata"), "lake_metadata", new, lambda log: lineage.log_files(log, new, moment)
+        )
 
 
 def _log_metrics(spark, layout, results, ids, date, moment) -> None:
@@ -271,14 +309,15 @@ def _log_metrics(spark, layout, results, ids, date, moment) -> None:
                 (task, r["table"], _source(task), r["rows_input"], r["rows_loaded"], r["rows_rejected"],
                  *[scores.get(d) for d in dimensions], scores.get("overall_score"), summary))
     if measured:
-        path = layout.table("etl_metrics")
         columns = ", ".join(f"{d}_score double" for d in [*dimensions, "overall_quality"])
         new = spark.createDataFrame(
             measured, "task_id string, target_table string, data_source string, rows_input long, "
             f"rows_loaded long, rows_rejected long, {columns}, quality_details string")
         new = new.join(ids.withColumnRenamed("id", "etl_run_id"), "task_id")
         new = new.withColumn("execution_date", F.lit(date).cast("date"))
-        sinks.republish(spark, path, lambda metrics: lineage.log_metrics(metrics, new, moment))
+        lineage.append_log(
+            spark, layout.table("etl_metrics"), "etl_metrics", new, lambda log: lineage.log_metrics(log, new, moment)
+        )
     rows = [
         (r["table"], m["metric_name"], m["value"], m["dimension"])
         for r in results.values() if r.get("scores") for m in r["scores"]["metrics"]
@@ -295,7 +334,7 @@ def run_day(
 ) -> dict[str, dict]:
     """All tasks of a day, stations first; a failing feed does not stop the others.
 
-    The run log is published before the first and after the last task, on its
+    The run log is written before the first and after the last task, on its
     own, so that it outlives a load that failed.  The frames the logs are built
     from hold one row per task, nine at most.
     """
@@ -309,7 +348,7 @@ def run_day(
         except Exception as error:  # recorded in the log, the other feeds go on
             results[task] = {"status": "failed", "rows_loaded": 0, "error": str(error)}
     ids = _end_log(spark, layout, results, date, moment)
-    _log_files(spark, layout, results, moment)
+    _log_files(spark, layout, results, date, moment)
     _log_metrics(spark, layout, results, ids, date, moment)
     return results
 
@@ -320,10 +359,9 @@ def run_gaps(
 ) -> dict[str, int]:
     """Run every task of the days in ``bounds`` that the run log lacks or holds as failed.
 
-    The plan is stored first: each run publishes a new run log.
+    The plan is stored first: each run adds to the run log.
     """
-    log = sinks.read_published(spark, layout.table("etl_run_log"))
-    plan = checkpointed(backfill.backfill_plan(log, bounds, source, force))
+    plan = checkpointed(backfill.backfill_plan(run_log(spark, layout), bounds, source, force))
 
     def one(date, task: str) -> None:
         result = run_day(spark, layout, str(date), run_at, strict, [task])[task]

@@ -14,6 +14,7 @@ from skyloom.quality.checks import Suite, counters, expectations, present, profi
 from skyloom.quality.errors import QualityError
 from skyloom.session import checkpointed
 from skyloom.sources.lake import folders_matching, remove_folder
+from skyloom.sources.sinks import append_once
 
 
 def completeness_scores(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -227,16 +228,24 @@ def report_json(report: DataFrame) -> DataFrame:
 # -- history ----------------------------------------------------------------
 
 
-def append_history(rows: DataFrame, path: str) -> None:
-    """Add the metric rows of a run to the history."""
-    rows.write.mode("append").parquet(path)
+def append_history(rows: DataFrame, path: str, once: str | None = None) -> None:
+    """Add the metric rows of a run to the history.
+
+    Rows given under a name (``once``) are added once, however often that is repeated.
+    """
+    if once is None:
+        rows.write.mode("append").parquet(path)
+    else:
+        append_once(rows, path, once)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """The stored history; empty before the first run."""
     folders = folders_matching(spark, path)
     schema = "target_table string, measured_at timestamp_ntz, metric_name string, value double, dimension string"
-    return spark.read.schema(schema).parquet(path) if folders else spark.createDataFrame([], schema)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
 def clear_history(spark: SparkSession, path: str) -> None:

@@ -162,7 +162,7 @@ def documents_or_prefix(
 def document_files(
     spark: SparkSession, handed_over: Sequence[str] | None, root: str, prefix: str, glob: str = "*.json"
 ) -> DataFrame:
-    """``path`` of the files ``documents_or_prefix`` means to read, from the listing alone."""
+    """``path, length`` of the files ``documents_or_prefix`` means to read, from the listing alone."""
     names = list(handed_over) if handed_over else [prefix]
     listing = (
         spark.read.format("binaryFile")
@@ -170,8 +170,7 @@ def document_files(
         .option("pathGlobFilter", glob)
         .load([f"{root.rstrip('/')}/{name}" for name in names])
     )
-    return listing.select(F.col("_metadata.file_path").alias("path"))
-
+    return listing.select(F.col("_metadata.file_path").alias("path"), "length")
 
 
 # -- path layouts -----------------------------------------------------------

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.session import scratch_root
-from skyloom.sources.lake import finished_folders, folders_matching, list_objects, remove_folder
+from skyloom.sources.lake import folders_matching, list_objects, remove_folder
 
 
 def _bytes_below(spark: SparkSession, path: str) -> int:
@@ -45,51 +47,56 @@ def append_snapshot(df: DataFrame, root: str, path: str) -> dict:
     return write_table(df, f"{root.rstrip('/')}/{path}", mode="errorifexists")
 
 
-class StaleBase(RuntimeError):
-    """A table was published by someone else since its base was read."""
+# -- append-only tables -----------------------------------------------------
 
 
-def _versions(spark: SparkSession, root: str, finished: bool = True) -> list[int]:
-    """Numbers of the versions of a published table, in rising order."""
-    pattern = f"{root.rstrip('/')}/v=*"
-    folders = finished_folders(spark, pattern) if finished else folders_matching(spark, pattern)
-    return sorted(int(folder.rsplit("v=", 1)[1]) for folder in folders)
+def append_once(df: DataFrame, root: str, name: str) -> None:
+    """Rows below a folder of their own; a repeated write replaces what it wrote before."""
+    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/once={name}")
 
 
-def published_version(spark: SparkSession, root: str) -> int:
-    """Number of the last finished version, 0 if there is none."""
-    return next(reversed(_versions(spark, root)), 0)
+def append_rows(df: DataFrame, root: str) -> None:
+    """New states of rows, stamped with the moment of writing; nothing is read or replaced.
+
+    Writers do not wait for each other and none can lose the rows of another.
+    """
+    stamp = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    stamps = {"_run": F.lit(stamp), "_since": F.lit(stamp)}
+    df.withColumns(stamps).write.parquet(f"{root.rstrip('/')}/at={stamp}")
+
+
+def current_rows(spark: SparkSession, root: str, columns: str, key: Sequence[str]) -> DataFrame:
+    """The last state of each key, with the stamps of its last and its first append (``_run``, ``_since``).
+
+    States meet in one grouping, reduced before the shuffle; a table that was
+    never written is empty.
+    """
+    schema = f"{columns}, _run string, _since string"
+    if not folders_matching(spark, root):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+    rest = [F.col(c) for c in rows.columns if c not in (*key, "_since")]
+    last = rows.groupBy(*key).agg(
+        F.max_by(F.struct(*rest), "_run").alias("_last"), F.min("_since").alias("_since")
+    )
+    return last.select(*key, "_last.*", "_since").select(*rows.columns)
 
 
-def publish(df: DataFrame, root: str, base: int | None = None, keep: int = 20) -> int:
-    """A small table as a new version, one above all that were ever begun; returns its number.
+def compact(spark: SparkSession, root: str, columns: str, key: Sequence[str]) -> int:
+    """Replace all appends so far by the last state of each key; returns the folders removed.
 
-    Readers take the last version that finished, so a failed write is never
-    seen and the version being read is never overwritten.  ``base`` is the
-    version ``df`` was made from: if another has been published since,
-    ``StaleBase`` is raised and nothing is written.  Of older finished versions
-    the last ``keep`` stay.
+    The states keep their stamps, so an append that comes later still finds its
+    place, and a run that dies before the old folders are gone leaves only
+    repeated states.  Run it while nobody reads.
     """
-    spark, root = df.sparkSession, root.rstrip("/")
-    if base is not None and (last := published_version(spark, root)) != base:
-        raise StaleBase(f"{root}: version {last} was published after {base}")
-    number = max(_versions(spark, root, finished=False), default=0) + 1
-    df.write.mode("errorifexists").parquet(f"{root}/v={number:010d}")
-    for old in _versions(spark, root)[: -keep - 1]:
-        remove_folder(spark, f"{root}/v={old:010d}")
-    return number
-
-
-def read_published(spark: SparkSession, root: str) -> DataFrame | None:
-    """The last finished version of a published table, or None."""
-    last = published_version(spark, root)
-    return spark.read.parquet(f"{root.rstrip('/')}/v={last:010d}") if last else None
-
-
-def republish(spark: SparkSession, root: str, change: Callable[[DataFrame], DataFrame]) -> int:
-    """Publish ``change`` of the last version, refusing if that is no longer the last."""
-    base = published_version(spark, root)
-    return publish(change(read_published(spark, root)), root, base)
+    old = folders_matching(spark, f"{root.rstrip('/')}/at=*")
+    if len(old) > 1:
+        stamp = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        current_rows(spark, root, columns, key).write.parquet(f"{root.rstrip('/')}/at={stamp}")
+        for folder in old:
+            remove_folder(spark, folder)
+        return len(old)
+    return 0
 
 
 def clear_scratch(spark: SparkSession) -> None:

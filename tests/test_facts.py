@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from skyloom.operators import backfill
+from skyloom.operators import backfill, lineage
 from skyloom.operators.partitions import read_months
 from skyloom.plans import daily, facts
 from skyloom.plans.facts import FACTS
@@ -139,10 +139,11 @@ def test_run_day_twice(spark, tmp_path):
     assert first["extract_aemet_daily_climatology"]["rows_loaded"] == 2
     assert first["extract_aemet_daily_climatology"]["outcomes"]["duplicate"] == 1
     assert first["extract_openweather"]["rows_loaded"] == 1
-    assert first["extract_aemet_stations"]["rows_loaded"] == 16
+    assert first["extract_aemet_stations"]["rows_loaded"] == 2  # stations of the inventory
+    assert daily.stations_of(spark, layout).count() == 16
     assert (first["extract_openmeteo_pollen"]["status"], first["extract_openmeteo_pollen"]["rows_loaded"]) == ("success", 0)
     again = daily.run_day(spark, layout, "2026-01-29", datetime(2026, 1, 29, 7), tasks=tasks)
-    assert [again[t]["rows_loaded"] for t in TASKS] == [0, 0, 16, 0]
+    assert [again[t]["rows_loaded"] for t in TASKS] == [0, 0, 2, 0]
     assert again["extract_openmeteo_air_quality"]["outcomes"]["conflict"] == 6
     history = read_history(spark, layout.table("metric_history"))
     assert history.filter("target_table = 'fct_air_quality' and metric_name = 'uniqueness_score'").count() == 2
@@ -151,17 +152,20 @@ def test_run_day_twice(spark, tmp_path):
 
     air = spark.read.parquet(layout.fact("air_quality"))
     assert air.count() == 6 and {str(r.p_month) for r in air.select("p_month").collect()} == {"202601"}
-    log = sinks.read_published(spark, layout.table("etl_run_log"))
+    log = daily.run_log(spark, layout)
     found = {r.task_id: (r.status, r.records_processed) for r in log.collect()}
     assert found["extract_openmeteo_pollen"] == ("success", 0) and found["extract_openweather"] == ("success", 0)
     assert len(found) == 5 and log.filter("duration_seconds is null").count() == 0
 
-    metrics = sinks.read_published(spark, layout.table("etl_metrics"))
+    metrics = lineage.read_log(spark, layout.table("etl_metrics"), "etl_metrics")
     loaded = {r.target_table: (r.rows_input, r.rows_loaded, r.rows_rejected) for r in metrics.collect()}
     assert loaded["fct_air_quality"] == (9, 0, 9) and len(loaded) == 3  # the second run replaced the first
     assert metrics.join(log.withColumnRenamed("id", "etl_run_id"), "etl_run_id").count() == 3
-    files = sinks.read_published(spark, layout.table("lake_metadata"))
-    assert files.count() == 7 and files.filter("file_size_bytes > 0").count() == 7
+    files = lineage.read_log(spark, layout.table("lake_metadata"), "lake_metadata")
+    layers = {r.layer: r["count"] for r in files.groupBy("layer").count().collect()}
+    bronze = [f for f in (tmp_path / "lake" / "bronze").rglob("*.json") if "2026-01-29" in str(f)]
+    assert layers == {"silver": 7, "bronze": len(bronze)} and files.filter("file_size_bytes > 0").count() == files.count()
+    assert files.filter("layer = 'bronze' and record_count = 1 and object_path like 'air_quality/2026-01-29/%'").count() == 4
 
     bounds = spark.sql("select date'2026-01-29' first_day, date'2026-01-30' last_day")
     gaps = backfill.gaps(log, bounds)
@@ -317,28 +321,13 @@ def test_json_round_trip_and_date_overwrite(spark, tmp_path):
             sinks.append_snapshot(docs, str(tmp_path), "snap_1")
 
 
-def test_unfinished_version_is_not_read(spark, tmp_path):
-    root = tmp_path / "dim"
-    assert sinks.read_published(spark, str(root)) is None
-    assert sinks.publish(spark.range(1), str(root)) == 1
-    (root / "v=0000000002").mkdir()
-    (root / "v=0000000002" / "part-0.parquet").write_bytes(b"half")
-    assert sinks.read_published(spark, str(root)).count() == 1
-    assert sinks.publish(spark.range(3), str(root), base=1) == 3
-    with pytest.raises(sinks.StaleBase):
-        sinks.publish(spark.range(4), str(root), base=1)
-    assert sinks.read_published(spark, str(root)).count() == 3
-    sinks.publish(spark.range(5), str(root), keep=1)
-    assert not (root / "v=0000000001").exists() and (root / "v=0000000003").exists()
-
-
 def test_dates_in_falling_order_and_one_moment_lose_no_rows(spark, tmp_path):
     layout = layout_for(spark, tmp_path)
     fill(tmp_path)
     moment = datetime(2026, 2, 3, 6)
     for date, tasks in (("2026-01-30", TASKS[:1]), ("2026-01-29", TASKS[:1]), ("2026-01-29", TASKS[1:2])):
         daily.run_day(spark, layout, date, moment, tasks=tasks)
-    log = sinks.read_published(spark, layout.table("etl_run_log"))
+    log = daily.run_log(spark, layout)
     assert sorted((str(r.execution_date), r.task_id, r.status) for r in log.collect()) == [
         ("2026-01-29", "extract_openmeteo_air_quality", "success"),
         ("2026-01-29", "extract_openweather", "success"), ("2026-01-30", "extract_openweather", "success")]
@@ -351,7 +340,7 @@ def test_run_gaps_runs_the_missing_tasks(spark, tmp_path):
     bounds = spark.sql("select date'2026-01-28' first_day, date'2026-01-29' last_day")
     counts = daily.run_gaps(spark, layout, bounds, datetime(2026, 2, 3, 6), "openweather")
     assert counts == {"success": 2, "failed": 0, "skipped": 0}
-    log = sinks.read_published(spark, layout.table("etl_run_log"))
+    log = daily.run_log(spark, layout)
     assert sorted((str(r.execution_date), r.records_processed) for r in log.collect()) == [("2026-01-28", 0), ("2026-01-29", 1)]
     assert daily.run_gaps(spark, layout, bounds, datetime(2026, 2, 3, 7), "openweather") == dict.fromkeys(counts, 0)
 
