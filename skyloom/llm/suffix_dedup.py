@@ -9,13 +9,17 @@ that begin in the string, so equal strings have equal seeds at equal places.
 Neighbouring strings mostly share their seed occurrence, and such a *chunk* of
 strings travels as one row.  Seeds that occur once drop out, chunks that are
 equal as a whole are settled by counting, and only the rest, one chunk of each
-kind, carries bytes to the passes inside tasks.  The groups of a seed with very
-many kinds are dealt to blocks; what is alone in its block meets the other
-blocks by one more digit, the fingerprint of the whole string.
+kind, carries bytes to the passes inside tasks.
+
+Chunks of a seed with very many kinds are cut into pieces of strings that share
+their bytes around the seed, and those bytes are the next digit.  A group that
+is still large is dealt to blocks; what is alone in its block meets the other
+blocks by the last digit, the fingerprint of the whole string.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -26,11 +30,12 @@ from pyspark.sql.types import BinaryType
 
 from skyloom.llm.common import mixed, powers, text_of, written
 
-#: Strings of a text handled at once, bytes of one step of the passes, passes, and kinds of chunks in a block.
-SEGMENT, STEP, DIGITS, BLOCK = 1 << 20, 1 << 20, 8, 512
+#: Strings of a text handled at once, bytes of one step of the passes, passes, kinds in a block, pieces of a chunk.
+SEGMENT, STEP, DIGITS, BLOCK, PIECES = 1 << 20, 1 << 20, 8, 512, 8
 
 SEED = "k1 long, k2 long, at long, low long, high long, seed long, digest long"
-CHUNK = "k1 long, k2 long, at long, low long, n long, kinds long, seed long, digest long, bytes binary"
+CHUNK = """k1 long, k2 long, at long, low long, high long, n long, seed long, part int, digit long,
+digest long, bytes binary"""
 FOUND = "open boolean, g1 long, g2 long, g3 long, g4 long, k1 long, k2 long, low long, high long, alone boolean"
 
 #: Hashes are aligned to this power, so that they can be compared between texts and tasks.
@@ -87,19 +92,59 @@ def _seed_rows(length: int, gram: int) -> Callable:
     return run
 
 
-def _chunk_rows(length: int) -> Callable:
+def _code(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+def pieces_of(text: bytes, at: int, low: int, high: int, length: int, gram: int) -> Iterator[tuple[int, int, int, int]]:
+    """Number, digit, first and last string of the pieces of a chunk.
+
+    Strings are cut by their bytes before the seed, in even ranges; the digit is
+    what all strings of a piece hold around the seed.
+    """
+    rest = length - gram
+    width = -(-(rest + 1) // PIECES)
+    for part in range(PIECES):
+        least, most = part * width, (part + 1) * width - 1
+        first, last = max(low, at - most), min(high, at - least)
+        if first <= last:
+            yield part, _code(text[at - least : at + gram + max(0, rest - most)]), first, last
+
+
+def _chunk_rows(length: int, gram: int) -> Callable:
+    """Documents with their chunks to rows with bytes; chunks of a seed with many kinds become pieces.
+
+    Pieces that a task meets again are settled: such runs go on without bytes,
+    and of their bytes one row is left.
+    """
+    names = [c.split()[0] for c in CHUNK.split(",")]
+
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in CHUNK.split(", ")]
         for frame in frames:
-            out, held = [], 0
+            out, held, met = [], 0, {}
             for r in frame.itertuples(index=False):
                 for at, low, high, n, kinds, seed, digest in zip(r.at, r.low, r.high, r.n, r.kinds, r.seed, r.digest):
-                    chunk = r.bytes[low : high + length]
-                    out.append((r.k1, r.k2, at, low, n, kinds, seed, digest, chunk))
-                    held += len(chunk)
+                    if kinds <= BLOCK:
+                        chunk = r.bytes[low : high + length]
+                        out.append([r.k1, r.k2, at, low, high, n, seed, -1, 0, digest, chunk])
+                        held += len(chunk)
+                        continue
+                    for part, digit, first, last in pieces_of(r.bytes, at, low, high, length, gram):
+                        chunk = r.bytes[first : last + length]
+                        code = _code(chunk + int(at - first).to_bytes(8, "little"))
+                        row = [r.k1, r.k2, at, first, last, n, seed, part, digit, code, chunk]
+                        before = met.setdefault((seed, part, code), row)
+                        if before is row:
+                            out.append(row)
+                            held += len(chunk)
+                        elif before[:4] != row[:4]:  # a repeated row of a document is not another place
+                            if before[5] == 1:
+                                out.append([*before[:5], 2, before[0], -2, 0, 0, b""])
+                                before[5] = 2
+                            out.append([*row[:5], 2, row[0], -2, 0, 0, b""])
                 if held > 8 * STEP:
                     yield pd.DataFrame(out, columns=names)
-                    out, held = [], 0
+                    out, held, met = [], 0, {}
             if out:
                 yield pd.DataFrame(out, columns=names)
 
@@ -127,14 +172,19 @@ def equal_groups(words: list[np.ndarray], group: np.ndarray) -> np.ndarray:
 
 
 def _passes(length: int) -> Callable:
-    """Blocks of chunks (sorted by seed, block and digest) to the strings found repeated.
+    """Sorted blocks of chunks and pieces to the strings found repeated.
 
-    A row that is not ``open`` is a run of repeated strings.  Of a seed with several
+    A row that is not ``open`` is a run of repeated strings.  Of a group with several
     blocks also every different string is returned once, open, under its fingerprints
     ``g1`` to ``g4``; it is ``alone`` if its block has it once.
     """
     width = -(-length // DIGITS)
     offsets = [min(t * width, length - width) for t in range(DIGITS)]
+    block_of = ["seed", "part", "digit", "block"]
+
+    def settled_runs(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"open": False, "g1": rows["k1"], "g2": rows["k2"], "g3": rows["low"], "g4": 0,
+                             "k1": rows["k1"], "k2": rows["k2"], "low": rows["low"], "high": rows["high"], "alone": False})
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         sizes = rows["bytes"].str.len().to_numpy(np.int64)
@@ -143,11 +193,11 @@ def _passes(length: int) -> Callable:
         row = np.repeat(np.arange(len(rows)), strings)
         inner = np.arange(len(row)) - np.repeat(np.cumsum(strings) - strings, strings)
         start = np.repeat(np.cumsum(sizes) - sizes, strings) + inner
-        block = rows.groupby(["seed", "block"], sort=False).ngroup().to_numpy()
+        block = rows.groupby(block_of, sort=False).ngroup().to_numpy()
         left = (rows["at"] - rows["low"]).to_numpy(np.int64)[row] - inner  # bytes before the seed
         words = [_hashes(sums, start + o, width) for o in offsets]
         group = equal_groups(words, block[row] * length + left)
-        settled = rows["n"].to_numpy()[row] > 1  # the chunk itself occurs twice
+        settled = rows["n"].to_numpy()[row] > 1  # all of the chunk occurs twice
         low = rows["low"].to_numpy(np.int64)[row] + inner
         hit = (group >= 0) & ~settled
         first = hit.copy()
@@ -157,7 +207,7 @@ def _passes(length: int) -> Callable:
         k1, k2 = rows["k1"].to_numpy()[row], rows["k2"].to_numpy()[row]
         done = pd.DataFrame({"open": False, "g1": k1[first], "g2": k2[first], "g3": low[first], "g4": 0,
                              "k1": k1[first], "k2": k2[first], "low": low[first], "high": low[last], "alone": False})
-        wide = np.flatnonzero((rows["kinds"].to_numpy() > BLOCK)[row])
+        wide = np.flatnonzero((rows["blocks"].to_numpy() > 1)[row])
         if not len(wide):
             return done
         lead = np.ones(len(wide), dtype=bool)  # one string of each group goes on
@@ -179,12 +229,14 @@ def _passes(length: int) -> Callable:
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for frame in frames:
+            done = frame["part"] == -2
+            if done.any():
+                yield settled_runs(frame[done])
             # rows that repeat a document bring its chunks again
-            rest = pd.concat([rest, frame]).drop_duplicates(["seed", "digest"], ignore_index=True)
-            ends = rest.groupby(["seed", "block"], sort=False)["bytes"].agg(lambda b: b.str.len().sum())
-            counts = rest.groupby(["seed", "block"], sort=False).size().to_numpy()
+            rest = pd.concat([rest, frame[~done]]).drop_duplicates(["k1", "k2", "at", "low"], ignore_index=True)
+            blocks = rest.assign(size=rest["bytes"].str.len()).groupby(block_of, sort=False)["size"].agg(["sum", "size"])
             begin, held, at = 0, 0, 0
-            for size, rows in zip(ends.to_numpy()[:-1], counts[:-1]):
+            for size, rows in blocks.iloc[:-1].itertuples(index=False):
                 held, at = held + size, at + rows
                 if held > STEP:
                     yield solve(rest.iloc[begin:at].reset_index(drop=True))
@@ -258,20 +310,25 @@ def remove_repeats(
     whole = seeds.join(kinds.where("n > 1").select("seed", "digest"), ["seed", "digest"], "left_semi").select(
         "k1", "k2", "low", "high"
     )
-    one = kinds.where("kinds > 1").select("seed", "digest", "n", "kinds", "r.*")
-    wanted = one.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "low", "high", "n", "kinds", "seed", "digest")).alias("c"))
     names = ["at", "low", "high", "n", "kinds", "seed", "digest"]
-    chunks = (
-        rows.join(wanted.select("k1", "k2", *[F.col(f"c.{x}").alias(x) for x in names]), ["k1", "k2"])
-        .mapInPandas(_chunk_rows(length), CHUNK)
-        .withColumn("block", F.pmod(F.xxhash64("digest"), F.ceil(F.col("kinds") / BLOCK)).cast("int"))
-    )
+
+    def chunks_of(chosen: DataFrame) -> DataFrame:
+        listed = chosen.groupBy("k1", "k2").agg(F.collect_list(F.struct(*names)).alias("c"))
+        listed = listed.select("k1", "k2", *[F.col(f"c.{x}").alias(x) for x in names])
+        return rows.join(listed, ["k1", "k2"]).mapInPandas(_chunk_rows(length, gram), CHUNK)
+
+    one = kinds.where("kinds > 1").select("seed", "digest", "n", "kinds", "r.*")
+    group = ["seed", "part", "digit"]
+    large = chunks_of(one.where(F.col("kinds") > BLOCK)).where("part >= 0").groupBy(*group).agg(F.count("*").alias("pieces"))
+    large = large.where(F.col("pieces") > BLOCK).select(*group, F.ceil(F.col("pieces") / BLOCK).cast("int").alias("blocks"))
+    chunks = chunks_of(one).join(large, group, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    chunks = chunks.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     found = (
-        chunks.repartition("seed", "block").sortWithinPartitions("seed", "block", "digest")
+        chunks.repartition(*group, "block").sortWithinPartitions(*group, "block", "digest")
         .mapInPandas(_passes(length), FOUND)
     )
     others = F.count("*").over(Window.partitionBy("open", "g1", "g2", "g3", "g4"))
-    parts = found.withColumn("blocks", others).where("NOT open OR (alone AND blocks > 1)")
+    parts = found.withColumn("places", others).where("NOT open OR (alone AND places > 1)")
     runs = whole.unionByName(parts.select("k1", "k2", "low", "high"))
     runs = runs.select("k1", "k2", F.struct("low", (F.col("high") + length).alias("high")).alias("run"))
     spans = runs.groupBy("k1", "k2").agg(F.collect_list("run").alias("runs")).select(
