@@ -98,8 +98,9 @@ def sinks_round_trip(spark, sf_dir):
 
 def _loaded_twice(spark, sf_dir, spec, source, path):
     rows, cities = view(spark, sf_dir, source), view(spark, sf_dir, "v_city")
-    facts.create_table(spark, spec, path)
-    return [facts.load_fact(rows, spec, cities, path, as_of(), ["event_id"]) for _ in range(2)]
+    store = facts.fact_table(spec, path)
+    store.create(spark)
+    return [facts.load_fact(rows, spec, cities, store, as_of(), ["event_id"]) for _ in range(2)]
 
 
 @query(
@@ -110,7 +111,7 @@ def load_fact_twice(spark, sf_dir):
     """A feed loaded twice into its months: the second load inserts nothing."""
     path, spec = scratch_path(spark, "fact"), facts.FACTS["pollen"]
     _, again = _loaded_twice(spark, sf_dir, spec, "v_pollen", path)
-    stored = partitions.read_months(spark, path, facts.fact_schema(spec)).drop(partitions.PARTITION)
+    stored = facts.fact_table(spec, path).open(spark).drop(partitions.PARTITION)
     return plain(stored.withColumn("loaded_again", F.lit(again["rows_loaded"])))
 
 
@@ -169,15 +170,14 @@ SELECT CASE WHEN date_id BETWEEN 20240101 AND 20271231 OR floor(date_id / 100) I
 )
 def month_added_later(spark, sf_dir):
     """Half of the rows come before two months are declared, half after; one month is declared twice."""
-    path = scratch_path(spark, "months")
+    store = partitions.MonthTable(scratch_path(spark, "months"), "o_orderkey long, date_id int", "date_id", ("o_orderkey",))
     rows = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_DATE_ID).alias("date_id"))
     early = F.col("o_orderkey") % 2 == 0
-    partitions.write_months(rows.filter(early), path, "date_id")
+    store.append(store.dealt(store.placed(rows.filter(early))))
     for month in (1, 2, 1):
-        partitions.add_month(spark, path, "facts", "date_id", ["o_orderkey"], 2028, month)
-    added = partitions.added_months(spark, path)
-    partitions.write_months(rows.filter(~early), path, "date_id", added=added)
-    return partitions.read_months(spark, path).groupBy("p_month").agg(
+        store.add_month(spark, "facts", 2028, month)
+    store.append(store.dealt(store.placed(rows.filter(~early))))
+    return store.open(spark).groupBy("p_month").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").cast("long").alias("ids")
     )
 

@@ -112,8 +112,8 @@ def stream_first_arrivals(spark, sf_dir):
 def stream_load_recovered(spark, sf_dir):
     """Documents loaded in two batches; each batch fails once after its rows were appended and is run again."""
     root, spec = scratch_path(spark, "stream"), facts.FACTS["pollen"]
-    path, cities = f"{root}/fact", view(spark, sf_dir, "v_city")
-    facts.create_table(spark, spec, path)
+    store, cities = facts.fact_table(spec, f"{root}/fact"), view(spark, sf_dir, "v_city")
+    store.create(spark)
     docs = shapes.feed_documents(spark, sf_dir, "pollen")
     chunk = F.regexp_extract("path", r"_(\d+)\.json$", 1).cast("long")
     middle = chunk >= docs.agg(F.max(chunk)).first()[0] // 2
@@ -130,7 +130,7 @@ def stream_load_recovered(spark, sf_dir):
     def run():
         stream = windows.table_stream(spark, f"{root}/docs", "path string, text string", FILES)
         incremental.load_new_documents(
-            stream, "pollen", cities, path, f"{root}/mark", as_of(), on_loaded=fail_once
+            stream, "pollen", cities, store, f"{root}/mark", as_of(), on_loaded=fail_once
         ).awaitTermination()
 
     for _ in range(2):
@@ -139,5 +139,4 @@ def stream_load_recovered(spark, sf_dir):
         except StreamingQueryException:
             continue
     run()
-    stored = partitions.read_months(spark, path, facts.fact_schema(spec)).drop(partitions.PARTITION)
-    return plain(stored)
+    return plain(store.open(spark).drop(partitions.PARTITION))

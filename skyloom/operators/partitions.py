@@ -1,17 +1,18 @@
-"""Month partitions of the fact tables, with a default for other months."""
+"""Month partitions and key buckets of the fact tables, with a default for other months."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.fixed_values import FIRST_PARTITION_DAY, LAST_PARTITION_DAY
 from skyloom.operators.merge import insert_if_absent
 from skyloom.session import checkpointed
-from skyloom.sources.lake import folders_matching
+from skyloom.sources.lake import folders_matching, make_folder, remove_folder
 
 PARTITION = "p_month"
 
@@ -32,70 +33,108 @@ def partition_name(table: str, year: int, month: int) -> str:
     return f"{table}_p{year}{month:02d}"
 
 
-def date_range(df: DataFrame, date_id: str, low: int, high: int) -> DataFrame:
-    """Rows with ``low <= date_id <= high``, reading only the month folders that
-    can hold them.  The default folder is read too: months declared later than a
-    row was written may still be there."""
-    months = F.col(PARTITION).between(str(low // 100), str(high // 100))
-    return df.filter((months | (F.col(PARTITION) == "default")) & F.col(date_id).between(low, high))
-
-
 def added_months(spark: SparkSession, path: str) -> list[int]:
     """Months that have a folder of their own: those first declared and those added later."""
     names = [folder.rsplit("=", 1)[1] for folder in folders_matching(spark, f"{path.rstrip('/')}/{PARTITION}=*")]
     return [int(name) for name in names if name.isdigit()]
 
 
-def write_months(df: DataFrame, path: str, date_id: str, mode: str = "append",
-                 added: Sequence[int] = ()) -> int:
-    """Append fact rows below their month folder; returns their number.
+@dataclass(frozen=True)
+class MonthTable:
+    """A table below ``path`` with one folder per month, in buckets by its key.
 
-    The rebalance hint groups rows by month without forcing a month that holds
-    most of the rows into one task: adaptive execution splits it.
-    """
-    written = Observation()
-    (
-        df.withColumn(PARTITION, month_partition(F.col(date_id), added))
-        .hint("rebalance", PARTITION)
-        .observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode(mode)
-        .partitionBy(PARTITION)
-        .parquet(path)
-    )
-    return written.get["rows"]
-
-
-def read_months(spark: SparkSession, path: str, columns: str | None = None) -> DataFrame | None:
-    """A fact table with its month as text; None before the first load.
-
-    With ``columns`` (its definition) nothing is inferred from files, and a
-    table that was created but not loaded yet is an empty frame.
+    Rows of one key are in one bucket of each month, so a batch that is dealt to
+    the same buckets is joined with the table without moving the table.  The
+    catalog of the session learns of the table when it is opened; ``columns``
+    (its definition) and ``buckets`` must stay as they were when it was created.
+    Choose buckets so that one bucket of all months that a batch touches fits a task.
     """
-    reader = spark.read.schema(f"{columns}, {PARTITION} string") if columns else spark.read
-    try:
-        df = reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    return df if columns else df.withColumn(PARTITION, F.col(PARTITION).cast("string"))
-
-
-def add_month(
-    spark: SparkSession, path: str, table: str, date_id: str, key: Sequence[str], year: int, month: int
-) -> str:
-    """Declare a month and move its rows out of the default folder.
-
-    The month is written before the default folder is replaced, and rows the
-    month already holds are not added again, so a run that dies in between can
-    simply be repeated.
-    """
-    wanted = year * 100 + month
-    facts = read_months(spark, path)
-    stray = checkpointed(facts.filter(F.col(PARTITION) == "default").drop(PARTITION))
-    moving = F.floor(F.col(date_id) / 100) == wanted
-    present = facts.filter(F.col(PARTITION) == str(wanted)).drop(PARTITION)
-    fresh = insert_if_absent(stray.filter(moving), present, key, [F.col(k) for k in key])
-    fresh.write.mode("append").parquet(f"{path}/{PARTITION}={wanted}")
-    stray.filter(~moving).write.mode("overwrite").parquet(f"{path}/{PARTITION}=default")
-    return partition_name(table, year, month)
+
+    path: str
+    columns: str
+    date_id: str
+    key: tuple[str, ...]
+    buckets: int = 8
+
+    @property
+    def name(self) -> str:
+        return f"months_{hashlib.md5(self.path.rstrip('/').encode()).hexdigest()}"
+
+    def open(self, spark: SparkSession) -> DataFrame:
+        """The table, with the month as text in ``p_month``; empty before the first write."""
+        if not spark.catalog.tableExists(self.name):
+            key = ", ".join(self.key)
+            location = self.path.replace("'", "\\'")
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.name} ({self.columns}, {PARTITION} string) USING parquet "
+                f"PARTITIONED BY ({PARTITION}) CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS "
+                f"LOCATION '{location}'"
+            )
+        make_folder(spark, self.path)
+        spark.catalog.recoverPartitions(self.name)
+        spark.catalog.refreshTable(self.name)
+        return spark.table(self.name)
+
+    def create(self, spark: SparkSession) -> DataFrame:
+        """An empty table; whatever the path held is gone."""
+        spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        remove_folder(spark, self.path)
+        return self.open(spark)
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with their month, which may have been declared later."""
+        months = added_months(rows.sparkSession, self.path)
+        return rows.withColumn(PARTITION, month_partition(F.col(self.date_id), months))
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """``rows`` dealt to tasks as the table is to buckets."""
+        return rows.repartition(self.buckets, *self.key)
+
+    def touched(self, rows: DataFrame) -> DataFrame:
+        """The part of the table in the months of ``rows``, however far apart they are.
+
+        The months of a batch are at most as many as the table has declared; they
+        prune the folders before any is read.  The default folder counts too:
+        months declared later than a row was written may still be there.
+        """
+        months = [r[PARTITION] for r in rows.select(PARTITION).distinct().collect()]
+        return self.open(rows.sparkSession).filter(F.col(PARTITION).isin(*months, "default"))
+
+    def between(self, spark: SparkSession, low: int, high: int) -> DataFrame:
+        """Rows with ``low <= date_id <= high``, reading only the month folders that can hold them."""
+        months = F.col(PARTITION).between(str(low // 100), str(high // 100))
+        return self.open(spark).filter((months | (F.col(PARTITION) == "default")) & F.col(self.date_id).between(low, high))
+
+    def append(self, rows: DataFrame) -> int:
+        """Add rows that have their month; returns their number, counted while they are written."""
+        spark, written = rows.sparkSession, Observation()
+        columns = self.open(spark).columns
+        counted = rows.select(*columns).observe(written, F.count(F.lit(1)).alias("rows"))
+        counted.write.insertInto(self.name)
+        return written.get["rows"]
+
+    def add_month(self, spark: SparkSession, table: str, year: int, month: int) -> str:
+        """Declare a month and move its rows out of the default folder.
+
+        The month is written before the default folder is replaced, and rows the
+        month already holds are not added again, so a run that dies in between can
+        simply be repeated.
+        """
+        wanted = year * 100 + month
+        facts = self.open(spark)
+        stray = checkpointed(facts.filter(F.col(PARTITION) == "default"))
+        moving = F.floor(F.col(self.date_id) / 100) == wanted
+        present = facts.filter(F.col(PARTITION) == str(wanted)).drop(PARTITION)
+        fresh = insert_if_absent(stray.filter(moving), present, self.key, [F.col(k) for k in self.key])
+        spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS PARTITION ({PARTITION}='{wanted}')")
+        make_folder(spark, f"{self.path.rstrip('/')}/{PARTITION}={wanted}")
+        self.append(self.dealt(fresh).withColumn(PARTITION, F.lit(str(wanted))))
+        if not stray.filter(moving).isEmpty():
+            # dynamic overwrite replaces the one folder that the rows name
+            rest = stray.filter(~moving)
+            if rest.isEmpty():
+                spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({PARTITION}='default')")
+                remove_folder(spark, f"{self.path.rstrip('/')}/{PARTITION}=default")
+            else:
+                rest.select(*facts.columns).write.option("partitionOverwriteMode", "dynamic").insertInto(self.name, overwrite=True)
+        return partition_name(table, year, month)

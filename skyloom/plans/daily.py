@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from skyloom import fixed_values as fixed
 from skyloom.operators import backfill, flatten, lineage
+from skyloom.operators.partitions import MonthTable
 from skyloom.plans import dims
-from skyloom.plans.facts import FACTS, create_table, load_fact
+from skyloom.plans.facts import FACTS, fact_table, load_fact
 from skyloom.quality.checks import suite_for
 from skyloom.quality.metrics import append_history, gate_report
 from skyloom.session import checkpointed
@@ -44,6 +45,7 @@ class Layout:
 
     lake: str
     warehouse: str
+    buckets: int = 8
 
     def bronze(self, feed: str, date: str) -> str:
         head = fixed.BRONZE_PATHS[feed].split("{", 1)[0]
@@ -62,6 +64,9 @@ class Layout:
     def fact(self, feed: str) -> str:
         return f"{self.warehouse}/{FACTS['station_day' if feed == 'historical' else feed].table}"
 
+    def fact_table(self, feed: str) -> MonthTable:
+        return fact_table(FACTS["station_day" if feed == "historical" else feed], self.fact(feed), self.buckets)
+
     def table(self, name: str) -> str:
         return f"{self.warehouse}/{name}"
 
@@ -78,8 +83,8 @@ def reset_warehouse(
             sinks.append_rows(df, layout.table(name))
         else:
             sinks.write_table(df, layout.table(name))
-    for feed, spec in FACTS.items():
-        create_table(spark, spec, layout.fact(feed))
+    for feed in FACTS:
+        layout.fact_table(feed).create(spark)
 
 
 def stations_of(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -203,7 +208,7 @@ def load(
     else:
         dim = spark.read.parquet(layout.table("dim_city"))
     order = ["bronze_source"] if feed == "observation" else ["_folder", *_ORDER] if historical else _ORDER
-    counts = load_fact(silver, spec, dim, layout.fact(feed), moment, order, F.lit(date))
+    counts = load_fact(silver, spec, dim, layout.fact_table(feed), moment, order, F.lit(date))
     return {**counts, "table": spec.table, "scores": scores}
 
 

@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skyloom import fixed_values as fixed
 from skyloom.functions.clean import date_id, epoch_to_ts, fits, iso_to_ts, normalise_nan, typed
+from skyloom.operators.dedupe import keep_first
 from skyloom.operators.lookup import city_lookup, station_lookup
 from skyloom.operators.merge import insert_if_absent
-from skyloom.operators.partitions import PARTITION, added_months, date_range, read_months, write_months
+from skyloom.operators.partitions import PARTITION, MonthTable
+from skyloom.session import scratch_path
+from skyloom.sources.lake import remove_folder
 
 
 @dataclass(frozen=True)
@@ -136,15 +139,9 @@ def fact_schema(spec: FactSpec) -> str:
     return ", ".join([*columns, "created_at timestamp_ntz"])
 
 
-def create_table(spark: SparkSession, spec: FactSpec, path: str) -> None:
-    """An empty fact table; whatever the path held is gone."""
-    (
-        spark.createDataFrame([], f"{fact_schema(spec)}, {PARTITION} string")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(PARTITION)
-        .parquet(path)
-    )
+def fact_table(spec: FactSpec, path: str, buckets: int = 8) -> MonthTable:
+    """Where the rows of a feed are stored."""
+    return MonthTable(path, fact_schema(spec), spec.run_date_id, tuple(spec.key), buckets)
 
 
 def _moment(spec: FactSpec) -> Column:
@@ -271,30 +268,64 @@ def load_accounting(
     return outcomes(key_rows(silver, spec, dim, run_date), spec, order, target)
 
 
+def new_rows(stored: DataFrame, spec: FactSpec, table: MonthTable, as_of: Column, order: list[str]) -> DataFrame:
+    """The first row of each key in warehouse types, with what keeps it out as ``reject_reason``.
+
+    ``stored`` are usable keyed rows with their month.  Keep-first sends one row
+    per key and task; the rows that are left meet the buckets of the table,
+    which stay where they are, in the months that the rows name.
+    """
+    first = keep_first(stored, spec.key, order)
+    known = table.touched(stored).select(*spec.key).withColumn("_known", F.lit(True))
+    met = table.dealt(first).join(known, spec.key, "left")
+    label = fixed.DATA_SOURCE.get(spec.feed)
+    return met.select(
+        *spec.key,
+        *[typed(value, rule).alias(target) for value, target, rule in spec.values],
+        *([F.lit(label).alias("data_source")] if label else []),
+        as_of.alias("created_at"), PARTITION,
+        F.when(F.col("_known"), F.lit("conflict")).otherwise(_overflow(spec)).alias("reject_reason"),
+    )
+
+
 def load_fact(
     silver: DataFrame,
     spec: FactSpec,
     dim: DataFrame,
-    path: str,
+    table: MonthTable,
     as_of: Column,
     order: list[str],
     run_date: Column | None = None,
 ) -> dict:
     """Append the new rows of a feed to its table; returns the row accounting.
 
-    One pass over the run date gives the input count and the span of dates, so
-    that the existing table is read only for the months the feed can touch; the
-    loaded rows are counted while they are written.  ``outcomes`` tells why the
-    others were not loaded; it is taken before the write and holds one number
-    per reason.
+    The batch is read once: its keyed rows are stored, and what was refused is
+    counted by reason while that happens.  A second pass over what was stored
+    finds the new rows, counts the others and appends, all in one stage that
+    ends in the table, so that a task that is run again counts once.
     """
-    day = date_id(F.col(spec.run_date) if run_date is None else run_date)
-    span = silver.agg(F.min(day).alias("low"), F.max(day).alias("high"), F.count(F.lit(1)).alias("n")).first()
-    existing = read_months(silver.sparkSession, path, fact_schema(spec))
-    if existing is not None and span["low"] is not None:
-        existing = date_range(existing, spec.run_date_id, span["low"], span["high"])
+    spark = silver.sparkSession
     keyed = key_rows(silver, spec, dim, run_date)
-    split = {r["outcome"]: r["n_rows"] for r in outcomes(keyed, spec, order, existing).collect()}
-    rows = fresh_rows(keyed, spec, as_of, order, existing)
-    loaded = write_months(rows, path, spec.run_date_id, added=added_months(silver.sparkSession, path))
-    return {"rows_input": span["n"], "rows_loaded": loaded, "rows_rejected": span["n"] - loaded, "outcomes": split}
+    reason, everything = F.col("reject_reason"), F.count(F.lit(1))
+    refused = {f"r{i}": name for i, name in enumerate(spec.refusals)}
+    seen, path = Observation(), scratch_path(spark, "keyed")
+    watched = keyed.observe(
+        seen, everything.alias("n"), *[F.count_if(reason == name).alias(c) for c, name in refused.items()]
+    )
+    names = list(dict.fromkeys([*spec.key, *spec.sources, *order]))
+    table.placed(watched.filter(reason.isNull()).select(*names)).write.parquet(path)
+    stored = spark.read.parquet(path)
+
+    found, overflows = Observation(), {f"o{i}": name for i, (_, name) in enumerate(spec.overflows)}
+    rows = new_rows(stored, spec, table, as_of, order).observe(
+        found, everything.alias("n"), F.count_if(reason == "conflict").alias("conflict"),
+        *[F.count_if(reason == name).alias(c) for c, name in overflows.items()],
+    )
+    loaded = table.append(rows.filter(reason.isNull()))
+    remove_folder(spark, path)
+    first, second = seen.get, found.get
+    usable = first["n"] - sum(first[c] for c in refused)
+    split = {"loaded": loaded, "duplicate": usable - second["n"], "conflict": second["conflict"]}
+    others = {**{name: first[c] for c, name in refused.items()}, **{name: second[c] for c, name in overflows.items()}}
+    split.update({name: n for name, n in others.items() if n})
+    return {"rows_input": first["n"], "rows_loaded": loaded, "rows_rejected": first["n"] - loaded, "outcomes": split}

@@ -143,6 +143,11 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
+
 def latest_snapshot(rows: DataFrame, prefix: str = "prefix", path: str = "path") -> DataFrame:
     """Rows of the last snapshot path of each prefix."""
     newest = checkpointed(rows.groupBy(prefix).agg(F.max(path).alias("newest")))

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyloom.operators.flatten import FEEDS, explode_columnar
+from skyloom.operators.partitions import MonthTable
 from skyloom.plans.facts import FACTS, load_fact
-from skyloom.session import scratch_path
-from skyloom.sources.lake import remove_folder
 from skyloom.streaming.windows import first_arrivals
 
 
@@ -31,7 +30,7 @@ def document_stream(
 
 
 def load_new_documents(
-    docs: DataFrame, feed: str, dim: DataFrame, table_path: str, checkpoint: str, as_of: Column,
+    docs: DataFrame, feed: str, dim: DataFrame, table: MonthTable, checkpoint: str, as_of: Column,
     delay: str | None = None, on_loaded: Callable[[int, dict], None] | None = None,
 ) -> StreamingQuery:
     """Load everything that arrived since the last call, then stop.
@@ -49,10 +48,7 @@ def load_new_documents(
         rows = first_arrivals(rows, [spec.entity_from, spec.moment_from, spec.run_date], spec.moment_from, delay)
 
     def load(batch: DataFrame, number: int) -> None:
-        spark, path = batch.sparkSession, scratch_path(batch.sparkSession, "batch")
-        batch.write.parquet(path)  # parsed once, read for each pass of the load
-        counts = load_fact(spark.read.parquet(path), spec, dim, table_path, as_of, ["_src", "_pos"])
-        remove_folder(spark, path)
+        counts = load_fact(batch, spec, dim, table, as_of, ["_src", "_pos"])
         if on_loaded:
             on_loaded(number, counts)
 

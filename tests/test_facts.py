@@ -7,7 +7,6 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from skyloom.operators import backfill, lineage
-from skyloom.operators.partitions import read_months
 from skyloom.plans import daily, facts
 from skyloom.plans.facts import FACTS
 from skyloom.quality.errors import QualityError
@@ -228,7 +227,7 @@ def test_strict_gate_stops_the_load(spark, tmp_path):
     daily.transform(spark, layout, "air_quality", "2026-01-29", run_at)
     with pytest.raises(QualityError):
         daily.load(spark, layout, "air_quality", "2026-01-29", run_at, strict=True)
-    assert read_months(spark, layout.fact("air_quality"), facts.fact_schema(FACTS["air_quality"])).count() == 0
+    assert layout.fact_table("air_quality").open(spark).count() == 0
     assert daily.load(spark, layout, "air_quality", "2026-01-29", run_at)["rows_loaded"] == 1
 
 
@@ -260,7 +259,8 @@ def test_incremental_load_replays_nothing(spark, tmp_path):
 
     def run(checkpoint):
         docs = incremental.document_stream(spark, source)
-        incremental.load_new_documents(docs, "air_quality", cities(spark), table, checkpoint, as_of()).awaitTermination()
+        store = facts.fact_table(FACTS["air_quality"], table, 4)
+        incremental.load_new_documents(docs, "air_quality", cities(spark), store, checkpoint, as_of()).awaitTermination()
         return spark.read.parquet(table).count()
 
     assert run(mark) == 6

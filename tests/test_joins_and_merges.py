@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skyloom.operators import dedupe, lookup, merge, partitions, rules
 from skyloom.plans import dims
+from skyloom.session import checkpointed
 
 def as_of():
     return F.lit("2026-01-29 06:00:00").cast("timestamp_ntz")
@@ -119,26 +120,66 @@ def test_upsert_into_empty(spark):
     assert (row.city_id, row.city_code, str(row.latitude)) == (1, "08019", "41.380000")
 
 
+def months(path):
+    return partitions.MonthTable(str(path), "k int, d int", "d", ("k",), 4)
+
+
 def test_month_partitions_on_disk(spark, tmp_path):
-    path = str(tmp_path / "fact")
+    store = months(tmp_path / "fact")
+    assert store.open(spark).count() == 0
     df = spark.createDataFrame([(1, 20231231), (2, 20240101), (3, 20271231), (4, 20280115), (5, 20280201)], "k int, d int")
-    partitions.write_months(df, path, "d")
-    table = partitions.read_months(spark, path)
-    assert {r.p_month for r in table.collect()} == {"default", "202401", "202712"}
-    ranged = partitions.date_range(table, "d", 20240101, 20240131)
+    assert store.append(store.placed(df)) == 5
+    assert {r.p_month for r in store.open(spark).collect()} == {"default", "202401", "202712"}
+    ranged = store.between(spark, 20240101, 20240131)
     assert [r.k for r in ranged.collect()] == [2]
     scan = next(line for line in plan(ranged).splitlines() if "FileScan" in line)
     assert "p_month" in scan.split("PartitionFilters: [")[1].split("]")[0]
     for _ in range(2):  # repeating it changes nothing
-        assert partitions.add_month(spark, path, "fact", "d", ["k"], 2028, 1) == "fact_p202801"
-        moved = {r.k: r.p_month for r in partitions.read_months(spark, path).collect()}
+        assert store.add_month(spark, "fact", 2028, 1) == "fact_p202801"
+        moved = {r.k: r.p_month for r in store.open(spark).collect()}
         assert moved == {1: "default", 2: "202401", 3: "202712", 4: "202801", 5: "default"}
     # rows whose month was declared later are found in either folder
-    assert [r.k for r in partitions.date_range(partitions.read_months(spark, path), "d", 20280101, 20280131).collect()] == [4]
-
-
-def test_missing_fact_table(spark, tmp_path):
-    assert partitions.read_months(spark, str(tmp_path / "none")) is None
+    assert [r.k for r in store.between(spark, 20280101, 20280131).collect()] == [4]
+    for month in (2, 12):
+        store.add_month(spark, "fact", 2028 if month == 2 else 2023, month)
+    assert {r.k: r.p_month for r in store.open(spark).collect()}[1] == "202312"
+
+
+def test_a_new_session_finds_the_table(spark, tmp_path):
+    store = months(tmp_path / "fact")
+    store.append(store.placed(spark.createDataFrame([(1, 20240101)], "k int, d int")))
+    spark.sql(f"DROP TABLE {store.name}")  # the catalog of another session does not know it
+    assert [tuple(r) for r in store.open(spark).collect()] == [(1, 20240101, "202401")]
+
+
+def test_batch_meets_the_buckets_where_they_are(spark, tmp_path):
+    store = months(tmp_path / "fact")
+    rows_ = [(i, 20240101 + 100 * (i % 12)) for i in range(200)]
+    store.append(store.dealt(store.placed(spark.createDataFrame(rows_, "k int, d int"))))
+    batch = store.placed(spark.createDataFrame([(i, 20240101 + 100 * (i % 12)) for i in range(0, 400, 6) if i % 12 in (0, 6)], "k int, d int"))
+    batch = checkpointed(batch)
+    merge_joins = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "3"}
+    before = {k: spark.conf.get(k) for k in merge_joins}
+    for k, v in merge_joins.items():
+        spark.conf.set(k, v)
+    try:
+        known = store.touched(batch).select("k").withColumn("known", F.lit(True))
+        met = store.dealt(dedupe.keep_first(batch, ["k"], ["d"])).join(known, "k", "left")
+        assert sorted(r.k for r in met.collect() if not r.known) == [i for i in range(0, 400, 6) if i >= 200]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    lines = met._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines()
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and "months_" in line)
+    join = max(i for i, line in enumerate(lines[:at]) if "SortMergeJoin" in line)
+    side = max(i for i, line in enumerate(lines[:at]) if line.lstrip(" :").startswith("+- *") and i > join and "Sort [" in line)
+    assert not any("Exchange" in line or "QueryStage" in line for line in lines[side:at])
+    assert any("REPARTITION_BY_NUM" in line for line in lines[join:side])  # the batch moves, the table does not
+    assert "Bucketed: true" in lines[at]
+    pruned = lines[at].split("PartitionFilters: [")[1].split("]")[0]
+    assert all(m in pruned for m in ("202401", "202407", "default")) and "202402" not in pruned
+    # of twelve folders two are listed for the scan
+    assert "InMemoryFileIndex(2 paths)" in lines[at]
 
 
 def test_drop_all_null_counts_nan(spark):
@@ -162,10 +203,10 @@ def test_upsert_of_a_repeated_key_without_an_order(spark):
 
 
 def test_added_months_are_used_by_later_writes(spark, tmp_path):
-    path = str(tmp_path / "facts")
-    partitions.write_months(spark.createDataFrame([(1, 20280105)], "k int, d int"), path, "d")
-    partitions.add_month(spark, path, "facts", "d", ["k"], 2028, 1)
+    store = months(tmp_path / "facts")
+    store.append(store.placed(spark.createDataFrame([(1, 20280105)], "k int, d int")))
+    store.add_month(spark, "facts", 2028, 1)
     later = spark.createDataFrame([(2, 20280106), (3, 20290101)], "k int, d int")
-    partitions.write_months(later, path, "d", added=partitions.added_months(spark, path))
-    found = {r.k: str(r.p_month) for r in partitions.read_months(spark, path).collect()}
+    store.append(store.placed(later))
+    found = {r.k: str(r.p_month) for r in store.open(spark).collect()}
     assert found == {1: "202801", 2: "202801", 3: "default"}
