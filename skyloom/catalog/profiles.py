@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from skyloom.catalog.registry import query, rounded, table
 from skyloom.catalog.shapes import view, with_views
-from skyloom.operators import diagnostics
+from skyloom.operators import diagnostics, schemas
+from skyloom.session import scratch_path
+from skyloom.sources import sinks
 
 _OBS = {"event_id": "bigint", "city": "string", "dt": "double", "temperature": "double", "wind_gust": "double",
         "rain_1h": "double", "rain_3h": "double", "snow_1h": "double", "weather_main": "string"}
@@ -79,3 +81,57 @@ def schema_diff(spark, sf_dir):
     """Conversations with the turn number under the name of a text column."""
     talks = table(spark, sf_dir, "conversations").withColumnRenamed("turn", "source")
     return diagnostics.schema_diff(table(spark, sf_dir, "documents"), talks)
+
+
+_DAY = "cast(cast(ts as date) as varchar)"
+
+
+@query(
+    "schema_drift",
+    f"""WITH d AS (SELECT DISTINCT {_DAY} AS day, cast(day(ts) as int) AS n FROM events),
+m AS (SELECT d.day, d.n, k.path, CASE WHEN k.path = '$.value' AND n > 15 THEN 'string' ELSE k.kind END AS kind FROM d,
+  (VALUES ('$', 'object'), ('$.id', 'number'), ('$.value', 'number'), ('$.props', 'object'), ('$.props.k', 'number'),
+    ('$.tags', 'list'), ('$.tags[*]', 'string'), ('$.alert', 'boolean')) k(path, kind)
+  WHERE k.path <> '$.alert' OR n % 3 = 0),
+o AS (SELECT day, row_number() OVER (ORDER BY day) AS i FROM d),
+p AS (SELECT a.day AS before, b.day AS day FROM o a JOIN o b ON b.i = a.i + 1)
+SELECT p.day, k.path, CASE WHEN x.path IS NULL THEN 'added' WHEN y.path IS NULL THEN 'removed' ELSE 'retyped' END AS change,
+  x.kind AS kind_before, CASE WHEN y.path IS NULL THEN NULL ELSE y.kind END AS kind
+FROM p JOIN (SELECT DISTINCT path FROM m) k ON true LEFT JOIN m x ON x.day = p.before AND x.path = k.path
+LEFT JOIN m y ON y.day = p.day AND y.path = k.path
+WHERE (x.path IS NULL) <> (y.path IS NULL) OR x.kind <> y.kind""",
+)
+def schema_drift(spark, sf_dir):
+    """Documents of a month: a member that comes every third day, and one that becomes text in its middle."""
+    shapes = schemas.day_schemas(_drifting(spark, sf_dir), F.to_date("ts"))
+    return schemas.schema_changes(schemas.schema_members(spark, shapes))
+
+
+def _drifting(spark, sf_dir):
+    day = F.dayofmonth("ts")
+    value = F.round("value", 2).cast("string")
+    text = F.concat(
+        F.lit('{"id":'), F.col("event_id"), F.lit(',"props":'), F.col("props"),
+        F.lit(',"value":'), F.when(day > 15, F.concat(F.lit('"'), value, F.lit('"'))).otherwise(value),
+        F.when(day % 3 == 0, F.lit(',"alert":true')).otherwise(F.lit("")), F.lit(',"tags":["t"]}'),
+    )
+    return table(spark, sf_dir, "events").select("ts", text.alias("text"))
+
+
+@query(
+    "schema_merged",
+    f"""WITH d AS (SELECT DISTINCT {_DAY} AS day, cast(day(ts) as int) AS n FROM events)
+SELECT path, kind, min(day) AS first_day, max(day) AS last_day, count(*) AS n_days FROM d,
+  (VALUES ('$', 'object'), ('$.id', 'number'), ('$.value', 'mixed'), ('$.props', 'object'), ('$.props.k', 'number'),
+    ('$.tags', 'list'), ('$.tags[*]', 'string'), ('$.alert', 'boolean')) k(path, kind)
+WHERE path <> '$.alert' OR n % 3 = 0 GROUP BY path, kind""",
+)
+def schema_merged(spark, sf_dir):
+    """The schema of the whole month, from the schemas kept per day."""
+    path = scratch_path(spark, "schemas")
+    docs = _drifting(spark, sf_dir)
+    for half in (0, 1):
+        part = docs.filter((F.dayofmonth("ts") > 15) == F.lit(bool(half)))
+        sinks.append_once(schemas.day_schemas(part, F.to_date("ts")), path, f"half-{half}")
+    kept = spark.read.schema("day string, shape string").option("recursiveFileLookup", "true").parquet(path)
+    return schemas.merged_schema(schemas.schema_members(spark, kept))

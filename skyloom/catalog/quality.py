@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from skyloom import fixed_values as fixed
 from skyloom.catalog.registry import AS_OF, as_of, query, rounded, table
 from skyloom.catalog.shapes import view, with_views
-from skyloom.quality import checks, metrics
+from skyloom.quality import checks, metrics, moments
 from skyloom.quality.checks import SUITES
+from skyloom.session import scratch_path
 
 _VIEW_OF = {
     "observation": "v_obs", "daily_forecast": "v_daily", "hourly_forecast": "v_hourly",
@@ -188,20 +189,20 @@ def completeness_scores(spark, sf_dir):
 
 @query(
     "freshness_score",
-    f"""SELECT event_type, round(greatest(0.0e0, least(1.0e0, 1.0e0 - (epoch(TIMESTAMP '{AS_OF}') - epoch(max(
-  date_trunc('hour', ts)))) / 3600.0e0 / 24.0e0)), 6) AS freshness FROM events WHERE event_type IN ('click', 'view') GROUP BY event_type
-UNION ALL SELECT 'error', 0.0e0""",
+    f"""SELECT 'time' AS "column", round(greatest(0.0e0, least(1.0e0, 1.0e0 - (epoch(TIMESTAMP '{AS_OF}') - epoch(max(
+  date_trunc('hour', ts)))) / 3600.0e0 / 24.0e0)), 6) AS freshness FROM events
+UNION ALL SELECT 'words', CASE WHEN count(props) >= 0 THEN 0.0e0 END FROM events
+UNION ALL SELECT 'missing', 0.0e0""",
 )
 def freshness_score(spark, sf_dir):
-    """Of two kinds of events, and of a column that holds no moments."""
-    events = table(spark, sf_dir, "events")
+    """Of all events, by a column of moments, one that holds none, and one that does not exist."""
     hour = F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm")
-    marked = events.select("event_type", hour.alias("time"), F.col("props").alias("words"))
+    marked = table(spark, sf_dir, "events").select(hour.alias("time"), F.col("props").alias("words"))
     parts = [
-        metrics.freshness_score(marked.filter(F.col("event_type") == kind), column, as_of()).select(
-            F.lit(kind).alias("event_type"), F.round("freshness", 6).alias("freshness")
+        metrics.freshness_score(marked, column, as_of()).select(
+            F.lit(column).alias("column"), F.round("freshness", 6).alias("freshness")
         )
-        for kind, column in (("click", "time"), ("view", "time"), ("error", "words"))
+        for column in ("time", "words", "missing")
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -335,3 +336,25 @@ FROM v_metric JOIN s USING (target_table) WHERE std > 0 AND abs(value - mean) /
 def metric_anomalies(spark, sf_dir):
     found = metrics.metric_anomalies(view(spark, sf_dir, "v_metric"), threshold=1.5)
     return rounded(found, "value", "z_score")
+
+
+@query(
+    "metric_anomalies_merged",
+    with_views(
+        "v_metric",
+        """, s AS (SELECT target_table, avg(value) AS mean, stddev_pop(value) AS std FROM v_metric
+  GROUP BY target_table HAVING count(*) >= 5)
+SELECT target_table, metric_name, measured_on, round(value, 6) AS value, round(abs(value - mean) / std, 6) AS z_score
+FROM v_metric JOIN s USING (target_table)
+WHERE std > 0 AND abs(value - mean) / std > 1.5 AND cast(substr(measured_on, 9, 2) as int) % 4 = 3""",
+    ),
+)
+def metric_anomalies_merged(spark, sf_dir):
+    """Four runs add their rows to the moments, the last twice; its anomalies are found from its rows and the moments."""
+    path = scratch_path(spark, "moments")
+    rows = view(spark, sf_dir, "v_metric").withColumn("measured_at", F.col("measured_on").cast("timestamp_ntz"))
+    for run in (0, 1, 2, 3, 3):
+        part = rows.filter(F.dayofmonth("measured_at") % 4 == run)
+        moments.add_moments(part, path, f"run-{run}")
+    found = moments.anomalies_of(part, moments.read_moments(spark, path), threshold=1.5)
+    return rounded(found.select("target_table", "metric_name", "measured_on", "value", "z_score"), "value", "z_score")

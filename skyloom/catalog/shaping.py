@@ -10,6 +10,7 @@ from skyloom.catalog.scalars import dms_sql
 from skyloom.catalog.shapes import feed_rows_sql, view, with_views
 from skyloom.operators import flatten
 from skyloom.operators.flatten import FEEDS
+from skyloom.session import scratch_path
 
 
 def _exploded(spark, sf_dir, feed, section=None):
@@ -44,6 +45,32 @@ for _name, _feed in (
     _register(_name, _feed)
 
 
+def _stored_variant(spark, docs):
+    """Documents written as VARIANT and read back."""
+    path = scratch_path(spark, "variant")
+    flatten.as_variant(docs).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "flatten_observation_variant",
+    with_views(
+        "v_obs",
+        """SELECT * EXCLUDE (event_id), 'current/' || date || '/weather_' || event_id || '.json' AS bronze_source
+FROM v_obs""",
+    ),
+)
+def flatten_observation_variant(spark, sf_dir):
+    """From documents stored as VARIANT: parsed once, absent and null members told apart without the text."""
+    return flatten.flatten_observations(_stored_variant(spark, shapes.observation_documents(spark, sf_dir)))
+
+
+@query("explode_hourly_variant", feed_rows_sql("hourly"))
+def explode_hourly_variant(spark, sf_dir):
+    docs = _stored_variant(spark, shapes.feed_documents(spark, sf_dir, "hourly"))
+    return flatten.explode_columnar(docs, FEEDS["hourly"]).drop("_src", "_pos")
+
+
 @query(
     "explode_columnar",
     with_views(

@@ -48,10 +48,10 @@ def bronze_json_multiline(spark, sf_dir):
         "v_pollen",
         """SELECT kind, date, count(*) AS n_rows, cast(sum(event_id) as bigint) AS ids, count(birch_pollen) AS n_birch FROM (
   SELECT 'json' AS kind, extraction_date AS date, event_id, birch_pollen FROM v_pollen
-  UNION ALL SELECT 'table', extraction_date, event_id, birch_pollen FROM v_pollen WHERE event_type <> 'error'
+  UNION ALL SELECT 'table', extraction_date, event_id, birch_pollen FROM v_pollen
   UNION ALL SELECT 'dates', extraction_date, event_id, birch_pollen FROM v_pollen
-    WHERE event_type = CASE WHEN extraction_date >= '2024-01-15' THEN 'view' ELSE 'click' END
-  UNION ALL SELECT 'snapshots', extraction_date, event_id, birch_pollen FROM v_pollen WHERE event_type IN ('click', 'view')
+    WHERE extraction_date < '2024-01-15' OR event_type <> 'error'
+  UNION ALL SELECT 'snapshots', extraction_date, event_id, birch_pollen FROM v_pollen
 ) GROUP BY kind, date""",
     ),
 )
@@ -62,18 +62,15 @@ def sinks_round_trip(spark, sf_dir):
         F.col("extraction_date").alias("date"), "event_id", "birch_pollen", "event_type"
     )
 
-    def of(kind):
-        return rows.filter(F.col("event_type") == kind)
-
+    errors = F.col("event_type") == "error"
     sinks.write_json(rows.select(F.to_json(F.struct("*")).alias("text")), f"{root}/json")
-    sinks.write_table(rows.filter("event_type = 'error'"), f"{root}/table")
-    sinks.write_table(rows.filter("event_type != 'error'"), f"{root}/table")
-    # early dates hold clicks alone, late dates clicks that views replace
-    late = F.col("date") >= "2024-01-15"
-    sinks.overwrite_dates(of("click"), f"{root}/dates")
-    sinks.overwrite_dates(of("view").filter(late), f"{root}/dates")
-    for kind in ("click", "view"):
-        sinks.append_snapshot(of(kind), root, f"snapshots/{kind}")
+    sinks.write_table(rows.filter(errors), f"{root}/table")
+    sinks.write_table(rows, f"{root}/table")
+    # all dates, of which the late ones are replaced by rows without errors
+    sinks.overwrite_dates(rows, f"{root}/dates")
+    sinks.overwrite_dates(rows.filter(~errors & (F.col("date") >= "2024-01-15")), f"{root}/dates")
+    sinks.append_snapshot(rows.filter(errors), root, "snapshots/errors")
+    sinks.append_snapshot(rows.filter(~errors), root, "snapshots/others")
     back = {
         "json": lake.read_json(spark, f"{root}/json", "date string, event_id long, birch_pollen double", multi_line=False),
         "table": lake.read_table(spark, f"{root}/table"),
@@ -217,8 +214,8 @@ _STATION = "'S' || lpad(cast(o_custkey % 103 as string), 5, '0')"
     f"""WITH f AS (SELECT {_STATION} AS station_id, o_orderpriority AS station_name,
     cast(cast(o_orderdate as date) as varchar) AS src, o_orderkey AS pos FROM orders),
 l AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY src DESC, pos DESC) = 1),
-t AS (SELECT s_suppkey + 1 AS id, 'S' || lpad(cast(s_suppkey as string), 5, '0') AS station_id, s_name AS name FROM supplier
-  WHERE s_suppkey % 2 = 0),
+t AS (SELECT s_suppkey + 1 AS id, CASE WHEN s_suppkey % 2 = 0 THEN 'S' ELSE 'X' END || lpad(cast(s_suppkey as string), 5, '0') AS station_id,
+  s_name AS name FROM supplier),
 b AS (SELECT coalesce(max(id), 0) AS top FROM t)
 SELECT cast(t.id as int) AS id, t.station_id, coalesce(l.station_name, t.name) AS station_name FROM t LEFT JOIN l USING (station_id)
 UNION ALL SELECT cast(top + row_number() OVER (ORDER BY l.station_id) as int), l.station_id, l.station_name
@@ -226,10 +223,11 @@ FROM l, b WHERE l.station_id NOT IN (SELECT station_id FROM t)""",
 )
 def upsert_repeated_keys(spark, sf_dir):
     """An inventory that names its stations many times, merged twice as the daily run does."""
-    suppliers = table(spark, sf_dir, "supplier").filter("s_suppkey % 2 = 0")
-    dim = suppliers.select(
+    dim = table(spark, sf_dir, "supplier").select(
         (F.col("s_suppkey") + 1).cast("int").alias("id"),
-        F.concat(F.lit("S"), F.lpad(F.col("s_suppkey").cast("string"), 5, "0")).alias("station_id"),
+        F.concat(  # the inventory knows every second supplier under another key
+            F.when(F.col("s_suppkey") % 2 == 0, "S").otherwise("X"), F.lpad(F.col("s_suppkey").cast("string"), 5, "0")
+        ).alias("station_id"),
         F.col("s_name").alias("station_name"),
     )
     for name in ("province", "altitude", "latitude", "longitude", "synop_code", "created_at", "updated_at"):

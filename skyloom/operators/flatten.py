@@ -1,7 +1,8 @@
 """Flattening raw JSON documents into typed rows.
 
-Every function takes documents as ``path, text`` and never fails on one of
-them: a document that cannot be used carries a ``reject_reason`` instead.
+Every function takes documents as ``path, text``, or as ``path, body`` with the
+body as VARIANT, and never fails on one of them: a document that cannot be used
+carries a ``reject_reason`` instead.
 """
 
 from __future__ import annotations
@@ -32,13 +33,23 @@ def evaluated_once(df: DataFrame, **values: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[v.alias(n) for n, v in values.items()]))))
 
 
+def as_variant(docs: DataFrame) -> DataFrame:
+    """Documents for storage: ``path`` and ``body``, the text as VARIANT; null where it is no JSON."""
+    return docs.select("path", F.try_parse_json("text").alias("body"))
+
+
 def _parse(docs: DataFrame, schema: str) -> DataFrame:
     """Documents with their parsed body as ``doc``.
 
     A missing member and a null one look the same in ``doc``, but only the
     missing one takes a default.  So the few documents whose text has a null
-    member at all are kept as a variant too, in ``nulls``.
+    member at all are kept as a variant too, in ``nulls``.  Documents stored as
+    VARIANT (``body``) are parsed already and tell the two apart themselves; in
+    them a member of another type than the schema's counts as null.
     """
+    if "body" in docs.columns:
+        shape = f"struct<{schema}, _corrupt_record string>"
+        return evaluated_once(docs, doc=F.try_variant_get("body", "$", shape), nulls=F.col("body"))
     has_null = F.col("text").contains("null") & F.col("text").rlike(r":\s*null")
     return evaluated_once(
         docs,
@@ -47,6 +58,13 @@ def _parse(docs: DataFrame, schema: str) -> DataFrame:
     )
 
 
+def _object_text(docs: DataFrame, path: str) -> Column:
+    """The JSON text of a member."""
+    if "body" in docs.columns:
+        return F.to_json(F.try_variant_get("body", path, "variant"))
+    return F.get_json_object("text", path)
+
+
 def _null_member(path: str) -> Column:
     """Whether the document holds an explicit JSON null at ``path``."""
     member = F.try_variant_get("nulls", path, "variant")
@@ -207,7 +225,7 @@ def parse_columnar(docs: DataFrame, spec: DocSpec) -> DataFrame:
     part = F.col(f"doc.{spec.section}")
     if spec.section == "hourly":
         known = F.coalesce(*[F.size(part[name]) for name in spec.fields])
-        members = F.json_object_keys(F.get_json_object("text", "$.hourly"))
+        members = F.json_object_keys(_object_text(docs, "$.hourly"))
         is_empty = known.isNull() & (F.coalesce(F.size(members), F.lit(0)) == 0)
         part = F.when(is_empty, F.col("doc.daily")).otherwise(part)
     chosen = evaluated_once(parsed, part=part)
