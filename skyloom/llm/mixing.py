@@ -11,17 +11,23 @@ together by Newton steps.  Each step is one aggregation over distinct
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import text_of, written
-from skyloom.session import checkpointed
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Parts in which copies of one cell are chosen, so that no task holds all documents of one size.
-PARTS = 256
+#: Documents of one part, in which copies of one cell are chosen, so that no task holds all documents of one size;
+#: sources and cells that one task takes.
+PART, SOURCES, CELLS = 1 << 12, 1 << 16, 1 << 18
+
+#: Single copies that may change in a source after rounding.
+CHANGES = 64
+
+
+class NotConverged(RuntimeError):
+    """The multipliers of some sources did not meet their target."""
 
 
 def size_of(text_col: str) -> Column:
@@ -63,27 +69,31 @@ def targets(cells: DataFrame, weights: tuple[int, ...], share: float, cap: float
 
 
 def tilt(cells: DataFrame, goals: DataFrame, cap: float, tolerance: float = 1e-6, steps: int = 60) -> DataFrame:
-    """``goals`` with the multiplier ``tilt`` of each source.
+    """The sources of ``goals`` that have words, with their multiplier ``tilt``.
 
     A document of size s has the rate min(cap, exp(tilt * s / mean size)).  A
     Newton step that leaves the bracket of its root, or goes far, becomes a
     bounded step towards the middle of the bracket.  A source whose target is
-    its bound has all its documents at the cap.
+    its bound has all its documents at the cap.  One step is one grouping of the
+    cells, which also carries what is known of their source; the number of
+    sources that are not done comes with it.  ``NotConverged`` is raised when
+    some are left after ``steps``.
     """
     log_cap = float(np.log(cap))
     full = F.col("target") >= F.col("words") * F.lit(float(cap) * (1 - 1e-9))
-    state = checkpointed(
-        goals.withColumns(
-            {"tilt": F.when(full, F.lit(1e9)).otherwise(F.lit(0.0)), "low": F.lit(-1e9), "high": F.lit(1e9)}
-        )
+    start = goals.where("words > 0").withColumns(
+        {"tilt": F.when(full, F.lit(1e9)).otherwise(F.lit(0.0)), "low": F.lit(-1e9), "high": F.lit(1e9)}
     )
+    state, sources = _stored(start.withColumn("done", F.lit(False)), 1)
+    tasks = 1 + sources // SOURCES
     live = cells.where("size > 0")
+    known = ["key", "words", "docs", "target", "tilt", "low", "high"]
     for _ in range(steps):
         z = F.col("size") * F.col("docs") / F.col("words")
         power = F.col("tilt") * z
         capped = power >= log_cap
         mass = F.col("size") * F.col("n") * F.when(capped, F.lit(float(cap))).otherwise(F.exp(power))
-        sums = live.join(state, "key").groupBy("key").agg(
+        sums = live.join(state.select(*known), "key").groupBy(*known).agg(
             F.sum(mass).alias("mass"), F.sum(F.when(capped, F.lit(0.0)).otherwise(mass * z)).alias("slope")
         )
         gap = F.col("mass") - F.col("target")
@@ -92,52 +102,75 @@ def tilt(cells: DataFrame, goals: DataFrame, cap: float, tolerance: float = 1e-6
         newton = F.col("tilt") - gap / F.nullif(F.col("slope"), F.lit(0.0))
         middle = F.greatest(F.col("tilt") - 4, F.least(F.col("tilt") + 4, (low + high) / 2))
         good = (newton > low) & (newton < high) & (F.abs(newton - F.col("tilt")) <= 4)
-        done = F.coalesce(F.abs(gap) <= F.col("target") * tolerance, F.lit(True))
-        state = checkpointed(
-            state.join(sums, "key", "left").select(
-                "key", "words", "docs", "target", low.alias("low"), high.alias("high"), done.alias("done"),
-                F.when(done, F.col("tilt")).when(good, newton).otherwise(middle).alias("tilt"),
-            )
+        done = F.abs(gap) <= F.col("target") * tolerance
+        moved = sums.select(
+            "key", "words", "docs", "target", low.alias("low"), high.alias("high"), done.alias("done"),
+            F.when(done, F.col("tilt")).when(good, newton).otherwise(middle).alias("tilt"),
         )
-        if not state.where(~F.col("done")).take(1):
-            break
-    return state
+        state, left = _stored(moved, tasks)
+        if not left:
+            return state
+    raise NotConverged(f"{left} of {sources} sources are not within {tolerance} of their target after {steps} steps")
 
 
-def _copies_of_cells(cap: int):
-    """Whole copies per cell of one source: its expected copies, rounded down or up.
+def _stored(state: DataFrame, tasks: int) -> tuple[DataFrame, int]:
+    """The state in few files, and how many sources are not done."""
+    watch = Observation()
+    kept = written(state.coalesce(tasks).observe(watch, F.count_if(~F.col("done")).alias("left")), "state")
+    return kept, watch.get["left"]
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` as a stored table, and its rows."""
+    kept = written(df, "cells")
+    return kept, kept.count()
 
-    The fractions are carried from cell to cell in the order of size, so any stretch
-    of sizes gets its expected copies within one, and the words of all are off by
-    less than a few of the largest documents.  Single copies then go or come where
-    rounding left room, the size nearest to the missing words first, while that
-    brings the words nearer to the target; what remains is at most half a document.
-    """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("size", ignore_index=True)
-        size, n = rows["size"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
-        z = size * (rows["docs"].to_numpy(float) / np.maximum(rows["words"].to_numpy(float), 1))
-        power = np.minimum(rows["tilt"].to_numpy(float) * z, np.log(cap))
-        due = n * np.minimum(np.exp(power), cap)
-        low, high = np.floor(due + 1e-9).astype(np.int64), np.ceil(due - 1e-9).astype(np.int64)
-        running = np.floor(np.cumsum(due) + 0.5).astype(np.int64)
-        copies = np.clip(np.diff(running, prepend=0), low, high)
-        left = float(rows["target"].iloc[0]) - float((copies * size).sum())
-        while True:
-            room = np.flatnonzero((size > 0) & ((copies < high) if left > 0 else (copies > low)))
-            if not len(room):
-                break
-            i = room[np.argmin(np.abs(abs(left) - size[room]))]
-            if 2 * abs(left) <= size[i]:
-                break
-            step = 1 if left > 0 else -1
-            copies[i] += step
-            left -= step * float(size[i])
-        rows["copies"] = copies
-        return rows[["key", "size", "n", "copies"]]
-
-    return run
+def _round(cells: DataFrame, state: DataFrame, cap: int) -> DataFrame:
+    """Whole copies per cell: its expected copies, rounded down or up.
+
+    The fractions are carried from cell to cell of a source in the order of size,
+    so any stretch of sizes gets its expected copies within one, and the words of
+    all are off by little more than the largest document.  Then single copies go
+    or come where rounding left room, the size nearest to the missing words first,
+    while that brings the words nearer to the target; what remains is at most half
+    a document.  A source has at most as many open cells as there are sizes.
+    """
+    z = F.col("size") * F.col("docs") / F.col("words")
+    rate = F.least(F.exp(F.least(F.col("tilt") * z, F.lit(float(np.log(cap))))), F.lit(float(cap)))
+    due = F.col("n") * rate
+    running = F.floor(F.sum(due).over(Window.partitionBy("key").orderBy("size")) + 0.5)
+    before = F.coalesce(F.lag("running").over(Window.partitionBy("key").orderBy("size")), F.lit(0))
+    first = (
+        cells.join(state.select("key", "words", "docs", "target", "tilt"), "key")
+        .withColumns({"low": F.floor(due + 1e-9), "high": F.ceil(due - 1e-9), "running": running})
+        .withColumn("copies", F.greatest("low", F.least("high", F.col("running") - before)))
+        .select("key", "size", "n", "target", "low", "high", "copies")
+    )
+    first = written(first, "rounded")
+    change = F.when(F.col("copies") < F.col("high"), F.lit(1)).when(F.col("copies") > F.col("low"), F.lit(-1))
+    open_cells = F.when((F.col("size") > 0) & change.isNotNull(), F.struct("size", change.cast("long").alias("change")))
+    sources = first.groupBy("key").agg(
+        (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("left"),
+        F.sort_array(F.collect_list(open_cells), asc=False).alias("cells"),
+    )
+    none = F.array().cast("array<struct<size:bigint,change:bigint>>")
+
+    def nearer(at: Column, _: Column) -> Column:
+        left = at["left"]
+        free = F.filter("cells", lambda c: (c["change"] * left > 0) & ~F.array_contains(at["taken"], c))
+        best = F.array_min(F.transform(free, lambda c: F.struct(F.abs(F.abs(left) - c["size"]).alias("off"), c.alias("cell"))))["cell"]
+        moved = F.struct((left - best["size"] * best["change"]).alias("left"), F.concat(at["taken"], F.array(best)).alias("taken"))
+        return F.when(best["size"] < 2 * F.abs(left), moved).otherwise(at)
+
+    # the words are off by about one document, so a few single copies are enough
+    taken = F.reduce(
+        F.sequence(F.lit(1), F.lit(CHANGES)), F.struct(F.col("left"), none.alias("taken")), nearer, lambda at: at["taken"]
+    )
+    changes = sources.select("key", F.inline(taken))
+    return first.join(changes, ["key", "size"], "left").select(
+        "key", "size", "n", (F.col("copies") + F.coalesce("change", F.lit(0))).cast("long").alias("copies")
+    )
 
 
 def mix(
@@ -160,20 +193,22 @@ def mix(
     repeated rows are documents of their own; an empty table gives no rows.
     Other columns are only carried along.
     """
-    rows = docs.select(
-        *([F.struct("*").alias("row")] if whole_rows else []),
-        F.col(f"`{id_col}`").alias("doc_id"), size_of(text_col).alias("size"), _key(source_col).alias("key"),
+    rows = written(
+        docs.select(
+            *([F.struct("*").alias("row")] if whole_rows else []),
+            F.col(f"`{id_col}`").alias("doc_id"), size_of(text_col).alias("size"), _key(source_col).alias("key"),
+        ),
+        "sizes",
     )
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int")
-    rows = rows.withColumn("part", part)
+    parts = 1 + rows.count() // PART
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
     small = written(rows.groupBy("key", "size", "part").agg(F.count("*").alias("m")), "parts")
-    cells = written(small.groupBy("key", "size").agg(F.sum("m").alias("n")), "cells")
-    goals = targets(cells, weights, share, cap)
-    state = tilt(cells, goals, cap).select("key", "words", "docs", "target", "tilt")
-    placed = (
-        cells.join(state, "key").groupBy("key")
-        .applyInPandas(_copies_of_cells(cap), "key string, size long, n long, copies long")
-    )
+    cells, n_cells = _counted(small.groupBy("key", "size").agg(F.sum("m").alias("n")))
+    goals, _ = _counted(targets(cells, weights, share, cap))
+    cells = cells.coalesce(1 + n_cells // CELLS)
+    state = tilt(cells, goals, cap)
+    blank = cells.join(goals.where("words = 0"), "key").select("key", "size", "n", F.col("n").alias("copies"))
+    placed = _round(cells, state, cap).unionByName(blank)
     # the copies of a cell fall on its parts by running count, exactly in total
     big = "decimal(38,0)"
     upto = F.sum("m").over(Window.partitionBy("key", "size").orderBy("part")).cast(big)
@@ -188,7 +223,7 @@ def mix(
             F.when(F.col("size") == 0, F.col("m"))
             .otherwise(due(F.col("upto")) - due(F.col("upto") - F.col("m").cast(big))).alias("take"),
         )
-        .join(state.select("key", F.col("words").alias("source_size"), "target"), "key")
+        .join(goals.select("key", F.col("words").alias("source_size"), "target"), "key")
     )
     rank = F.row_number().over(Window.partitionBy("key", "size", "part").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id"))
     each = F.floor(F.col("take") / F.col("m")).cast("long")
