@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from skyloom.catalog.scans import _DOCS_PER_DAY
 from skyloom.catalog.shapes import view, with_views
 from skyloom.operators import lineage, lookup, partitions
 from skyloom.operators.flatten import FEEDS
-from skyloom.plans import dims, facts
+from skyloom.plans import daily, dims, facts, historical
 from skyloom.quality import metrics
 from skyloom.session import scratch_path
 from skyloom.sources import lake, sinks
@@ -374,3 +375,88 @@ def quality_report_document(spark, sf_dir):
         F.transform("summary.failed_details", lambda e: item("failed", e["expectation_type"])),
     )
     return rounded(read.select(F.inline(parts)), "value")
+
+
+# -- files seen once, and a whole day ---------------------------------------
+
+
+@query("load_new_files", load_sql("station_day"))
+def load_new_files(spark, sf_dir):
+    """Snapshots that arrive one after the other, loaded after each arrival; of each load only the new files are read."""
+    root, spec = scratch_path(spark, "historical"), facts.FACTS["station_day"]
+    rows, stations = view(spark, sf_dir, "v_clim"), view(spark, sf_dir, "v_station")
+    columns = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    store = facts.fact_table(spec, f"{root}/fact")
+    store.create(spark)
+    last = rows.agg(F.max("o_orderkey")).first()[0]
+    for part in range(3):  # a load before anything came, and one after nothing new came
+        part_of = F.floor(F.col("o_orderkey") * 3 / (last + 1)) == part
+        for again in (False, True):
+            found = historical.load_new_files(
+                spark, f"{root}/silver", "historical/", columns, f"{root}/ledger", spec, stations, store, as_of(),
+                ["o_orderkey"], "aemet",
+            )
+            assert bool(found["files"]) == (again is False and part > 0), found
+        sinks.append_snapshot(rows.filter(part_of), f"{root}/silver", f"historical/{part}")
+    historical.load_new_files(
+        spark, f"{root}/silver", "historical/", columns, f"{root}/ledger", spec, stations, store, as_of(),
+        ["o_orderkey"], "aemet",
+    )
+    return plain(store.open(spark).drop(partitions.PARTITION))
+
+
+_RUN_DAY = "2024-01-31"
+
+
+@query(
+    "daily_run",
+    with_views(
+        "v_air_quality v_city",
+        f""", s AS (SELECT c.city_id, v.* FROM v_air_quality v LEFT JOIN v_city c USING (city_name)),
+k AS (SELECT * FROM s WHERE city_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY city_id, time ORDER BY event_id) = 1),
+docs AS (SELECT count(DISTINCT (city_name, floor(event_id / 4096))) AS n FROM v_air_quality),
+n AS (SELECT (SELECT count(*) FROM s) AS rows_in, (SELECT count(*) FROM k) AS kept)
+SELECT 'fact' AS part, 'fct_air_quality' AS name, kept AS n_rows, (SELECT cast(round(sum(cast(pm10 as decimal(6,2))), 2) as double) FROM k) AS value FROM n
+UNION ALL SELECT 'log', 'extract_openmeteo_air_quality success', 1, kept FROM n
+UNION ALL SELECT 'log', 'extract_openmeteo_pollen success', 1, 0
+UNION ALL SELECT 'lineage', 'bronze', n, n FROM docs
+UNION ALL SELECT 'lineage', 'silver', 1, rows_in FROM n
+UNION ALL SELECT 'metrics', 'fct_air_quality', rows_in, rows_in - kept FROM n""",
+    ),
+)
+def daily_run(spark, sf_dir):
+    """A warehouse that held something is reset and runs a day; its facts and logs."""
+    layout = daily.Layout(scratch_path(spark, "lake"), scratch_path(spark, "warehouse"))
+    cities = view(spark, sf_dir, "v_city").withColumns({"is_coastal": F.col("is_coastal").cast("int")})
+    spec = FEEDS["air_quality"]
+    rows = view(spark, sf_dir, "v_air_quality").withColumn("chunk", F.floor(F.col("event_id") / 4096))
+    items = F.sort_array(F.collect_list(F.struct("event_id", *spec.fields)))
+    packed = rows.groupBy("chunk", "city_name", "city_code").agg(items.alias("items"))
+    body = packed.repartitionByRange(32, "chunk", "city_name").sortWithinPartitions("chunk", "city_name").select(
+        "city_code", F.col("city_name").alias("municipio_nombre"),
+        F.struct(*[F.col("items").getField(n).alias(n) for n in spec.fields]).alias(spec.section),
+        F.struct(F.lit(shapes.RUN_STAMP).alias("extraction_timestamp")).alias("_metadata"),
+    )
+    body.write.option("maxRecordsPerFile", 1).option("ignoreNullFields", "false").json(layout.bronze("air_quality", _RUN_DAY))
+    tasks = ["extract_openmeteo_air_quality", "extract_openmeteo_pollen"]
+    for hour in (6, 7):
+        run_at = datetime(2024, 1, 31, hour)
+        daily.reset_warehouse(spark, layout, cities, run_at)
+        daily.run_day(spark, layout, _RUN_DAY, run_at, tasks=tasks)
+
+    def part(df, kind, name, n_rows, value):
+        return df.select(F.lit(kind).alias("part"), name.alias("name"), n_rows.cast("long").alias("n_rows"),
+                         value.cast("double").alias("value"))
+
+    fact = layout.fact_table("air_quality").open(spark).agg(F.count(F.lit(1)).alias("n"), F.sum("pm10").alias("pm10"))
+    log = daily.run_log(spark, layout)
+    files = lineage.read_log(spark, layout.table("lake_metadata"), "lake_metadata").filter("object_path like 'air_quality/%'")
+    files = files.groupBy("layer").agg(F.count(F.lit(1)).alias("n"), F.sum("record_count").alias("records"))
+    measured = lineage.read_log(spark, layout.table("etl_metrics"), "etl_metrics")
+    out = [
+        part(fact, "fact", F.lit("fct_air_quality"), F.col("n"), F.round("pm10", 2)),
+        part(log, "log", F.concat_ws(" ", "task_id", "status"), F.lit(1), F.col("records_processed")),
+        part(files, "lineage", F.col("layer"), F.col("n"), F.col("records")),
+        part(measured, "metrics", F.col("target_table"), F.col("rows_input"), F.col("rows_rejected")),
+    ]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])

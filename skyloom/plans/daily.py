@@ -14,6 +14,7 @@ from skyloom.operators import backfill, flatten, lineage
 from skyloom.operators.partitions import MonthTable
 from skyloom.plans import dims
 from skyloom.plans.facts import FACTS, fact_table, load_fact
+from skyloom.plans.historical import load_new_files
 from skyloom.quality.checks import suite_for
 from skyloom.quality.metrics import append_history, gate_report
 from skyloom.session import checkpointed
@@ -174,32 +175,23 @@ def latest_silver(spark: SparkSession, layout: Layout, feed: str, date: str) ->
     return lake.read_table(spark, snapshots[-1]) if snapshots else None
 
 
-def all_historical(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    """Every finished historical snapshot in one read; unreadable files are left
-    out.  ``_folder`` keeps the order of the snapshots."""
-    folders = lake.finished_folders(spark, f"{layout.silver}/historical/*/*")
-    if not folders:
-        return None
-    rows = lake.read_table(spark, folders, _HISTORICAL_COLUMNS, skip_bad_files=True)
-    return rows.withColumn("_folder", F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/", 1))
-
-
 def load(
     spark: SparkSession, layout: Layout, feed: str, date: str, run_at: datetime, strict: bool = False
 ) -> dict:
     """The latest silver snapshot into its table, behind the quality gate; of the
-    historical feed all snapshots.
+    historical feed all files that were not loaded before.
 
     Returns the row accounting and, for feeds with a suite, the quality scores.
     """
     moment = F.lit(run_at).cast("timestamp_ntz")
-    historical = feed == "historical"
-    silver = all_historical(spark, layout) if historical else latest_silver(spark, layout, feed, date)
+    if feed == "historical":
+        return _load_historical(spark, layout, date, moment)
+    silver = latest_silver(spark, layout, feed, date)
     if feed == "stations":
         return _load_stations(spark, layout, silver, moment)
     if silver is None:
         return {"rows_input": 0, "rows_loaded": 0, "rows_rejected": 0}
-    spec = FACTS["station_day" if historical else feed]
+    spec = FACTS[feed]
     scores = {}
     if spec.suite:
         scores = gate_report(silver.drop(*_ORDER), suite_for(spec.suite), spec.table, moment, strict)
@@ -207,11 +199,22 @@ def load(
         dim = dims.ensure_stations(stations_of(spark, layout), moment)
     else:
         dim = spark.read.parquet(layout.table("dim_city"))
-    order = ["bronze_source"] if feed == "observation" else ["_folder", *_ORDER] if historical else _ORDER
+    order = ["bronze_source"] if feed == "observation" else _ORDER
     counts = load_fact(silver, spec, dim, layout.fact_table(feed), moment, order, F.lit(date))
     return {**counts, "table": spec.table, "scores": scores}
 
 
+def _load_historical(spark: SparkSession, layout: Layout, date: str, moment: Column) -> dict:
+    """New historical files, the oldest snapshot first; unreadable ones are left out and named."""
+    spec = FACTS["station_day"]
+    dim = dims.ensure_stations(stations_of(spark, layout), moment)
+    counts = load_new_files(
+        spark, layout.silver, "historical/", _HISTORICAL_COLUMNS, layout.table("lake_metadata"),
+        spec, dim, layout.fact_table("historical"), moment, _ORDER, "aemet", F.lit(date),
+    )
+    return {**counts, "table": spec.table, "scores": {}} if counts["files"] else counts
+
+
 def _load_stations(spark: SparkSession, layout: Layout, silver: DataFrame | None, moment: Column) -> dict:
     """The stations of an inventory, or the default ones; counts them, not the dimension."""
     feed = dims.default_stations(spark) if silver is None or silver.isEmpty() else silver

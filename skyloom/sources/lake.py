@@ -95,18 +95,23 @@ def read_city_csv(spark: SparkSession, path: str) -> DataFrame:
 # -- listings and snapshots -------------------------------------------------
 
 
-def list_objects(spark: SparkSession, root: str, prefix: str = "", suffix: str = "") -> DataFrame:
+def list_objects(
+    spark: SparkSession, root: str, prefix: str = "", suffix: str = "", modified_after: str | None = None
+) -> DataFrame:
     """Files below ``root/prefix`` whose name ends in ``suffix``: ``path, length``.
 
-    A prefix that does not exist is an empty listing.
+    With ``modified_after`` only files written later.  A prefix that does not
+    exist is an empty listing.
     """
+    reader = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", f"*{suffix}")
+    )
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
     try:
-        listing = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", f"*{suffix}")
-            .load(f"{root.rstrip('/')}/{prefix}")
-        )
+        listing = reader.load(f"{root.rstrip('/')}/{prefix}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -247,10 +247,21 @@ def test_latest_snapshot_wins_and_historical_reads_all(spark, tmp_path):
     put(tmp_path, "historical/2025/3129/h.json", {"station_id": "3129", "year": 2025, "_metadata": META,
         "records": [{"fecha": "2025-05-01", "tmed": "9,0"}, {"fecha": "2025-05-02", "tmed": "2,0"}]})
     daily.transform(spark, layout, "historical", "2026-01-29", datetime(2026, 1, 29, 7))
-    assert daily.load(spark, layout, "historical", "2026-01-29", datetime(2026, 1, 29, 7))["rows_loaded"] == 3
+    bad = next((tmp_path / "lake" / "silver" / "historical").rglob("*.parquet")).with_name("bad.parquet")
+    bad.write_bytes(b"PAR1 nonsense PAR1")
+    first = daily.load(spark, layout, "historical", "2026-01-29", datetime(2026, 1, 29, 7))
+    assert first["rows_loaded"] == 3 and len(first["skipped"]) == 1 and first["skipped"][0].endswith("/bad.parquet")
+    log = lineage.read_log(spark, layout.table("lake_metadata"), "lake_metadata")
+    assert {r.status: r["count"] for r in log.groupBy("status").count().collect()} == {"loaded": first["files"] - 1, "skipped": 1}
     loaded = {r.date_id: float(r.temp_avg) for r in spark.read.parquet(layout.fact("historical")).collect()}
     assert loaded == {20240501: 1.0, 20250501: 1.0, 20250502: 2.0}  # the first snapshot wins
-    assert daily.load(spark, layout, "historical", "2026-01-29", datetime(2026, 1, 29, 8))["rows_loaded"] == 0
+    # the second load tries the file that could not be read and opens none that was loaded
+    for old in (tmp_path / "lake" / "silver" / "historical").rglob("*.parquet"):
+        if old.name != "bad.parquet":
+            old.write_bytes(b"would fail to open")
+    bad.unlink()
+    again = daily.load(spark, layout, "historical", "2026-01-29", datetime(2026, 1, 29, 8))
+    assert (again["rows_loaded"], again["files"]) == (0, 0)
 
 
 def test_incremental_load_replays_nothing(spark, tmp_path):
