@@ -69,21 +69,25 @@ def read_log(spark: SparkSession, path: str, name: str) -> DataFrame:
 def append_log(
     spark: SparkSession, path: str, name: str, keys: DataFrame, change: Callable[[DataFrame], DataFrame]
 ) -> None:
-    """Append what ``change`` makes of the log, for the keys in ``keys`` only.
+    """Append what ``change`` makes of the rows of the log that ``keys`` name, and of new ones.
 
-    Whoever else appends meanwhile keeps their rows; of two changes of one key
-    the later one counts.
+    ``change`` gets them without ids.  Whoever else appends meanwhile keeps
+    their rows; of two changes of one key the later one counts.
     """
     log = LOGS[name]
     wanted: Sequence[str] = [k for k in log.key if k in keys.columns]
-    changed = change(read_log(spark, path, name)).join(keys.select(*wanted).distinct(), wanted, "left_semi")
-    append_rows(changed.drop("id"), path)
+    known = current_rows(spark, path, log.stored, log.key).drop("_run", "_since")
+    append_rows(change(known.join(keys.select(*wanted).distinct(), wanted, "left_semi")), path)
 
 
 def compact_log(spark: SparkSession, path: str, name: str) -> int:
     return compact(spark, path, LOGS[name].stored, LOGS[name].key)
 
 
+def _ident(log: DataFrame) -> str | None:
+    return "id" if "id" in log.columns else None
+
+
 def start_runs(log: DataFrame, starts: DataFrame, as_of: Column) -> DataFrame:
     """The run log after ``starts`` (key and start_time) began.
 
@@ -95,21 +99,22 @@ def start_runs(log: DataFrame, starts: DataFrame, as_of: Column) -> DataFrame:
         log, starts, RUN_KEY, ["start_time"],
         on_update={"status": running, "end_time": nothing, "error_message": nothing},
         on_insert={"status": running, "created_at": as_of, "updated_at": as_of},
-        ident="id",
+        ident=_ident(log),
     )
 
 
 def end_runs(log: DataFrame, ends: DataFrame, as_of: Column) -> DataFrame:
-    """The run log after ``ends`` (id, end_time, status, records_processed,
-    error_message) finished; other runs stay as they are."""
+    """The run log after ``ends`` (id, or the run's key without ids; end_time, status,
+    records_processed, error_message) finished; other runs stay as they are."""
+    on = ["id"] if "id" in log.columns else RUN_KEY
     changed = ["end_time", "status", "records_processed", "error_message"]
-    done = ends.select("id", *[F.col(c).alias(f"_end_{c}") for c in changed], F.lit(True).alias("_hit"))
+    done = ends.select(*on, *[F.col(c).alias(f"_end_{c}") for c in changed], F.lit(True).alias("_hit"))
     hit = F.col("_hit").isNotNull()
     new = {c: F.col(f"_end_{c}") for c in changed}
     new["duration_seconds"] = duration_seconds(F.col("start_time"), F.col("_end_end_time"))
     new["updated_at"] = as_of
     types = dict(log.dtypes)
-    return log.join(done, "id", "left").select(
+    return log.join(done, on, "left").select(
         *[
             (F.when(hit, new[c]).otherwise(F.col(c)) if c in new else F.col(c)).cast(types[c]).alias(c)
             for c in log.columns
@@ -132,7 +137,7 @@ def log_files(lake: DataFrame, files: DataFrame, as_of: Column) -> DataFrame:
         on_update={"load_timestamp": as_of},
         on_insert={"load_timestamp": as_of, "bucket_name": F.col("bucket_name"),
                    "layer": F.col("layer"), "data_source": F.col("data_source")},
-        ident="id",
+        ident=_ident(lake),
     )
 
 
@@ -143,5 +148,5 @@ def log_metrics(metrics: DataFrame, measured: DataFrame, as_of: Column) -> DataF
         on_update={"measured_at": as_of},
         on_insert={"measured_at": as_of, "execution_date": F.col("execution_date"),
                    "data_source": F.col("data_source")},
-        ident="id",
+        ident=_ident(metrics),
     )

@@ -83,7 +83,7 @@ def reset_warehouse(
         if name == "dim_aemet_stations":
             sinks.append_rows(df, layout.table(name))
         else:
-            sinks.write_table(df, layout.table(name))
+            df.write.mode("overwrite").parquet(layout.table(name))
     for feed in FACTS:
         layout.fact_table(feed).create(spark)
 
