@@ -245,6 +245,8 @@ def nearest(
     queries = written(points.join(asked.select("key").distinct(), "key").select("key", "v", "query"), "queries")
     enough, depth = _budget(points, queries, k, target, sample)
     least = min(enough, TREES * top.rows) if top.rows else 0
+    if top.rows <= k + 1:  # only the root holds k others
+        depth = 0
     found, open_ = None, queries
     while True:
         cell = ["tree", "cell", "pi", "qi"]

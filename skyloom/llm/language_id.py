@@ -298,9 +298,16 @@ def identify(
     return rows.select("doc_id", "held_out", "p.*")
 
 
-def drop_undetermined(
+def label_languages(
     docs: DataFrame, per_language: int = 250, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
-    """``docs`` without the rows whose language is ``und``, all columns kept."""
+    """``docs`` with the predicted language in ``lang_col``, without the rows whose language is ``und``.
+
+    All columns are kept.  Texts that are null, empty or without letters go, as
+    does everything if no document has a label; repeated rows stay, an empty
+    table gives no rows, and null ids are never learned from.
+    """
     predict = predictor(docs, per_language, id_col, text_col, lang_col)
-    return docs.where(predict(text_of(f"`{text_col}`"))["lang_pred"] != UNDETERMINED)
+    named = docs.select(F.struct("*").alias("_row"), predict(text_of(f"`{text_col}`"))["lang_pred"].alias("_lang"))
+    kept = named.where(F.col("_lang") != UNDETERMINED)
+    return kept.select(F.col("_row").withField(f"`{lang_col}`", F.col("_lang")).alias("_row")).select("_row.*")

@@ -58,7 +58,11 @@ def windows(rows: DataFrame, lines: int, long_words: int) -> DataFrame:
 
 
 def shared_windows(each: DataFrame) -> DataFrame:
-    """The windows whose fingerprint was selected at two places or more, stored."""
+    """The windows whose fingerprint was selected at two places or more, stored.
+
+    All windows are stored too: lines are hashed once, and read for the two uses.
+    """
+    each = written(each, "selected")
     place = F.xxhash64("row", "place")
     found = each.groupBy("fingerprint").agg(F.min(place).alias("a"), F.max(place).alias("b"))
     # stored, so that both sides of the join are plain shuffles and a hot fingerprint can be split

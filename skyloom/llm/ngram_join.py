@@ -248,10 +248,10 @@ def near_duplicates(
     not read.
     """
     table = signatures(docs, words, id_col, text_col)
-    order = F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("b"), F.col("row").alias("c"))
+    order = F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("b"), F.col("row").alias("c"), "mark")
     sets = written(
         table.where("n > 0").groupBy("set").agg(F.min(order).alias("least"), F.count("*").alias("copies"))
-        .select("set", F.col("least.c").alias("rep"), F.col("least.b").alias("rep_id"), "copies"),
+        .select("set", F.col("least.c").alias("rep"), F.col("least.b").alias("rep_id"), F.col("least.mark").alias("rep_mark"), "copies"),
         "sets",
     )
     reps = table.where("n > 0").select(F.col("row").alias("rep"), "sig").join(sets.select("rep"), "rep")
@@ -295,10 +295,13 @@ def near_duplicates(
 
 def _verified(docs, table, clustered, words: int, threshold: float, id_col: str, text_col: str) -> DataFrame:
     """(rep, links, root): exact links within clusters, stored."""
-    wanted = clustered.select("rep_id", F.col("set").alias("wanted"), "rep", "cluster", "copies")
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(f"`{text_col}`").alias("text"))
+    wanted = clustered.select("rep_id", "rep_mark", F.col("set").alias("wanted"), "rep", "cluster", "copies")
+    text = text_of(f"`{text_col}`")
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     # one plan at every size: the clustered side grows with the corpus, so it is never broadcast
-    texts = texts.join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("rep_id"))).select("text", "wanted", "rep", "cluster", "copies")
+    # an id may be null or repeat, so a text meets its own representative by its hash too
+    own = F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("mark") == F.col("rep_mark"))
+    texts = texts.join(wanted.hint("merge"), own).select("text", "wanted", "rep", "cluster", "copies")
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in slices(frames, "text", 2_000_000):

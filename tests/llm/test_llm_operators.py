@@ -12,8 +12,8 @@ import pytest
 from skyloom.llm.ann_forest import nearest
 from skyloom.llm.common import byte_words, shingles
 from skyloom.llm.components import components
-from skyloom.llm.exact_dedup import CuckooFilter, LiveIndex, drop_copies, exact_dedup
-from skyloom.llm.language_id import drop_undetermined, identify
+from skyloom.llm.exact_dedup import SLOTS, CuckooFilter, LiveIndex, drop_copies, exact_dedup
+from skyloom.llm.language_id import identify, label_languages
 from skyloom.llm.license_scan import Scanner, license_spans, notices
 from skyloom.llm.line_dedup import dedup_lines
 from skyloom.llm.mixing import mix, take_mix
@@ -372,6 +372,34 @@ def test_exact_dedup(spark, odd, empty):
     assert Counter(r.doc_id for r in kept.collect()) == Counter([3, 5, 4, None, 5, 6, 7])
 
 
+def test_null_ids_meet_their_own_representative_only(spark, monkeypatch):
+    """Documents without id, each nearly equal to another: as many texts are verified as there are."""
+    from skyloom.llm import ngram_join
+
+    rows = []
+    for i in range(40):
+        words = english(i, 60).split()
+        rows += [(None, " ".join(words), "en", "s"), (None, " ".join([*words[:-1], f"x{i}"]), "en", "s")]
+    seen = []
+
+    def counting(df, label):
+        kept = real(df, label)
+        if label == "shingles":
+            seen.append(kept.count())
+        return kept
+
+    real = ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", counting)
+    got = near_duplicates(table(spark, rows)).collect()
+    assert seen == [80] and len(got) == 80 and all(r.n_links == 1 and r.class_size == 2 for r in got)
+
+
+def test_two_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (None, [1.0, 1.0])]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(0, 1, 1, 0.5)]
+
+
 def test_cuckoo_index_deletes_and_grows():
     digests = [hashlib.sha256(str(i).encode()).digest() for i in range(5000)]
     index = LiveIndex(lambda a, b: (a[0] + b[0],), 2000)
@@ -379,9 +407,13 @@ def test_cuckoo_index_deletes_and_grows():
     assert len(gone) == 3000 and len(index.content) == 2000 and index.filter.count == 2000
     assert index.filter.buckets >= 512 and all(d in index.filter for d in digests[-2000:])
     assert sum(e[0] for e in index.content.values()) == 2100
+    full = CuckooFilter(2)
+    fitting = next(i for i, d in enumerate(digests) if not full.add(d))
+    assert SLOTS <= fitting <= 2 * SLOTS  # a full filter refuses
     small = CuckooFilter(2)
-    added = [d for d in digests[:20] if small.add(d)]
-    assert 0 < len(added) <= 9 and not small.remove(hashlib.sha256(b"none").digest()) or True
+    assert all(small.add(d) for d in digests[:fitting]) and small.count == fitting
+    assert all(small.remove(d) for d in digests[:fitting]) and small.count == 0
+    assert not any(small.remove(d) for d in digests[:fitting])
 
 
 def test_nearest(spark):
@@ -425,7 +457,7 @@ def test_language_id(spark, odd, empty):
     assert all(0 <= r.score <= 1 for r in got.values())
     assert identify(empty).count() == 0
     assert {r.lang_pred for r in identify(odd.drop("lang").selectExpr("*", "cast(null as string) lang")).collect()} == {"und"}
-    kept = drop_undetermined(docs)
+    kept = label_languages(docs)
     assert kept.columns == docs.columns and kept.count() == docs.count() - 4
 
 
