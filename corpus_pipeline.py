@@ -1,20 +1,27 @@
-"""A corpus from raw documents to token ids: five stages, each on all that the one before kept."""
+"""A corpus from raw documents to token ids: five stages, each on all that the one before kept.
+
+Null and empty texts end at the first stage; repeated rows are copies, of which
+the second keeps one; an empty table gives no rows; null ids are kept; other
+columns travel along up to the last stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyloom.llm.common import documents, written
+from skyloom.llm.common import documents
 from skyloom.llm.exact_dedup import drop_copies
-from skyloom.llm.language_id import drop_undetermined
+from skyloom.llm.language_id import label_languages
 from skyloom.llm.mixing import take_mix
 from skyloom.llm.ngram_join import keep_one
 from skyloom.llm.piece_bpe import encode_documents
+from skyloom.session import scratch_path
+from skyloom.sources.lake import remove_folder
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told go."""
-    return drop_undetermined(docs)
+    """Documents whose language cannot be told go; the others carry the predicted one."""
+    return label_languages(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +53,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """All stages; the table of a stage is removed once that of the next is written."""
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = scratch_path(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
