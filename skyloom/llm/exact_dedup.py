@@ -13,8 +13,10 @@ digest bucket.  No task ever holds a whole group.
 
 from __future__ import annotations
 
-from collections import OrderedDict
+from bisect import bisect_left, insort
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -75,36 +77,65 @@ class CuckooFilter:
         return False
 
 
+_digest_of = itemgetter(0)
+
+
 class LiveIndex:
     """Live digests with one entry each.  ``put`` merges an entry into the live
     one of its digest; beyond ``limit`` entries the oldest is evicted and
-    returned, so the memory of a task is bounded."""
+    returned, so the memory of a task is bounded.
+
+    Entries lie in sorted buckets, as many as the filter has.  Only a hit of the
+    filter is looked up there; a digest that is surely new is not.
+    """
 
     def __init__(self, merge: Callable[[tuple, tuple], tuple], limit: int):
         self.merge, self.limit = merge, limit
         self.filter = CuckooFilter()
-        self.content: OrderedDict[bytes, tuple] = OrderedDict()
+        self.content: list[list[tuple[bytes, tuple]]] = [[] for _ in range(self.filter.buckets)]
+        self.order: deque[bytes] = deque()
+
+    def __len__(self) -> int:
+        return len(self.order)
+
+    def items(self) -> Iterator[tuple[bytes, tuple]]:
+        for bucket in self.content:
+            yield from bucket
+
+    def _bucket(self, digest: bytes) -> list[tuple[bytes, tuple]]:
+        return self.content[int.from_bytes(digest[10:18], "big") & (len(self.content) - 1)]
 
     def put(self, digest: bytes, entry: tuple) -> tuple[bytes, tuple] | None:
-        if digest in self.filter and (live := self.content.get(digest)) is not None:
-            self.content[digest] = self.merge(live, entry)
-            return None
-        self.content[digest] = entry
+        bucket = self._bucket(digest)
+        if digest in self.filter:
+            at = bisect_left(bucket, digest, key=_digest_of)
+            if at < len(bucket) and bucket[at][0] == digest:
+                bucket[at] = digest, self.merge(bucket[at][1], entry)
+                return None
+        insort(bucket, (digest, entry), key=_digest_of)
+        self.order.append(digest)
         if not self.filter.add(digest):
             self._grow()
-        if len(self.content) > self.limit:
-            old = self.content.popitem(last=False)
-            self.filter.remove(old[0])
-            return old
-        return None
+        return self._evict() if len(self.order) > self.limit else None
+
+    def _evict(self) -> tuple[bytes, tuple]:
+        digest = self.order.popleft()
+        bucket = self._bucket(digest)
+        self.filter.remove(digest)
+        return bucket.pop(bisect_left(bucket, digest, key=_digest_of))
 
     def _grow(self) -> None:
+        """Rebuild filter and buckets, twice as many or more, from the stored keys."""
         size = self.filter.buckets
         while True:
             size *= 2
             self.filter = CuckooFilter(size)
-            if all(self.filter.add(digest) for digest in self.content):
-                return
+            if all(self.filter.add(digest) for digest in self.order):
+                break
+        entries = list(self.items())
+        self.content = [[] for _ in range(size)]
+        for digest, entry in entries:
+            insort(self._bucket(digest), (digest, entry), key=_digest_of)
 
 
 def _merge(a: tuple, b: tuple) -> tuple:
@@ -138,7 +169,7 @@ def _reduce(limit: int) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFr
             if len(out) >= 10_000:
                 yield frame(out)
                 out = []
-        out.extend(index.content.items())
+        out.extend(index.items())
         for at in range(0, len(out), 10_000):
             yield frame(out[at : at + 10_000])
 

@@ -142,7 +142,9 @@ OP6_SQL = f"""
 WITH docs AS (SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text FROM documents),
 matches AS ({" UNION ALL ".join(_secret_matches(kind, i) for i, kind in enumerate(KINDS))}),
 placed AS (SELECT *, cast(sum(gap + chars) OVER (PARTITION BY row, number ORDER BY i) AS BIGINT) AS stop FROM matches),
-candidates AS (SELECT row, number, kind, base, stop - chars AS start, stop, value FROM placed WHERE good),
+matched AS (SELECT row, number, kind, base, stop - chars AS start, stop, value FROM placed WHERE good),
+candidates AS (SELECT * FROM matched m WHERE base OR NOT EXISTS (
+  SELECT 1 FROM matched b WHERE b.base AND b.row = m.row AND b.start < m.stop AND b.stop > m.start)),
 owned AS (SELECT value, count(DISTINCT coalesce('=' || source, '~')) AS owners
   FROM candidates JOIN docs USING (row) GROUP BY value),
 spans AS (SELECT candidates.*, owners, kind || ':' || start || ':' || stop AS span

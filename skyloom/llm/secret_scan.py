@@ -92,7 +92,17 @@ def candidates(
         "row", "owner", "repo", "number", name.alias("kind"), base.alias("base"),
         (F.col("end") - F.col("chars")).alias("start"), "end", F.sha2("value", 256).alias("hash"),
     )
-    return found.select("row", "doc_id"), each
+    return found.select("row", "doc_id"), without_overlaps(each)
+
+
+def without_overlaps(each: DataFrame) -> DataFrame:
+    """Candidates without those of the method that share characters with a base one,
+    so that no secret counts twice.  Looks at the candidates of one document."""
+    by_start = Window.partitionBy("row").orderBy("start")
+    upto = F.max(F.when(F.col("base"), F.col("end"))).over(by_start.rangeBetween(Window.unboundedPreceding, 0))
+    after = F.min(F.when(F.col("base"), F.col("start"))).over(by_start.rangeBetween(0, Window.unboundedFollowing))
+    meets = F.coalesce(upto > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False))
+    return each.withColumn("meets", meets).where(F.col("base") | ~F.col("meets")).drop("meets")
 
 
 def ownership(each: DataFrame) -> DataFrame:
@@ -118,7 +128,8 @@ def secret_spans(
     owners, repos, live) by start, then kind; positions are code points, end exclusive.
 
     A candidate is live if at most ``max_owners`` owners have its value.  Base
-    kinds are reported in any case; a kind of the method only where it is live.
+    kinds are reported in any case; a kind of the method only where it is live and
+    shares no character with a base span.
     A null owner or repository counts as one of its own.  Null and empty texts
     have no spans; repeated rows repeat theirs; an empty table gives no rows.
     Other columns are not read.

@@ -354,6 +354,9 @@ def test_secrets(spark, odd, empty):
     assert [(s.kind, s.start, s.end) for s in got[1]] == [("access", 3, 23), ("hex", 28, 60)]
     assert [(s.kind, s.live) for s in got[2]] == [("assign", False), ("mixed", True)]
     assert [s.kind for s in got[10]] == ["assign"] and got[10][0].owners == 6 and got[10][0].repos == 7
+    inside = "x token=Ab1" + "c" * 25 + " y Qq2" + "d" * 20 + "AKIA" + "B" * 16
+    only = secret_spans(table(spark, [(1, inside, None, "o")])).collect()[0].spans
+    assert [s.kind for s in only] == ["assign", "access"]  # the longer tokens around them count no second time
     assert all(r.spans == [] for r in secret_spans(odd).collect())
     assert secret_spans(odd).count() == len(ODD) and secret_spans(empty).count() == 0
 
@@ -404,9 +407,10 @@ def test_cuckoo_index_deletes_and_grows():
     digests = [hashlib.sha256(str(i).encode()).digest() for i in range(5000)]
     index = LiveIndex(lambda a, b: (a[0] + b[0],), 2000)
     gone = [out for d in digests + digests[-100:] if (out := index.put(d, (1,)))]
-    assert len(gone) == 3000 and len(index.content) == 2000 and index.filter.count == 2000
+    assert len(gone) == 3000 and len(index) == 2000 and index.filter.count == 2000
     assert index.filter.buckets >= 512 and all(d in index.filter for d in digests[-2000:])
-    assert sum(e[0] for e in index.content.values()) == 2100
+    assert sum(e[0] for _, e in index.items()) == 2100 and len(index.content) == index.filter.buckets
+    assert all(bucket == sorted(bucket) for bucket in index.content)
     full = CuckooFilter(2)
     fitting = next(i for i, d in enumerate(digests) if not full.add(d))
     assert SLOTS <= fitting <= 2 * SLOTS  # a full filter refuses
