@@ -136,6 +136,23 @@ def load_outcomes(spark, sf_dir):
     return spark.createDataFrame(rows, "load int, outcome string, n_rows long")
 
 
+@query(
+    "load_unknown_names",
+    with_views(
+        "v_hourly v_city",
+        "SELECT DISTINCT city_name AS name FROM v_hourly WHERE city_name NOT IN (SELECT city_name FROM v_city) ORDER BY 1 LIMIT 5",
+    ),
+)
+def load_unknown_names(spark, sf_dir):
+    """The cities a load names because the dimension lacks them."""
+    spec = facts.FACTS["hourly"]
+    store = facts.fact_table(spec, scratch_path(spark, "fact"))
+    store.create(spark)
+    rows, cities = view(spark, sf_dir, "v_hourly"), view(spark, sf_dir, "v_city")
+    found = facts.load_fact(rows, spec, cities, store, as_of(), ["event_id"])
+    return spark.createDataFrame([(name,) for name in found["unknown"]], "name string")
+
+
 @query(
     "load_mapped",
     with_views(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from skyloom import fixed_values as fixed
 from skyloom.functions.clean import date_id, epoch_to_ts, fits, iso_to_ts, normalise_nan, typed
 from skyloom.operators.dedupe import keep_first
-from skyloom.operators.lookup import city_lookup, station_lookup
+from skyloom.operators.lookup import city_lookup, first_keys, station_lookup
 from skyloom.operators.merge import insert_if_absent
 from skyloom.operators.partitions import PARTITION, MonthTable
 from skyloom.session import scratch_path
@@ -302,7 +302,8 @@ def load_fact(
     The batch is read once: its keyed rows are stored, and what was refused is
     counted by reason while that happens.  A second pass over what was stored
     finds the new rows, counts the others and appends, all in one stage that
-    ends in the table, so that a task that is run again counts once.
+    ends in the table, so that a task that is run again counts once.  ``unknown``
+    names the first few cities or stations that the dimension lacks.
     """
     spark = silver.sparkSession
     keyed = key_rows(silver, spec, dim, run_date)
@@ -328,4 +329,8 @@ def load_fact(
     split = {"loaded": loaded, "duplicate": usable - second["n"], "conflict": second["conflict"]}
     others = {**{name: first[c] for c, name in refused.items()}, **{name: second[c] for c, name in overflows.items()}}
     split.update({name: n for name, n in others.items() if n})
-    return {"rows_input": first["n"], "rows_loaded": loaded, "rows_rejected": first["n"] - loaded, "outcomes": split}
+    unknown, names = f"unknown_{spec.entity}", []
+    if split.get(unknown):  # only then are the refused rows looked at again
+        names = [r.key for r in first_keys(keyed.filter(reason == unknown), spec.entity_from).collect()]
+    return {"rows_input": first["n"], "rows_loaded": loaded, "rows_rejected": first["n"] - loaded,
+            "outcomes": split, "unknown": names}

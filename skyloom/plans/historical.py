@@ -49,7 +49,7 @@ def load_new_files(
     ledger = lineage.read_log(spark, ledger_path, "lake_metadata")
     fresh = {r.path: r for r in new_files(spark, root, prefix, ledger, modified_after).collect()}
     if not fresh:
-        return {"rows_input": 0, "rows_loaded": 0, "rows_rejected": 0, "outcomes": {}, "files": 0, "skipped": []}
+        return {"rows_input": 0, "rows_loaded": 0, "rows_rejected": 0, "outcomes": {}, "unknown": [], "files": 0, "skipped": []}
     rows = read_table(spark, sorted(fresh), columns, skip_bad_files=True)
     place = F.col("_metadata.file_path")
     seen = {r.object_path: r.record_count for r in lineage.file_records(rows).select(

@@ -132,6 +132,7 @@ def test_run_day_twice(spark, tmp_path):
     assert (air["status"], air["rows_input"], air["rows_loaded"], air["rows_rejected"]) == ("success", 9, 6, 3)
     assert air["scores"]["uniqueness"] == 1.0 and air["scores"]["summary"]["success"]
     assert air["outcomes"] == {"loaded": 6, "duplicate": 0, "conflict": 0, "unknown_city": 3}
+    assert air["unknown"] == ["Atlantis"]
     assert (air["written"]["documents"], air["written"]["rejected"]) == (4, 1)
     refused = spark.read.parquet(layout.rejects("air_quality", "2026-01-29")).collect()
     assert [(r.path.rsplit("/", 1)[1], r.reject_reason) for r in refused] == [("broken.json", "unreadable")]
