@@ -27,11 +27,18 @@ def table_stream(
     return reader.parquet(path)
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def _with_moment(rows: DataFrame, moment: str) -> DataFrame:
-    """Text and naive moments as instants, which watermarks are made of."""
+    """Text and naive moments as instants, which watermarks are made of, whatever zone the session has."""
     value = F.col(f"`{moment}`")
     kind = dict(rows.dtypes)[moment]
-    return rows.withColumn(moment, (iso_to_ts(value) if kind == "string" else value).cast("timestamp"))
+    if kind == "timestamp":
+        return rows
+    naive = iso_to_ts(value) if kind == "string" else value.cast("timestamp_ntz")
+    return rows.withColumn(moment, F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), naive)))
 
 
 def window_metrics(
@@ -66,7 +73,7 @@ def window_metrics(
         *[metric(f"completeness_{c}", F.col(f"`n:{c}`") / F.col("row_count"), "completeness") for c in chosen],
         metric("validity_score", passed / len(checks), "validity"),
     ]
-    return groups.select("target_table", F.col("_window.end").cast("timestamp_ntz").alias("measured_at"), F.inline(F.array(*metrics)))
+    return groups.select("target_table", F.timestamp_add("MICROSECOND", F.unix_micros("_window.end"), _epoch()).alias("measured_at"), F.inline(F.array(*metrics)))
 
 
 def store_stream(rows: DataFrame, path: str, checkpoint: str, name: str) -> StreamingQuery:
