@@ -265,7 +265,7 @@ def predictor(
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         field = Chain(*sent.value)
         for texts in batches:
-            parts = [label(field, rows["text"]) for rows in slices([pd.DataFrame({"text": texts})], "text", 1_000_000)]
+            parts = [label(field, rows["text"]) for rows in slices([pd.DataFrame({"text": texts})], "text", 500_000)]
             yield pd.concat(parts, ignore_index=True) if parts else label(field, texts)
 
     return predict
@@ -308,6 +308,8 @@ def label_languages(
     table gives no rows, and null ids are never learned from.
     """
     predict = predictor(docs, per_language, id_col, text_col, lang_col)
-    named = docs.select(F.struct("*").alias("_row"), predict(text_of(f"`{text_col}`"))["lang_pred"].alias("_lang"))
+    found = F.struct(F.struct("*").alias("_row"), predict(text_of(f"`{text_col}`"))["lang_pred"].alias("_lang"))
+    # the output of a generator is not copied into the filter, so each text is labelled once
+    named = docs.select(F.inline(F.array(found)))
     kept = named.where(F.col("_lang") != UNDETERMINED)
     return kept.select(F.col("_row").withField(f"`{lang_col}`", F.col("_lang")).alias("_row")).select("_row.*")
