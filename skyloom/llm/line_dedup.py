@@ -1,7 +1,8 @@
 """Runs of lines that repeat earlier runs.
 
 Winnowing over line hashes: of every window (a run of ``lines`` consecutive
-lines, or of fewer lines with at least ``long_words`` words) the place of its least
+lines, of fewer lines with at least ``long_words`` words, or one line with at
+least ``line_words``) the place of its least
 line hash is selected, and that hash is a fingerprint.  Equal windows select equal
 places, so a fingerprint found at one place only rules out all windows that
 selected it; most lines of a corpus end there.  The windows of the other
@@ -9,6 +10,9 @@ fingerprints are compared whole and joined to the first of their kind.  Windows
 that touch or overlap extend a match both ways to its full run, and the later
 runs are deleted.
 
+Where every line of a longer window is long enough to be a window itself, its
+lines say what it says, and it is left out.
+
 A window is joined to one place, the first, never to all others, so a passage
 that many documents share costs one row per place.
 """
@@ -23,8 +27,9 @@ from skyloom.llm.common import text_of, written
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def windows(rows: DataFrame, lines: int, long_words: int) -> DataFrame:
-    """(row, doc_id, start, length, place, fingerprint, content): all windows with a word in them.
+def windows(rows: DataFrame, lines: int, long_words: int, line_words: int) -> DataFrame:
+    """(row, doc_id, start, length, place, fingerprint, content): all windows with a word in them
+    that hold a line of less than ``line_words`` words, and all single lines of more.
 
     ``place`` is the line that the window selects, the first with its least hash.
     """
@@ -44,16 +49,21 @@ def windows(rows: DataFrame, lines: int, long_words: int) -> DataFrame:
     def words(i, length):
         return F.aggregate(F.slice("words", i, length), F.lit(0), lambda a, x: a + x)
 
-    def enough(length):
-        return lambda i: words(i, length) >= long_words
+    def least(length):
+        return F.lit(0) if length == lines else F.lit(long_words)
+
+    def needed(length):
+        """Whether a window counts; its longest lines count alone."""
+        if length == 1:
+            return lambda i: F.element_at("words", i) >= line_words
+        return lambda i: (words(i, length) >= least(length)) & (F.array_min(F.slice("words", i, length)) < line_words)
 
     def starts(length):
         last = F.size("first") - length + 1
         return F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
 
-    full = F.transform(starts(lines), run(lines))
-    few = [F.transform(F.filter(starts(n), enough(n)), run(n)) for n in range(1, lines)]
-    each = rows.select("row", "doc_id", F.explode(F.concat(full, *few)).alias("w")).select("row", "doc_id", "w.*")
+    found = [F.transform(F.filter(starts(n), needed(n)), run(n)) for n in range(1, lines + 1)]
+    each = rows.select("row", "doc_id", F.explode(F.concat(*found)).alias("w")).select("row", "doc_id", "w.*")
     return each.where("words > 0").drop("words")
 
 
@@ -71,7 +81,8 @@ def shared_windows(each: DataFrame) -> DataFrame:
 
 
 def repeated_runs(
-    docs: DataFrame, lines: int = 3, long_words: int = 50, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, lines: int = 3, long_words: int = 50, line_words: int = 8,
+    id_col: str = "doc_id", text_col: str = "text",
 ) -> tuple[DataFrame, DataFrame]:
     """(stored rows: row, doc_id, text), (row, runs: array of first line, last line, from 0)."""
     stored = written(
@@ -88,7 +99,7 @@ def repeated_runs(
         F.transform(split, lambda x: F.xxhash64(F.lit(1), F.trim(x))).alias("second"),
         F.transform(split, lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"),
     )
-    each = shared_windows(windows(rows, lines, long_words))
+    each = shared_windows(windows(rows, lines, long_words, line_words))
     order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row", "start")
     first = written(
         each.groupBy("fingerprint", "content", "length")
@@ -115,20 +126,22 @@ def repeated_runs(
 
 
 def dedup_lines(
-    docs: DataFrame, lines: int = 3, long_words: int = 50, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, lines: int = 3, long_words: int = 50, line_words: int = 8,
+    id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per document: doc_id, n_lines, runs (first and last line deleted, from 0), n_deleted, text.
 
     Lines end at line feeds and are equal when they are so without spaces at
-    their ends.  A run of at least ``lines`` lines, or of fewer with at least
-    ``long_words`` words, is deleted where an equal one stands in an earlier
-    document (by id, null last) or earlier in the same one without overlap.
+    their ends.  A run of at least ``lines`` lines, of fewer with at least
+    ``long_words`` words, or a line of at least ``line_words``, is deleted where an
+    equal one stands in an earlier document (by id, null last) or earlier in the
+    same one without overlap.
     Every line keeps its first place.  Stretches without a word do not count.
     A null text is one empty line; repeated rows repeat each other, so the later
     ones lose what the first has; an empty table gives no rows; other columns
     are not read.
     """
-    stored, runs = repeated_runs(docs, lines, long_words, id_col, text_col)
+    stored, runs = repeated_runs(docs, lines, long_words, line_words, id_col, text_col)
     none = F.array().cast("array<struct<first:int,last:int>>")
     rows = stored.join(runs, "row", "left").select(
         "doc_id", "text", F.coalesce("runs", none).alias("runs")

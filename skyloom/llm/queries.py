@@ -89,7 +89,7 @@ WITH lines AS (
   SELECT * FROM (SELECT doc_id, i, 2, line || chr(10) || lead(line, 1) OVER w, words + lead(words, 1) OVER w AS words
     FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)) WHERE words >= 50
   UNION ALL
-  SELECT doc_id, i, 1, line, words FROM lines WHERE words >= 50
+  SELECT doc_id, i, 1, line, words FROM lines WHERE words >= 8
 ), first AS (
   SELECT doc_id, i, n,
          first_value(doc_id) OVER f AS first_doc, first_value(i) OVER f AS first_i

@@ -308,6 +308,9 @@ def test_line_dedup(spark, odd, empty):
     got = {r.doc_id: r for r in dedup_lines(table(spark, rows)).collect()}
     assert [got[i].n_deleted for i in range(1, 13)] == [0, 4, 0, 0, 2, 4, 0, 0, 0, 2, 0, 0]
     assert got[10].text == "m"  # two lines of 50 words together
+    lines = [(1, "one two three four five six seven eight\nx", None, None), (2, "y\n one two three four five six seven eight ", None, None),
+             (3, "one two three four five six seven\nz", None, None), (4, "one two three four five six seven\nw", None, None)]
+    assert sorted((r.doc_id, r.text) for r in dedup_lines(table(spark, lines)).collect())[1:] == [(2, "y"), (3, lines[2][1]), (4, lines[3][1])]
     assert got[2].text == "q\nr" and got[5].text == "w" and got[6].text == "k\nk\nk"
     assert [tuple(r) for r in got[2].runs] == [(1, 4)]
     odd_rows = dedup_lines(odd).collect()
@@ -323,6 +326,9 @@ def test_line_dedup_against_every_window(spark):
         lines = [f"line {x}" if x else "" for x in rng.integers(0, 9, rng.integers(1, 25))]
         if i % 10 == 0:
             lines.insert(len(lines) // 2, " ".join(["common passage"] * 30))
+        if i % 3 == 0:  # lines that are long enough alone, next to each other and apart
+            for x in rng.integers(0, 4, 5):
+                lines.insert(int(rng.integers(0, len(lines) + 1)), f"eight words make a line that counts {x}")
         if i % 10 == 5:
             lines[1:1] = [" ".join(["first half"] * 14), " ".join(["second half"] * 13)]
         rows.append((i, "\n".join(lines), None, None))
@@ -333,7 +339,7 @@ def test_line_dedup_against_every_window(spark):
         for n in (3, 2, 1):
             for a in range(len(lines) - n + 1):
                 part = tuple(lines[a : a + n])
-                if not "".join(part) or (n < 3 and len(" ".join(part).split()) < 50):
+                if not "".join(part) or len(" ".join(part).split()) < {3: 0, 2: 50, 1: 8}[n]:
                     continue
                 where = first.setdefault((n, part), (i, a))
                 if where[0] != i or a >= where[1] + n:
