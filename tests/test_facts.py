@@ -258,7 +258,7 @@ def test_latest_snapshot_wins_and_historical_reads_all(spark, tmp_path):
     assert loaded == {20240501: 1.0, 20250501: 1.0, 20250502: 2.0}  # the first snapshot wins
     # the second load tries the file that could not be read and opens none that was loaded
     for old in (tmp_path / "lake" / "silver" / "historical").rglob("*.parquet"):
-        if old.name != "bad.parquet":
+        if old.is_file() and old.name != "bad.parquet":
             old.write_bytes(b"would fail to open")
     bad.unlink()
     again = daily.load(spark, layout, "historical", "2026-01-29", datetime(2026, 1, 29, 8))
