@@ -70,9 +70,10 @@ def schema_changes(members: DataFrame) -> DataFrame:
 
     A member that is always null has the kind null, and is retyped when values come.
     """
-    days = members.select("day").distinct()
-    numbered = days.withColumn("_n", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("day")))  # a row per day
-    numbered = numbered.withColumn("_next", F.lead("day").over(Window.partitionBy(F.lit(0)).orderBy("day")))
+    days = members.agg(F.sort_array(F.collect_set("day")).alias("days"))  # one name per day
+    numbered = days.select("days", F.posexplode("days").alias("_n", "day")).select(
+        "day", (F.col("_n") + 1).alias("_n"), F.get("days", F.col("_n") + 1).alias("_next")
+    )
     rows = members.join(F.broadcast(numbered), "day")
     by_path = Window.partitionBy("path").orderBy("_n")
     rows = rows.withColumns({
