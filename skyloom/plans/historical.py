@@ -1,12 +1,14 @@
 """Loading a folder that grows: only files that no load has seen are opened.
 
 The ledger is the file lineage.  A file that was loaded stands there as
-``loaded`` with its rows; one that gave none, because it is empty or cannot be
-read, as ``skipped``, and is tried again at the next load.
+``loaded`` with its rows, none if it is empty; one that cannot be read stands
+there as ``skipped`` and is tried again at the next load.
 """
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,23 @@ def new_files(
     return files.join(loaded, "object_path", "left_anti")
 
 
+def empty_files(spark: SparkSession, root: str, files: dict[str, str], columns: str) -> set[str]:
+    """Those of ``files`` (object path -> path) that can be read and hold no rows, from their footers.
+
+    If a read fails, each half is tried alone, so that one bad file costs no
+    more than a few reads.
+    """
+    if not files:
+        return set()
+    try:
+        filled = lineage.file_records(read_table(spark, list(files.values()), columns))
+        return set(files) - {r.name for r in filled.select(_below(F.col("object_path"), root).alias("name")).collect()}
+    except (PySparkException, Py4JJavaError):
+        names = sorted(files)
+        halves = [names[: len(names) // 2], names[len(names) // 2 :]] if len(names) > 1 else []
+        return {name for half in halves for name in empty_files(spark, root, {n: files[n] for n in half}, columns)}
+
+
 def load_new_files(
     spark: SparkSession, root: str, prefix: str, columns: str, ledger_path: str,
     spec: FactSpec, dim: DataFrame, table: MonthTable, as_of: Column, order: list[str],
@@ -42,7 +61,7 @@ def load_new_files(
 ) -> dict:
     """Append the rows of new files to a fact table and note the files; returns the row accounting.
 
-    ``files`` counts the new files and ``skipped`` lists those that gave no rows.
+    ``files`` counts the new files and ``skipped`` lists those that cannot be read.
     The order of rows begins with the folder of their file.  The names of the new
     files, not of all, are held by the driver, as any read of files does.
     """
@@ -54,6 +73,9 @@ def load_new_files(
     place = F.col("_metadata.file_path")
     seen = {r.object_path: r.record_count for r in lineage.file_records(rows).select(
         _below(F.col("object_path"), root).alias("object_path"), "record_count").collect()}
+    # an empty file has nothing to be loaded; one that cannot be read is tried again
+    silent = {r.object_path: r.path for r in fresh.values() if r.object_path not in seen}
+    seen.update(dict.fromkeys(empty_files(spark, root, silent, columns), 0))
     placed = rows.withColumn("_folder", F.regexp_extract(place, "^(.*)/", 1))
     counts = load_fact(placed, spec, dim, table, as_of, ["_folder", *order], run_date)
     noted = spark.createDataFrame(

@@ -136,6 +136,33 @@ def test_only_new_files_are_listed(spark, tmp_path):
     assert {(r.object_path.split("/")[1], r.status, r.record_count) for r in log.collect()} == {("a", "loaded", 2), ("b", "loaded", 2), ("b", "skipped", 0)}
 
 
+def test_empty_files_are_noted_once(spark, tmp_path):
+    root, ledger = str(tmp_path / "silver"), str(tmp_path / "ledger")
+    spec = FACTS["station_day"]
+    columns = "station_id string, date string, extraction_date string, _src string, _pos int, " + ", ".join(
+        f"{s} double" for s, _, _ in spec.columns)
+    stations = spark.createDataFrame([(1, "S1")], "id int, station_id string")
+    store = facts.fact_table(spec, str(tmp_path / "fact"), 4)
+    data = [("S1", "2026-01-01", "2026-01-01", "a", 0, *[1.0] * len(spec.columns))]
+    snapshot = spark.createDataFrame(data, columns).coalesce(1)
+    sinks.append_snapshot(snapshot, root, "historical/a")
+    for name in ("b", "c"):  # Spark writes a file for the first partition, even if it has no row
+        sinks.append_snapshot(snapshot.filter("rand() < 0"), root, f"historical/{name}")
+    (tmp_path / "silver" / "historical" / "b" / "bad.parquet").write_bytes(b"PAR1")
+
+    def load():
+        return historical.load_new_files(
+            spark, root, "historical/", columns, ledger, spec, stations, store,
+            F.lit("2026-01-02").cast("timestamp_ntz"), ["_src", "_pos"], "aemet")
+
+    first, second = load(), load()
+    n = len(list((tmp_path / "silver" / "historical").glob("*/*.parquet")))
+    assert n == 4 and (first["files"], first["rows_loaded"], first["skipped"]) == (4, 1, ["historical/b/bad.parquet"])
+    assert (second["files"], second["skipped"]) == (1, ["historical/b/bad.parquet"])
+    log = lineage.read_log(spark, ledger, "lake_metadata")
+    assert sorted((r.status, r.record_count) for r in log.collect()) == [("loaded", 0), ("loaded", 0), ("loaded", 1), ("skipped", 0)]
+
+
 @pytest.mark.parametrize("n", [0, 3])
 def test_loading_nothing_counts_nothing(spark, tmp_path, n):
     store = facts.fact_table(FACTS["pollen"], str(tmp_path / "f"), 4)
