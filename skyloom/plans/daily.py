@@ -131,13 +131,19 @@ def rejected_documents(docs: DataFrame, files: DataFrame, feed: str) -> DataFram
     )
 
 
+def _tasks(spark: SparkSession, size: int) -> int:
+    """Tasks for ``size`` bytes of documents: a few per core, more where one would get above 32 MB."""
+    return max(4 * spark.sparkContext.defaultParallelism, size // (32 << 20) + 1)
+
+
 def transform(
     spark: SparkSession, layout: Layout, feed: str, date: str, run_at: datetime,
     handed_over: list[str] | None = None,
 ) -> dict:
-    """Bronze documents of a day to one silver snapshot; returns rows, bytes, documents and rejected.
+    """Bronze documents of a day to one silver snapshot; returns rows, bytes, documents, rejected and the listing.
 
     Observations replace the snapshot of their date, all other feeds add one.
+    Small documents share tasks, and with them silver files.
     Documents are counted while the snapshot is written.  Only if some were
     refused or not readable are they looked at again, and stored with their
     path and reason in place of those of an earlier run.  A day without
@@ -149,22 +155,23 @@ def transform(
         return {"path": None, "rows": 0, "bytes": 0, "documents": 0, "rejected": 0}
     docs = lake.documents_or_prefix(spark, handed_over, layout.lake, prefix)
     files = lake.document_files(spark, handed_over, layout.lake, prefix)
+    found, size = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
     watch = Observation()
-    rows = _flat(docs, feed, date, stamp, watch)
+    rows = _flat(docs.coalesce(_tasks(spark, size)), feed, date, stamp, watch)
     path = fixed.SILVER_PATHS[feed].format(date=date, timestamp=stamp)
     target = f"{layout.silver}/{path}"
     if feed == "observation":
         done = sinks.write_table(rows, target)
     else:
         done = sinks.append_snapshot(rows, layout.silver, path)
-    seen, found = watch.get, files.count()
+    seen = watch.get
     refused = seen.get("rejected", 0) + found - seen.get("documents", 0)
     folder = layout.rejects(feed, date)
     if refused:
         rejected_documents(docs, files, feed).write.mode("overwrite").parquet(folder)
     elif lake.folders_matching(spark, folder):
         lake.remove_folder(spark, folder)
-    return {"path": path, **done, "documents": found, "rejected": refused}
+    return {"path": path, **done, "documents": found, "rejected": refused, "listing": files}
 
 
 def latest_silver(spark: SparkSession, layout: Layout, feed: str, date: str) -> DataFrame | None:
@@ -279,10 +286,8 @@ _FILE_COLUMNS = """bucket_name string, object_path string, layer string, data_so
 record_count long, file_size_bytes long, status string"""
 
 
-def _bronze_files(spark, layout, task, date) -> DataFrame:
+def _bronze_files(task: str, files: DataFrame) -> DataFrame:
     """The documents a task read, one record each, from the listing alone."""
-    prefix = layout.bronze(TASK_FEED[task], date).removeprefix(f"{layout.lake}/")
-    files = lake.document_files(spark, None, layout.lake, prefix)
     return files.select(
         F.lit("bronze").alias("bucket_name"), F.regexp_extract("path", "/bronze/(.*)$", 1).alias("object_path"),
         F.lit("bronze").alias("layer"), F.lit(_source(task)).alias("data_source"),
@@ -291,7 +296,7 @@ def _bronze_files(spark, layout, task, date) -> DataFrame:
     )
 
 
-def _log_files(spark, layout, results, date, moment) -> None:
+def _log_files(spark, layout, results, moment) -> None:
     """Bronze documents that were read and silver snapshots that were written."""
     written = {t: r["written"] for t, r in results.items() if r.get("written", {}).get("path")}
     if written:
@@ -299,8 +304,9 @@ def _log_files(spark, layout, results, date, moment) -> None:
             ("silver", w["path"], "silver", _source(t), w["rows"], w["bytes"], "success") for t, w in written.items()
         ]
         new = spark.createDataFrame(silver, _FILE_COLUMNS)
-        for task in written:
-            new = new.unionByName(_bronze_files(spark, layout, task, date))
+        for task, w in written.items():
+            new = new.unionByName(_bronze_files(task, w["listing"]))
+        new = checkpointed(new)  # listed once, looked at twice
         lineage.append_log(
             spark, layout.table("lake_metadata"), "lake_metadata", new, lambda log: lineage.log_files(log, new, moment)
         )
@@ -356,7 +362,7 @@ def run_day(
         except Exception as error:  # recorded in the log, the other feeds go on
             results[task] = {"status": "failed", "rows_loaded": 0, "error": str(error)}
     ids = _end_log(spark, layout, results, date, moment)
-    _log_files(spark, layout, results, date, moment)
+    _log_files(spark, layout, results, moment)
     _log_metrics(spark, layout, results, ids, date, moment)
     return results
 

@@ -1,11 +1,13 @@
 import json
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from skyloom.catalog.stored import writers
 from skyloom.operators import backfill, lineage
 from skyloom.plans import daily, facts
 from skyloom.plans.facts import FACTS
@@ -387,3 +389,22 @@ def test_period_chunks_stop_at_the_run_date(spark):
     df = lake.period_chunks(spark.createDataFrame([("a",)], "s string"), F.lit(2025), F.lit(2026), F.lit("2026-05-10"))
     out = [(str(r.start_date), str(r.end_date)) for r in df.orderBy("start_date").collect()]
     assert len(out) == 6 and out[0] == ("2025-01-01", "2025-03-31") and out[-1] == ("2026-04-01", "2026-05-10")
+
+
+def test_small_documents_share_tasks(spark, tmp_path):
+    layout = daily.Layout(str(tmp_path / "lake"), str(tmp_path / "warehouse"))
+    folder = Path(layout.bronze("pollen", "2026-01-29"))
+    folder.mkdir(parents=True)
+    for i in range(800):
+        body = {"municipio_nombre": f"C{i}", "hourly": {"time": ["2026-01-29T00:00"], "birch_pollen": [i]}, "_metadata": {}}
+        (folder / f"pollen_{i:03d}.json").write_text(json.dumps(body))
+    done = daily.transform(spark, layout, "pollen", "2026-01-29", datetime(2026, 1, 29, 6))
+    assert (done["rows"], done["documents"], done["rejected"]) == (800, 800, 0)
+    # 32 documents a task without that, 25 files
+    assert len(list((Path(layout.silver) / done["path"]).glob("*.parquet"))) <= 4 * spark.sparkContext.defaultParallelism
+    assert done["listing"].count() == 800
+
+
+def test_file_names_of_a_writer_sort_in_order():
+    assert writers(10) == 32
+    assert all(n / writers(n) <= 500 for n in (16_001, 39_555, 237_330))
