@@ -300,7 +300,8 @@ def load_fact(
     """Append the new rows of a feed to its table; returns the row accounting.
 
     The batch is read once: its keyed rows are stored, and what was refused is
-    counted by reason while that happens.  A second pass over what was stored
+    counted by reason while that happens; of rows without a city or station the
+    name is stored.  A second pass over what was stored
     finds the new rows, counts the others and appends, all in one stage that
     ends in the table, so that a task that is run again counts once.  ``unknown``
     names the first few cities or stations that the dimension lacks.
@@ -313,9 +314,15 @@ def load_fact(
     watched = keyed.observe(
         seen, everything.alias("n"), *[F.count_if(reason == name).alias(c) for c, name in refused.items()]
     )
+    unknown, usable = f"unknown_{spec.entity}", reason.isNull()
+    name = spec.entity_from if spec.entity_from in keyed.columns else spec.entity_fallback
     names = list(dict.fromkeys([*spec.key, *spec.sources, *order]))
-    table.placed(watched.filter(reason.isNull()).select(*names)).write.parquet(path)
-    stored = spark.read.parquet(path)
+    table.placed(watched.filter(usable | (reason == unknown))).select(
+        *[F.when(usable, F.col(c)).alias(c) for c in [*names, PARTITION]],
+        F.when(~usable, F.col(name)).alias("_name"), usable.alias("_usable"),
+    ).write.parquet(path)
+    kept = spark.read.parquet(path)
+    stored = kept.filter("_usable").select(*names, PARTITION)
 
     found, overflows = Observation(), {f"o{i}": name for i, (_, name) in enumerate(spec.overflows)}
     rows = new_rows(stored, spec, table, as_of, order).observe(
@@ -323,14 +330,12 @@ def load_fact(
         *[F.count_if(reason == name).alias(c) for c, name in overflows.items()],
     )
     loaded = table.append(rows.filter(reason.isNull()))
-    remove_folder(spark, path)
     first, second = seen.get, found.get
-    usable = first["n"] - sum(first[c] for c in refused)
-    split = {"loaded": loaded, "duplicate": usable - second["n"], "conflict": second["conflict"]}
+    n_usable = first["n"] - sum(first[c] for c in refused)
+    split = {"loaded": loaded, "duplicate": n_usable - second["n"], "conflict": second["conflict"]}
     others = {**{name: first[c] for c, name in refused.items()}, **{name: second[c] for c, name in overflows.items()}}
     split.update({name: n for name, n in others.items() if n})
-    unknown, names = f"unknown_{spec.entity}", []
-    if split.get(unknown):  # only then are the refused rows looked at again
-        names = [r.key for r in first_keys(keyed.filter(reason == unknown), spec.entity_from).collect()]
+    lacking = first_keys(kept.filter("NOT _usable"), "_name").collect() if split.get(unknown) else []
+    remove_folder(spark, path)
     return {"rows_input": first["n"], "rows_loaded": loaded, "rows_rejected": first["n"] - loaded,
-            "outcomes": split, "unknown": names}
+            "outcomes": split, "unknown": [r.key for r in lacking]}

@@ -35,7 +35,9 @@ def load_new_documents(
 ) -> StreamingQuery:
     """Load everything that arrived since the last call, then stop.
 
-    Each batch goes through the same load as a daily run.  A batch that is
+    Each batch goes through the same load as a daily run.  Its documents are dealt
+    to ``spark.sql.shuffle.partitions`` tasks before they are parsed, since a batch
+    may be a few files that do not split.  A batch that is
     replayed after a failure inserts nothing twice, because a row is only
     inserted where its key is absent.  With ``delay``, rows delivered again
     within that time are dropped before the load, from a state that keeps only
@@ -43,7 +45,8 @@ def load_new_documents(
     of each batch after its rows were appended and before it counts as done.
     """
     spec = FACTS[feed]
-    rows = explode_columnar(docs, FEEDS[feed])
+    dealt = docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = explode_columnar(dealt, FEEDS[feed])
     if delay:
         rows = first_arrivals(rows, [spec.entity_from, spec.moment_from, spec.run_date], spec.moment_from, delay)
 

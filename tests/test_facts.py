@@ -408,3 +408,41 @@ def test_small_documents_share_tasks(spark, tmp_path):
 def test_file_names_of_a_writer_sort_in_order():
     assert writers(10) == 32
     assert all(n / writers(n) <= 500 for n in (16_001, 39_555, 237_330))
+
+
+def test_a_load_reads_its_batch_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(name):
+        read.add(1)
+        return name
+
+    spec = FACTS["pollen"]
+    names = ["city_name", "time", "extraction_date", "o", *spec.sources]
+    data = [(city, "2026-01-01T00:00", "2026-01-01", i, *[1.0] * len(spec.sources))
+            for i, city in enumerate(["Madrid", "Madrid", "Atlantis", None, "Atlantis", "Thule"])]
+    kinds = ["string"] * 3 + ["int"] + ["double"] * len(spec.sources)
+    batch = spark.createDataFrame(data, ", ".join(f"{a} {b}" for a, b in zip(names, kinds)))
+    batch = batch.withColumn("city_name", F.udf(seen, "string").asNondeterministic()("city_name"))
+    cities = spark.createDataFrame([(1, "Madrid")], "city_id int, city_name string")
+    store = facts.fact_table(spec, str(tmp_path / "f"), 4)
+    got = facts.load_fact(batch, spec, cities, store, F.lit("2026-01-02").cast("timestamp_ntz"), ["o"])
+    assert got["outcomes"] == {"loaded": 1, "duplicate": 1, "conflict": 0, "unknown_city": 4}
+    assert got["unknown"] == [None, "Atlantis", "Thule"]
+    assert read.value == len(data)
+
+
+def test_documents_of_one_file_are_dealt_to_tasks(spark, tmp_path, monkeypatch):
+    body = {"municipio_nombre": "Madrid", "hourly": {"time": ["2026-01-29T00:00"], "birch_pollen": [1]}, "_metadata": META}
+    docs = spark.createDataFrame([(f"p{i:02d}", json.dumps(body)) for i in range(40)], "path string, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "in"))
+    tasks = []
+
+    def load(batch, *rest):
+        tasks.append(batch.select(F.spark_partition_id()).distinct().count())
+        return {}
+
+    monkeypatch.setattr(incremental, "load_fact", load)
+    stream = spark.readStream.schema("path string, text string").parquet(str(tmp_path / "in"))
+    incremental.load_new_documents(stream, "pollen", cities(spark), None, str(tmp_path / "mark"), as_of()).awaitTermination()
+    assert tasks == [4]
